@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import exact_dedup, packing, token_counts, url_filter
+from corpuskit.llm import embedding_dedup, exact_dedup, packing, simhash, token_counts, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -27,6 +27,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.find_near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.find_near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 #: The rules of the query (fixed values): verdict, host, path.
 URL_RULES = (
     ("block", "com", "/en/"),
@@ -50,6 +59,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash": op7_simhash,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
 }
@@ -63,6 +74,22 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))
     """,
+    "op8_embedding_dedup": """
+        with recursive v as (
+            select vec_id, embedding::double[] as e, sqrt(list_dot_product(embedding::double[], embedding::double[])) as norm from embeddings
+        ),
+        links as (
+            select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+            where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+        ),
+        reach(a, b) as (
+            select vec_id, vec_id from v union select r.a, l.b from reach r join links l on r.b = l.a
+        ),
+        low as (select a, min(b) as component_id from reach group by a),
+        n as (select a, count(*) as n_links from links group by a)
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from v join low on v.vec_id = low.a left join n on v.vec_id = n.a
+    """,
     "op9_url_filter": rf"""
         with rules(verdict, host, path) as (values {_RULE_SQL}),
         places as (
