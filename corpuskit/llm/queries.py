@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import embedding_dedup, exact_dedup, packing, simhash, token_counts, url_filter
+from corpuskit.llm import embedding_dedup, exact_dedup, mixing, packing, quality, simhash, token_counts, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,11 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.find_copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -57,7 +66,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op4_quality": op4_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_embedding_dedup": op8_embedding_dedup,
@@ -69,6 +80,33 @@ _PATTERN_SQL = " or ".join(f"regexp_matches(host || path, '{e}')" for _, e in ur
 _RULE_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 
 ORACLES: dict[str, str] = {
+    "op1_mixing": r"""
+        with d as (
+            select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size, md5(cast(doc_id as varchar)) as mixed
+            from documents
+        ),
+        s as (
+            select source, sum(size)::bigint as source_size, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight
+            from d group by source
+        ),
+        closing as (
+            select *, row_number() over w as n,
+                   (sum(source_size) over () - 3 * coalesce(sum(source_size) over (w rows between unbounded preceding and 1 preceding), 0))::double
+                   / (sum(weight) over () - coalesce(sum(weight) over (w rows between unbounded preceding and 1 preceding), 0)) as unit
+            from s window w as (order by source_size / weight::double, source)
+        ),
+        level as (select coalesce(arg_min(unit, n) filter (weight * unit <= 3 * source_size), max(3 * source_size / weight)) as unit from closing),
+        t as (select source, source_size, least(weight * unit, 3.0::double * source_size) as target from s, level),
+        o as (
+            select doc_id, size, source_size, target, floor(target + 0.5)::bigint as goal,
+                   (sum(size) over (partition by d.source order by mixed, doc_id) - size)::bigint as ahead
+            from d join t on d.source is not distinct from t.source
+        )
+        select doc_id, size::bigint as size, source_size, target,
+               (least(greatest(goal - ahead, 0), size) + least(greatest(goal - ahead - source_size, 0), size)
+                + least(greatest(goal - ahead - 2 * source_size, 0), size))::bigint as taken
+        from o
+    """,
     "op6_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
                doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
