@@ -29,7 +29,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined(F.concat("base", "added")).alias("spans"))
 
 
