@@ -12,6 +12,11 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 STOP_WORDS = ("the", "a", "an", "of", "to", "and", "is", "are", "in", "on", "at", "for", "that", "this", "it", "as", "by", "with", "from", "was", "were")
 
 
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it, in lambdas too."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -45,9 +50,13 @@ def strip_header(raw: Column) -> Column:
     are dropped afterwards.
     """
     every = F.transform(F.split(join_hyphens(blank_if_null(raw)), LINE_END), lambda x: strip(F.regexp_replace(x, r"[ \t]+", " ")))
+    return F.filter(let(every, _body), lambda x: x != "")
+
+
+def _body(every: Column) -> Column:
     place = F.coalesce(F.array_min(F.filter(F.transform(every, lambda x, i: F.when(x.startswith("URL:") | x.startswith("Title:"), F.lit(None)).otherwise(i)), lambda i: i.isNotNull())), F.size(every))
     ruler = F.coalesce(F.get(every, place).rlike(r"^[─-╿\-_=]{6,}$"), F.lit(False))
-    return F.filter(F.slice(every, place + 1 + ruler.cast("int"), F.greatest(F.size(every), F.lit(1))), lambda x: x != "")
+    return F.slice(every, place + 1 + ruler.cast("int"), F.greatest(F.size(every), F.lit(1)))
 
 
 def tokens(c: Column) -> Column:
@@ -57,8 +66,13 @@ def tokens(c: Column) -> Column:
 
 def grams(c: Column, n: int = 8) -> Column:
     """Distinct word n-grams over lower-case ASCII letters and digits."""
-    t = F.regexp_extract_all(F.lower(blank_if_null(c)), F.lit("([a-z0-9]+)"), F.lit(1))
-    return F.array_distinct(F.when(F.size(t) < n, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))))
+    found = F.regexp_extract_all(F.lower(blank_if_null(c)), F.lit("([a-z0-9]+)"), F.lit(1))
+
+    def windows(t: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1)))
+        return F.when(F.size(t) < n, F.array().cast("array<string>")).otherwise(F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " ")))
+
+    return F.array_distinct(let(found, windows))
 
 
 def alpha_ratio(c: Column) -> Column:

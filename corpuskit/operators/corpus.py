@@ -47,18 +47,18 @@ def pack_lines(lines: Column, low: int = 350, high: int = 450, least: int = 50,
         new = (s["w"] + w > high) & (s["w"] >= low)
         return F.struct((s["i"] + 1).alias("i"), F.when(new, w).otherwise(s["w"] + w).alias("w"), F.when(new, F.array_append(s["starts"], s["i"])).otherwise(s["starts"]).alias("starts"))
 
-    state = F.aggregate(sizes, zero, step)
-    short = state["w"] < least
-    if merge_tail:
-        starts = F.when(short & (F.size(state["starts"]) > 1), F.slice(state["starts"], F.lit(1), F.size(state["starts"]) - 1)).otherwise(state["starts"])
-    else:
+    def cut_all(state: Column) -> Column:
         starts = state["starts"]
+        if merge_tail:
+            starts = F.when((state["w"] < least) & (F.size(starts) > 1), F.slice(starts, F.lit(1), F.size(starts) - 1)).otherwise(starts)
 
-    def cut(s: Column, k: Column) -> Column:
-        part = F.slice(lines, s + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - s)
-        return F.struct(k.alias("chunk_index"), F.array_join(part, " ").alias("text"))
+        def cut(s: Column, k: Column) -> Column:
+            part = F.slice(lines, s + 1, F.coalesce(F.get(starts, k + 1), F.size(lines)) - s)
+            return F.struct(k.alias("chunk_index"), F.array_join(part, " ").alias("text"))
 
-    made = F.filter(F.transform(starts, cut), lambda c: c["text"] != "")
+        return F.transform(starts, cut)
+
+    made = F.filter(T.let(F.aggregate(sizes, zero, step), cut_all), lambda c: c["text"] != "")
     return made if merge_tail else F.filter(made, lambda c: T.n_words(c["text"]) >= least)
 
 
