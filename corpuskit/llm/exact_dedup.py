@@ -22,9 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.llm import scratch
-
-#: The bitmap has this many bits at least and at most (2 MB and 16 MB).
-BITS = (1 << 24, 1 << 27)
+from corpuskit.llm.rows import Bitmap, without
 
 
 def sha256(text: Column) -> Column:
@@ -40,13 +38,10 @@ class DigestIndex:
         self.spark, self.keep, self.digest = spark, keep, digest
         self.root = root or scratch.new_path(spark, "digests")
         self.level0: DataFrame | None = None
-        self._bitmap: tuple[DataFrame, int] | None = None
+        self._filter: Bitmap | None = None
 
     def _write(self, df: DataFrame, path: str) -> DataFrame:
-        out = df.write.mode("append")
-        if "digest" in df.columns:
-            out = out.option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.expected.ndv#digest", "200000")
-        out.parquet(path)
+        df.write.mode("append").option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.expected.ndv#digest", "200000").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def flush(self, docs: DataFrame, id_col: str, text_col: str) -> None:
@@ -63,36 +58,11 @@ class DigestIndex:
         self.level1 = self._write(merged.sortWithinPartitions("digest"), f"{self.root}/level1")
         return self.level1
 
-    def bitmap(self) -> tuple[DataFrame, int]:
-        """Which digests of several rows there may be, as a bitmap in parts of 4 KB; exact rows follow by a join."""
-        if self._bitmap:
-            return self._bitmap
-        several = self.level1.where("n > 1")
-        bits = BITS[0]
-        count = several.count()
-        while bits < BITS[1] and bits < 8 * count:
-            bits *= 2
-        at = self._bit(bits)
-        parts = several.select(F.bitmap_bucket_number(at).alias("part"), F.bitmap_bit_position(at).alias("bit"))
-        built = parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
-        self._bitmap = self._write(built, f"{self.root}/bitmap{bits}"), bits
-        return self._bitmap
-
-    @staticmethod
-    def _bit(bits: int) -> Column:
-        return F.pmod(F.xxhash64("digest"), F.lit(bits)) + 1
-
     def may_repeat(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (with a digest) and whether the filter lets each pass, as ``hit``."""
-        parts, bits = self.bitmap()
-        at = self._bit(bits)
-        place = F.bitmap_bit_position(at)
-        found = rows.withColumn("part", F.bitmap_bucket_number(at)).withColumn("bit", place)
-        # At most ``bits`` / 8 bytes, whatever the input: 16 MB.
-        found = found.join(F.broadcast(parts), "part", "left")
-        byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-        mask = F.expr("shiftleft(1, cast(bit % 8 as int))")
-        return found.withColumn("hit", F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False))).drop("part", "bit", "bits")
+        """``rows`` (with a digest) and whether the filter over digests of several rows lets each pass, as ``hit``."""
+        if self._filter is None:
+            self._filter = Bitmap(self.level1.where("n > 1").select("digest"), "digest")
+        return self._filter.mark(rows, "digest")
 
 
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max", digest=sha256) -> DataFrame:
@@ -141,14 +111,14 @@ def _by_bytes(docs: DataFrame, clash: DataFrame, id_col: str, text_col: str, kee
     return joined.select("id", "digest", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("best.row")).alias("kept"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """``docs`` without copies: of equal texts one row stays, with all its columns. Takes nulls as ``find_copies`` does."""
-    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).withColumn("row", F.monotonically_increasing_id())
-    numbered = scratch.materialise(numbered, "numbered")
-    # Rows that repeat an id must be told apart, so the pair (id, row) is the id here.
-    flat = numbered.select(F.struct(F.col(f"doc.`{id_col}`").alias("id"), "row").alias("key"), F.col(f"doc.`{text_col}`").alias("text"))
-    gone = find_copies(flat, "key", "text", keep).where("not kept").select("key.row")
-    kept = numbered.join(gone, "row", "left_anti")
-    return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
-
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max", digest=sha256) -> DataFrame:
+    """``docs`` without copies: of equal texts one row stays, with all its columns. Takes nulls as ``find_copies`` does.
 
+    Rows without copies are not shuffled.
+    """
+    key = F.struct(F.col(id_col).alias("id"), digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
+    keyed = docs.select(key.alias("key"), F.col(text_col).alias("text"))
+    found = find_copies(keyed, "key", "text", keep, digest).where("group_size > 1").select("key", "kept")
+    # A key is one id and one text; of rows that repeat it one may stay.
+    keys = scratch.materialise(found.groupBy("key").agg(F.count_if("kept").alias("kept"), F.count("*").alias("n")), "keys")
+    return without(docs, key, keys.where("kept = 0").select("key"), keys.where("kept > 0 and n > 1").select("key"))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm import scratch
 from corpuskit.llm.components import connected_components
+from corpuskit.llm.rows import without
 
 #: A-Z to a-z over bytes.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -182,10 +183,8 @@ def drop_near_copies(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id"
 
     Of rows that repeat this id, and of groups whose ids are all null, one row stays.
     """
-    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).withColumn("row", F.monotonically_increasing_id())
-    numbered = scratch.materialise(numbered, "numbered")
-    flat = numbered.select(F.struct(F.col(f"doc.`{id_col}`").isNull().alias("unknown"), F.col(f"doc.`{id_col}`").alias("id"), "row").alias("key"), F.col(f"doc.`{text_col}`").alias("text"))
-    found = find_near_copies(flat, threshold, "key", "text")
-    gone = found.where("key <> component_id").select("key.row")
-    kept = numbered.join(gone, "row", "left_anti")
-    return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
+    key = F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))
+    found = find_near_copies(docs.select(key.alias("key"), F.col(text_col).alias("text")), threshold, "key", "text")
+    # Rows that repeat an id and a text have one key.
+    keys = scratch.materialise(found.groupBy("key").agg(F.min("component_id").alias("low"), F.count("*").alias("n")), "keys")
+    return without(docs, key, keys.where("key <> low").select("key"), keys.where("key = low and n > 1").select("key"))
