@@ -2,38 +2,70 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import CountVectorizer, StopWordsRemover
-from pyspark.ml.linalg import SparseVector
-from pyspark.mllib.linalg import Vectors as OldVectors
-from pyspark.mllib.linalg.distributed import RowMatrix
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from corpuskit.functions import text as T
+from corpuskit.sources.shared import materialise
 
 
-_indices = F.udf(lambda v: [int(i) for i in v.indices], ArrayType(IntegerType()))
+def _vocabulary(tokens: DataFrame, words: int) -> tuple[dict[str, int], list[float]]:
+    """The commonest words and their inverse document frequencies, ln((1 + n) / (1 + df)) + 1; ``words`` rows come back."""
+    counts = tokens.select("id", F.explode("tokens").alias("w")).groupBy("w", "id").agg(F.count("*").alias("tf")).groupBy("w").agg(F.sum("tf").alias("all"), F.count("*").alias("df"))
+    best = counts.orderBy(F.col("all").desc(), "w").limit(words).collect()
+    n = tokens.count()
+    return {r["w"]: i for i, r in enumerate(best)}, [float(np.log((1 + n) / (1 + r["df"])) + 1) for r in best]
 
 
-def corpus_map(docs: DataFrame, words: int = 1000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, x, y) for each document. The singular vectors' signs are free, so that maps agree up to reflection."""
-    tokens = docs.select(F.col(id_col).alias("id"), T.tokens(F.col(text_col)).alias("all"))
-    tokens = StopWordsRemover(inputCol="all", outputCol="tokens").transform(tokens).select("id", "tokens")
-    counted = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=words).fit(tokens)
-    rows = counted.transform(tokens).select("id", "tf")
-    n, size = rows.count(), len(counted.vocabulary)
-    df = {r["i"]: r["c"] for r in rows.select(F.explode(_indices(F.col("tf"))).alias("i")).groupBy("i").agg(F.count("*").alias("c")).collect()}  # one number a word kept
-    idf = [math.log((1 + n) / (1 + df.get(i, 0))) + 1 for i in range(size)]
+def corpus_map(docs: DataFrame, words: int = 1000, rounds: int = 12, id_col: str = "doc_id", text_col: str = "text", seed: int = 42) -> DataFrame:
+    """(id, x, y) for each document. The directions' signs are free, so that maps agree up to reflection.
 
-    def weigh(v: SparseVector) -> dict[int, float]:
-        values = {int(i): float(x) * idf[int(i)] for i, x in zip(v.indices, v.values)}
-        norm = math.sqrt(sum(x * x for x in values.values())) or 1.0
-        return {i: x / norm for i, x in values.items()}
+    The directions come from a block power iteration: a round sends one small
+    matrix to the tasks and sums one for each, whatever the number of documents.
+    """
+    tokens = docs.select(F.col(id_col).alias("id"), T.tokens(F.col(text_col)).alias("every"))
+    tokens = StopWordsRemover(inputCol="every", outputCol="tokens").transform(tokens).select("id", "tokens")
+    vocabulary, idf = _vocabulary(tokens, words)
+    kind = docs.schema[id_col].dataType.simpleString()
 
-    matrix = RowMatrix(rows.rdd.map(lambda r: OldVectors.sparse(size, weigh(r["tf"]))))
-    v = matrix.computeSVD(2).V.toArray()
-    project = F.udf(lambda t: [float(sum(x * v[i][k] for i, x in weigh(t).items())) for k in range(2)], ArrayType(DoubleType()))
-    return rows.select("id", project("tf").alias("xy")).select(F.col("id").alias(id_col), F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            places, values = [], []
+            for said in batch["tokens"]:
+                p, n = np.unique([vocabulary[t] for t in said if t in vocabulary], return_counts=True)
+                v = n * np.array(idf)[p.astype(int)] if len(p) else np.zeros(0)
+                places.append(p.astype(int).tolist())
+                values.append((v / max(np.sqrt((v * v).sum()), 1e-300)).tolist())
+            yield pd.DataFrame({"id": batch["id"], "places": places, "values": values})
+
+    rows = materialise(tokens.mapInPandas(weigh, f"id {kind}, places array<int>, values array<double>"), "weighed")
+    size = len(vocabulary)
+    wide = min(8, size)
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0]
+
+    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = np.zeros((size, wide))
+        for batch in batches:
+            for p, v in zip(batch["places"], batch["values"]):
+                out[p] += np.outer(v, v @ q[p])
+        yield pd.DataFrame({"i": range(size), "y": out.tolist()})
+
+    for _ in range(rounds if size else 0):
+        parts = rows.select("places", "values").mapInPandas(turn, "i int, y array<double>")
+        sums = parts.groupBy("i").agg(*(F.sum(F.get("y", F.lit(k))).alias(f"y{k}") for k in range(wide))).orderBy("i").collect()
+        q, r = np.linalg.qr(np.array([tuple(s)[1:] for s in sums]))
+    if size:
+        q = q @ np.linalg.svd(r)[0]
+    q = np.pad(q, ((0, 0), (0, max(0, 2 - wide))))
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            xy = [np.array(v) @ q[np.array(p, int), :2] if len(p) else np.zeros(2) for p, v in zip(batch["places"], batch["values"])]
+            yield pd.DataFrame({"id": batch["id"], "x": [float(a[0]) for a in xy], "y": [float(a[1]) for a in xy]})
+
+    return rows.mapInPandas(project, f"id {kind}, x double, y double").withColumnRenamed("id", id_col)

@@ -292,3 +292,23 @@ def test_reference_cut_and_running_heads(spark):
     pages = spark.createDataFrame([(1, p, t) for p in range(4) for t in ("Head", f"x{p}")] + [(1, 3, "HEAD"), (2, 0, "Head")], "doc_id long, page int, line string")
     assert [(r["key"], r["df"]) for r in corpus.repeated_lines(pages).collect()] == [("head", 5)]
     assert re.match(corpus.PAGE_NUMBER, "Page 12")
+
+
+def test_corpus_map_against_a_full_decomposition(spark):
+    import numpy as np
+    from pyspark.ml.feature import StopWordsRemover
+
+    from corpuskit.operators.corpus_map import corpus_map
+
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choices(["ring", "beam", "muon", "dune"] if i % 2 else ["fish", "tree", "bird", "beam"], k=rng.randint(3, 12)))) for i in range(40)] + [(40, None), (41, "the of")]
+    got = {r["doc_id"]: (r["x"], r["y"]) for r in corpus_map(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    stop = set(StopWordsRemover.loadDefaultStopWords("english"))
+    said = [[t for t in (d or "").split() if t not in stop] for _, d in docs]
+    words = sorted({t for s in said for t in s})
+    tf = np.array([[s.count(w) for w in words] for s in said], float)
+    m = tf * (np.log((1 + len(docs)) / (1 + (tf > 0).sum(0))) + 1)
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    u, s, _ = np.linalg.svd(m, full_matrices=False)
+    for i in range(len(docs)):
+        assert abs(got[i][0]) == pytest.approx(abs(u[i, 0] * s[0]), abs=1e-3) and abs(got[i][1]) == pytest.approx(abs(u[i, 1] * s[1]), abs=1e-3)
