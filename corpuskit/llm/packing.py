@@ -135,7 +135,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
             offset, total = 0, sum(len(p[1]) for p in pieces) // 4
             padded = total if total & (total - 1) == 0 else capacity
             for i, raw, start, whole in pieces:
-                out.append((i, start, len(raw) // 4, zlib.crc32(raw), whole, next_id, offset, padded, raw))
+                out.append((i, start, len(raw) // 4, zlib.crc32(raw), whole, next_id, offset, padded, raw if with_ids else None))
                 offset += len(raw) // 4
             next_id += 1
 
@@ -166,8 +166,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
             rests = waiting
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(out), 20_000):
-                rows = list(zip(*out[a : a + 20_000]))
+            for a in range(0, len(out), 5_000):
+                rows = list(zip(*out[a : a + 5_000]))
                 arrays = [pa.array(rows[0], arrow_id)] + [pa.array(c, pa.int64()) for c in rows[1:8]]
                 if with_ids:
                     arrays.append(pa.array([np.frombuffer(r, "<u4").astype(np.int32) for r in rows[8]], pa.list_(pa.int32())))
@@ -184,7 +184,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
                     rests.append((i, raw[4 * full :], full, whole))
                 if len(rests) >= group:
                     sequences(last=False)
-                if len(out) >= 20_000:
+                if len(out) >= 5_000:
                     yield from flush()
         sequences(last=True)
         yield from flush()

@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
-
-    Only where it is unset, as in tests on one machine, a temporary folder is
-    made and set, so that later calls in the session use the same one.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="corpuskit-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
+from corpuskit.sources.shared import shared_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:

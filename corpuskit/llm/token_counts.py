@@ -33,7 +33,7 @@ CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
 class PrefixCounter:
     """Differences of the token count from one prefix of a text to the next, a signed byte a character."""
 
-    def __init__(self, path: str, kept: int = 250_000):
+    def __init__(self, path: str, kept: int = 200_000):
         self.tokenizer = unit_tokenizer(path)
         self.split = regex.compile(SPLIT)
         self.lead = regex.compile(rf"[{SPACE}]*")

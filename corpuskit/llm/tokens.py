@@ -59,10 +59,10 @@ class UnitTokenizer:
     that same vocabulary; any other file goes through ``tokenizers`` itself.
     """
 
-    def __init__(self, path: str, kept: int = 250_000):
+    def __init__(self, path: str, kept: int = 120_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Tokenizer.from_file(path)
+        self.path, self._library = path, None
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.units = re.compile(rf"[{SPACE}]*[^{SPACE}]++|[{SPACE}]++")
         self.core = None
@@ -86,6 +86,13 @@ class UnitTokenizer:
                 self.core = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
         self.cache = Recent(self._packed, kept)
 
+    @property
+    def library(self) -> Tokenizer:
+        """``tokenizers`` itself, read when it is first asked."""
+        if self._library is None:
+            self._library = Tokenizer.from_file(self.path)
+        return self._library
+
     def encode(self, text: str) -> list[int]:
         if self.core is not None and not any(s in text for s in self.specials):
             return self.core.encode_ordinary(text)
