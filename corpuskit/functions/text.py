@@ -33,6 +33,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+$", "")
 
 
+def has_text(c: Column) -> Column:
+    """Whether a text has any line that isn't blank; cheaper than to take its lines."""
+    return F.coalesce(c.rlike(rf"[^{WS}]"), F.lit(False))
+
+
 def join_hyphens(c: Column) -> Column:
     """Join words that a hyphen splits across lines."""
     return F.regexp_replace(c, r"([\p{L}\p{N}_])-\n([\p{L}\p{N}_])", "$1$2")
@@ -61,7 +66,7 @@ def _body(every: Column) -> Column:
 
 def tokens(c: Column) -> Column:
     """Lower-case tokens of two or more ASCII letters and digits, bounded by anything but a word character."""
-    return F.filter(F.regexp_extract_all(F.lower(blank_if_null(c)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)), lambda x: x.rlike("^[a-z0-9]{2,}$"))
+    return F.regexp_extract_all(F.lower(blank_if_null(c)), F.lit(r"((?<![\p{L}\p{N}_])[a-z0-9]{2,}+(?![\p{L}\p{N}_]))"), F.lit(1))
 
 
 def grams(c: Column, n: int = 8) -> Column:

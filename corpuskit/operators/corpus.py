@@ -137,7 +137,8 @@ def build_corpus(docs: DataFrame, source: str = "web", source_type: str = "webpa
     document and place, and keeps its number there.
     """
     stem = F.col(id_col).cast("string")
-    lined = docs.select(F.col(id_col).alias("doc_id"), T.lines(F.col(text_col)).alias("lines"), (stem if title is None else title).alias("title"), (T.url_from_stem(stem) if origin is None else origin).alias("origin")).where(F.size("lines") > 0)
+    # The condition is on the text, so that lines are taken once where they are needed and not at all to count documents.
+    lined = docs.where(T.has_text(F.col(text_col))).select(F.col(id_col).alias("doc_id"), T.lines(F.col(text_col)).alias("lines"), (stem if title is None else title).alias("title"), (T.url_from_stem(stem) if origin is None else origin).alias("origin"))
     body = strip_boilerplate(lined, boilerplate_lines(lined, fraction))
     packed = body.select("doc_id", "title", "origin", F.explode(pack_lines(F.col("lines"))).alias("c"))
     rows = packed.select("doc_id", F.col("c.chunk_index").alias("chunk_index"), "title", "origin", F.col("c.text").alias("text"))
@@ -153,9 +154,9 @@ def build_corpus(docs: DataFrame, source: str = "web", source_type: str = "webpa
 
 def audit(docs: DataFrame, corpus: DataFrame, fraction: float = 0.30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row: files, usable, skipped, boilerplate lines, chunks, and chunks of each split."""
-    lined = docs.select(F.col(id_col).alias("doc_id"), T.lines(F.col(text_col)).alias("lines"))
-    usable = lined.where(F.size("lines") > 0)
-    files = lined.agg(F.count("*").alias("files"), F.count_if(F.size("lines") > 0).alias("usable"))
+    filled = T.has_text(F.col(text_col))
+    usable = docs.where(filled).select(F.col(id_col).alias("doc_id"), T.lines(F.col(text_col)).alias("lines"))
+    files = docs.agg(F.count("*").alias("files"), F.count_if(filled).alias("usable"))
     boiler = boilerplate_lines(usable, fraction).agg(F.count("*").alias("boilerplate"))
     made = corpus.agg(F.count("*").alias("chunks"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"))
     return files.join(F.broadcast(boiler)).join(F.broadcast(made)).withColumn("skipped", F.col("files") - F.col("usable"))

@@ -42,7 +42,7 @@ def docs(spark, sf_dir):
 
 
 def lined(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.lines(F.col("text")).alias("lines"))
+    return docs(spark, sf_dir).where(T.has_text(F.col("text"))).select("doc_id", T.lines(F.col("text")).alias("lines"))
 
 
 def token_counts(spark, sf_dir):
@@ -71,11 +71,11 @@ def line_doc_freq(spark, sf_dir):
 
 
 def boilerplate_lines(spark, sf_dir):
-    return C.boilerplate_lines(lined(spark, sf_dir).where(F.size("lines") > 0), 0.02)
+    return C.boilerplate_lines(lined(spark, sf_dir), 0.02)
 
 
 def strip_boilerplate(spark, sf_dir):
-    full = lined(spark, sf_dir).where(F.size("lines") > 0)
+    full = lined(spark, sf_dir)
     kept = C.strip_boilerplate(full, C.boilerplate_lines(full, 0.02))
     return kept.select("doc_id", F.size("lines").cast("bigint").alias("n_lines"), F.sha1(F.array_join("lines", "\n")).alias("body_sha1"))
 
