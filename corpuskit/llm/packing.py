@@ -15,12 +15,14 @@ everything fits (``cut=False``).
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -102,7 +104,22 @@ def deal(sizes: list[int], capacity: int, cut: bool) -> list[list[tuple[int, int
     return [w for w, _ in windows if w]
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separator: int = 0, cut: bool = True, group: int = 384, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def written_order(docs: DataFrame) -> dict[str, int]:
+    """The place of each file split (``file:first byte``) in the order in which the table was written; not from files: none.
+
+    Spark numbers its output files by partition, but deals splits to tasks by
+    size when it reads. As many names as splits come to the driver.
+    """
+    try:
+        splits = docs.select("_metadata.file_name", "_metadata.file_block_start").distinct().collect()
+    except AnalysisException:
+        return {}
+    number = lambda name: int(m[1]) if (m := re.match(r"part-(\d+)", name)) else -1
+    splits = sorted(splits, key=lambda r: (number(r[0]), *r))
+    return {f"{name}:{start}": k for k, (name, start) in enumerate(splits)}
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separator: int = 0, cut: bool = True, group: int = 384, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, in_order: bool = False) -> DataFrame:
     """Pack the tokens of all documents into sequences of at most ``capacity`` tokens.
 
     A document is its tokens, without added special tokens, and then the id
@@ -116,6 +133,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
     the separator alone. Null and repeated ids pass through as documents of
     their own. An empty table gives no rows. Only the two named columns are read.
     ``group`` bounds the documents that one call of the differencing deals with.
+
+    With ``in_order``, documents that come from files are packed split by split,
+    and the upper bits are the split's place in the written order, however Spark
+    deals the splits to tasks. So sequence ids follow the rows' order, but for
+    the up to ``group`` documents among which the differencing deals.
     """
     if capacity < 1 or group < 1:
         raise ValueError("capacity and group must be positive")
@@ -123,8 +145,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
     arrow_id = to_arrow_type(docs.schema[id_col].dataType)
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("padded_to", pa.int64())]
 
+    places = written_order(docs) if in_order else {}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = unit_tokenizer(tokenizer)
+        units, split = unit_tokenizer(tokenizer), None
         end = np.array([separator], "<u4").tobytes()
         next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         rests: list[tuple] = []  # (id, ids as bytes, tokens before, tokens of the document)
@@ -175,7 +199,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
             out.clear()
 
         for batch in batches:
-            for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            splits = batch.column(2).to_pylist() if places else [None] * len(batch)
+            for i, value, now in zip(batch.column(0).to_pylist(), batch.column(1), splits):
+                if now != split:
+                    sequences(last=True)
+                    split, next_id = now, places[now] << 40
                 raw = units.packed_ids(value.as_py() or "") + end
                 whole, full = len(raw) // 4, len(raw) // 4 // capacity * capacity
                 for start in range(0, full, capacity):
@@ -190,5 +218,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
         yield from flush()
 
     schema = f"id {kind}, " + ", ".join(f"{n} bigint" for n, _ in fields) + (", ids array<int>" if with_ids else "")
-    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    split = [F.concat_ws(":", "_metadata.file_name", F.col("_metadata.file_block_start").cast("string")).alias("split")] if places else []
+    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *split).mapInArrow(run, schema)
     return packed.withColumnRenamed("id", id_col)
