@@ -6,10 +6,13 @@ long documents first. What is left of each document, shorter than a window,
 goes to a group; the group's pieces are dealt to windows by differencing:
 partial partitions with opposing imbalances are merged, the largest sums of one
 with the smallest of the other, until one partition with nearly equal sums is
-left. The number of windows is what the group's tokens fill at least. Where a
-sum still exceeds the capacity, either the excess is cut off and fills the
-windows that have room (``cut=True``), or the number of windows rises until
-everything fits (``cut=False``).
+left. The number of windows is at first what the group's tokens fill at least;
+it rises whenever a sum exceeds the capacity, until every piece fits uncut.
+
+The near-equal windows that come out leave a little room each. With
+``cut=True`` the emptiest of them are then taken apart, token by token, to fill
+the fullest, so that all windows but one hold exactly the capacity. That one
+waits for the next group; at the end of a partition it is the only short one.
 """
 
 from __future__ import annotations
@@ -71,37 +74,39 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     return [flat(part[1]) for part in heap[0][2]] if heap else []
 
 
-def deal(sizes: list[int], capacity: int, cut: bool) -> list[list[tuple[int, int, int]]]:
-    """Windows of (item, first token, tokens), each of at most ``capacity`` tokens."""
+def deal(sizes: list[int], capacity: int) -> list[list[int]]:
+    """The items of each window, whole, none of more than ``capacity`` tokens; each item must fit alone."""
     total = sum(sizes)
     k = -(-total // capacity)
-    if not k:
-        return []
-    parts = difference(sizes, k)
-    while not cut and any(sum(sizes[i] for i in p) > capacity for p in parts):
-        k += max(1, k // 64)
+    while k:
         parts = difference(sizes, k)
-    windows, excess = [], []
-    for part in parts:
-        window, left = [], capacity
-        for i in part:
-            take = min(left, sizes[i])
-            if take:
-                window.append((i, 0, take))
-                left -= take
-            if take < sizes[i]:
-                excess.append((i, take, sizes[i] - take))
-        windows.append((window, left))
-    roomy = sorted((w for w in windows if w[1]), key=lambda w: w[1])
-    for window, left in roomy:
-        while left and excess:
-            i, start, size = excess.pop()
-            take = min(left, size)
-            window.append((i, start, take))
-            left -= take
-            if take < size:
-                excess.append((i, start + take, size - take))
-    return [w for w, _ in windows if w]
+        sums = [sum(sizes[i] for i in p) for p in parts]
+        if max(sums) <= capacity:
+            return [p for p, n in zip(parts, sums) if n]
+        # The largest sum stays about as far above the mean, so this many windows are needed at least.
+        k = max(k + 1, int(total / max(capacity - (max(sums) - total / k), capacity / 2)))
+    return []
+
+
+def fill(windows: list[list[tuple[int, int, int]]], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of (item, first token, tokens), by falling sum: all hold the capacity but the last, which may hold less.
+
+    The emptiest windows are taken apart from their last token on and fill the fullest.
+    """
+    order = sorted(([sum(p[2] for p in w), list(w)] for w in windows), key=lambda w: -w[0])
+    last = len(order) - 1
+    for place, (size, window) in enumerate(order):
+        while size < capacity and place < last:
+            item, start, n = order[last][1].pop()
+            take = min(n, capacity - size)
+            window.append((item, start + n - take, take))
+            size += take
+            order[last][0] -= take
+            if take < n:
+                order[last][1].append((item, start, n - take))
+            elif not order[last][1]:
+                last -= 1
+    return [w for _, w in order[: last + 1] if w]
 
 
 def written_order(docs: DataFrame) -> dict[str, int]:
@@ -128,11 +133,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
     and, with ``with_ids``, ``ids``. Sequence ids are unique and, for the same
     input partitions, the same in every run; their upper bits are the partition.
 
-    With ``cut``, the sequence that a partition could not fill at its end is
-    handed out in powers of two, which need no padding. Null and empty texts are
+    With ``cut``, at most one sequence of a partition is shorter than the
+    capacity. Without, what is left of a document stays in one piece, and a
+    sequence has as much room as the differencing left. Null and empty texts are
     the separator alone. Null and repeated ids pass through as documents of
     their own. An empty table gives no rows. Only the two named columns are read.
-    ``group`` bounds the documents that one call of the differencing deals with.
+    One call of the differencing deals with ``group`` pieces of documents, and
+    with those of the one window that waits.
 
     With ``in_order``, documents that come from files are packed split by split,
     and the upper bits are the split's place in the written order, however Spark
@@ -153,6 +160,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
         next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         rests: list[tuple] = []  # (id, ids as bytes, tokens before, tokens of the document)
         out: list[tuple] = []
+        held = 0  # pieces of the window that waits
 
         def emit(pieces: list[tuple]) -> None:
             nonlocal next_id
@@ -166,27 +174,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
         def sequences(last: bool) -> None:
             """Deal what is left over; but for the last time, a window that isn't full waits for the next group."""
             nonlocal rests
-            windows = deal([len(r[1]) // 4 for r in rests], capacity, cut)
+            windows = [[(i, 0, len(rests[i][1]) // 4) for i in w] for w in deal([len(r[1]) // 4 for r in rests], capacity)]
             waiting = []
-            for window in windows:
+            for window in fill(windows, capacity) if cut else windows:
                 pieces = [(rests[i][0], rests[i][1][4 * a : 4 * (a + n)], rests[i][2] + a, rests[i][3]) for i, a, n in window]
-                size = sum(n for _, _, n in window)
-                if size == capacity or not cut:
-                    emit(pieces)
-                elif not last:
+                if cut and not last and sum(n for _, _, n in window) < capacity:
                     waiting += pieces
                 else:
-                    while size:
-                        part, room = [], 1 << (size.bit_length() - 1)
-                        size -= room
-                        while room:
-                            i, raw, start, whole = pieces.pop(0)
-                            take = min(room, len(raw) // 4)
-                            part.append((i, raw[: 4 * take], start, whole))
-                            if 4 * take < len(raw):
-                                pieces.insert(0, (i, raw[4 * take :], start + take, whole))
-                            room -= take
-                        emit(part)
+                    emit(pieces)
             rests = waiting
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -203,15 +198,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, separa
             for i, value, now in zip(batch.column(0).to_pylist(), batch.column(1), splits):
                 if now != split:
                     sequences(last=True)
-                    split, next_id = now, places[now] << 40
+                    split, next_id, held = now, places[now] << 40, 0
                 raw = units.packed_ids(value.as_py() or "") + end
                 whole, full = len(raw) // 4, len(raw) // 4 // capacity * capacity
                 for start in range(0, full, capacity):
                     emit([(i, raw[4 * start : 4 * (start + capacity)], start, whole)])
                 if full < whole:
                     rests.append((i, raw[4 * full :], full, whole))
-                if len(rests) >= group:
+                if len(rests) >= group + held:
                     sequences(last=False)
+                    held = len(rests)
                 if len(out) >= 5_000:
                     yield from flush()
         sequences(last=True)
