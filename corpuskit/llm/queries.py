@@ -76,7 +76,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER), store=False)
+    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

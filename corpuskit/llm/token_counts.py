@@ -2,10 +2,14 @@
 
 The byte-pair encoding of a prefix that ends at byte i has one possible last
 token t, and what stands before t is the encoding of the prefix that ends at
-i - len(t). So count[i] = count[i - len(t)] + 1, where t is the longest token
-that ends at i and stays apart from the last token of the shorter prefix when
-the two are encoded together. The step needs only pairs of tokens, which repeat
-and are kept; a text is never encoded again for one of its prefixes.
+i - len(t). So count[i] = count[i - len(t)] + 1, where t is the one token that
+ends at i and stays apart from the last token of the shorter prefix when the two
+are encoded together. The step needs only pairs of tokens, which repeat and are
+kept; a text is never encoded again for one of its prefixes.
+
+A special token's string cuts a text. What stands before it is counted as if it
+went on with the string but for its last character, which gives the prefixes
+that end inside the string, and the string itself is one token.
 
 The table of a text is the running sum of one small signed number a character,
 stored as bytes. It answers how many tokens any prefix has and where a text has
@@ -17,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -24,10 +29,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.tokens import LONGEST_KEPT, SPACE, SPLIT, Recent, unit_tokenizer
+from corpuskit.llm.tokens import LONGEST_KEPT, SPACE, SPLIT, Recent, split_words, unit_tokenizer
 
 #: Pieces that the split pattern takes whole though their prefixes are two pieces (fixed values).
 CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
+#: From this many bytes on, the tokens that end at each byte come from an automaton.
+LONG_PIECE = 64
+
+
+def small(deltas: np.ndarray) -> bytes:
+    """Differences as signed bytes."""
+    if len(deltas) and (deltas.min() < -128 or deltas.max() > 127):
+        raise OverflowError("one more character changes the token count by more than a signed byte holds")
+    return deltas.astype(np.int8).tobytes()
+
+
+def large(deltas: bytes) -> np.ndarray:
+    return np.frombuffer(deltas, np.int8)
 
 
 class PrefixCounter:
@@ -38,11 +56,25 @@ class PrefixCounter:
         self.split = regex.compile(SPLIT)
         self.lead = regex.compile(rf"[{SPACE}]*")
         self.apart: dict[tuple[bytes, bytes], bool] = {}
-        self.exact = self.tokenizer.core is not None
+        specials = self.tokenizer.specials
+        # A special string inside another one would end in the middle of it.
+        self.exact = self.tokenizer.core is not None and not any(a != b and a in b for a in specials for b in specials)
         self.longest = max(map(len, self.tokenizer.ranks)) if self.exact else 0
         self.before: tuple[bytes, list[int], list[bytes]] = (b"", [0], [b""])
         self.pieces = Recent(self._piece, kept)
         self.cache = Recent(self._unit, kept)
+        self.words = Recent(lambda word: (self._unit if word.split() == [word] else self._units)(" " + word), kept)
+        self._automaton = None
+
+    @property
+    def automaton(self):
+        """Finds all tokens in a text of one character a byte; made when it is first asked."""
+        if self._automaton is None:
+            self._automaton = ahocorasick.Automaton()
+            for token in self.tokenizer.ranks:
+                self._automaton.add_word(token.decode("latin-1"), len(token))
+            self._automaton.make_automaton()
+        return self._automaton
 
     def _stays_apart(self, a: bytes, b: bytes) -> bool:
         found = self.apart.get((a, b))
@@ -62,52 +94,90 @@ class PrefixCounter:
         """
         if piece in CONTRACTIONS:
             return [len(self.tokenizer.encode(piece[: k + 1])) for k in range(len(piece))]
-        raw, ranks, apart = piece.encode(), self.tokenizer.ranks, self.apart
+        raw = piece.encode()
+        counts = self._long(raw) if len(raw) > LONG_PIECE else self._short(raw)
+        return counts[1:] if len(raw) == len(piece) else [counts[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
+
+    def _short(self, raw: bytes) -> list[int]:
+        ranks, apart = self.tokenizer.ranks, self.apart
         before, counts, last = self.before
         shared, most = 0, min(len(raw), len(before))
         while shared < most and raw[shared] == before[shared]:
             shared += 1
         del counts[shared + 1 :], last[shared + 1 :]
         for i in range(shared + 1, len(raw) + 1):
-            for start in range(max(0, i - self.longest), i):
-                token = raw[start:i]
-                if token in ranks and (not start or (apart[pair] if (pair := (last[start], token)) in apart else self._stays_apart(*pair))):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+            # There is but one token that fits, so the order is free. Most often it is the last one grown by a byte, or a short one.
+            start = i - 1 - len(last[-1])
+            token = raw[start:i]
+            if token not in ranks or start and not (apart[pair] if (pair := (last[start], token)) in apart else self._stays_apart(*pair)):
+                for start in range(i - 1, -1, -1):
+                    token = raw[start:i]
+                    if token in ranks and (not start or (apart[pair] if (pair := (last[start], token)) in apart else self._stays_apart(*pair))):
+                        break
+            counts.append(counts[start] + 1)
+            last.append(token)
         self.before = raw, counts, last
-        return counts[1:] if len(raw) == len(piece) else [counts[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
+        return counts
+
+    def _long(self, raw: bytes) -> list[int]:
+        counts, last = [0], [b""]
+        for end, size in self.automaton.iter(raw.decode("latin-1")):
+            if end + 2 == len(counts):
+                continue  # the token that ends here is known
+            start = end + 1 - size
+            token = raw[start : end + 1]
+            if not start or self._stays_apart(last[start], token):
+                counts.append(counts[start] + 1)
+                last.append(token)
+        return counts
 
     def _piece(self, piece: str) -> bytes:
         counts = self.piece_counts(piece)
-        return bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
+        if len(counts) < 128:  # no difference is larger than the piece
+            return bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
+        return small(np.diff(np.array(counts, np.int64), prepend=0))
 
     def _unit(self, unit: str) -> bytes:
         joined = b"".join(map(self.pieces.__getitem__, self.split.findall(unit)))
         if not unit[:2].isspace() or (spaces := self.lead.match(unit).end()) < 2 or spaces == len(unit):
             return joined
         # Until the first other character comes, the white space before it is one piece.
-        counts = np.frombuffer(joined, np.int8).cumsum(dtype=np.int64)
-        counts[:spaces] = np.frombuffer(self.pieces[unit[:spaces]], np.int8).cumsum(dtype=np.int64)
-        return np.diff(counts, prepend=0).astype(np.int8).tobytes()
+        counts = large(joined).cumsum(dtype=np.int64)
+        counts[:spaces] = large(self.pieces[unit[:spaces]]).cumsum(dtype=np.int64)
+        return small(np.diff(counts, prepend=0))
+
+    def _units(self, text: str) -> bytes:
+        return b"".join(map(self.cache.__getitem__, self.tokenizer.units.findall(text)))
 
     def deltas_of(self, texts: list[str]) -> list[bytes]:
         """For each text one signed byte a character; their running sum is the table."""
         if not self.exact:
-            return [b"".join(map(self._other, self.tokenizer.units.findall(t) if self.tokenizer.by_unit else [t] * bool(t))) for t in texts]
+            return list(map(self._other, texts))
         specials = self.tokenizer.specials
-        units = [self.tokenizer.units.findall(t) for t in texts]
-        for unit in sorted(set().union(*units).difference(self.cache, self.cache.old)):
-            if len(unit) <= LONGEST_KEPT:  # in this order most of a unit's prefixes were just seen
-                self.cache[unit]
-        return [b"".join(map(self._other if any(s in t for s in specials) else self.cache.__getitem__, u)) for t, u in zip(texts, units)]
-
-    def _other(self, unit: str) -> bytes:
-        """For units with special tokens, and vocabularies that aren't ranks: each prefix by the library."""
-        if self.exact and not any(s in unit for s in self.tokenizer.specials):
-            return self.cache[unit]
-        counts = [len(self.tokenizer.encode(unit[: k + 1])) for k in range(len(unit))]
-        return np.diff(np.array(counts, dtype=np.int64), prepend=0).astype(np.int8).tobytes()
+        words = [None if any(s in t for s in specials) else split_words(t) for t in texts]
+        known, old = self.words, self.words.old
+        fresh = {w for said in words if said for w in said[1:] if len(w) <= LONGEST_KEPT and w not in known and w not in old}
+        for word in sorted(fresh):  # in this order most of a word's prefixes were just seen
+            known[word]
+        return [self._parts(t) if w is None else self._units(w[0]) + b"".join(map(self.words.__getitem__, w[1:])) for t, w in zip(texts, words)]
+
+    def _parts(self, text: str) -> bytes:
+        """Of a text that may hold special tokens, part by part."""
+        parts, out = self.tokenizer.at_specials.split(text) if self.tokenizer.specials else [text], []
+        for part, special in zip(parts[::2], [*parts[1::2], ""]):
+            deltas = self._units(part + special[:-1])
+            if special:
+                deltas += small(np.array([1 - large(deltas[len(part) :]).sum(dtype=np.int64)]))
+            out.append(deltas)
+        return b"".join(out)
+
+    def _other(self, text: str) -> bytes:
+        """Without such a vocabulary each prefix goes through the library: of every unit alone, if that gives the whole text's ids."""
+        encode, units = self.tokenizer.encode, self.tokenizer.units.findall(text)
+        if [i for u in units for i in encode(u)] != encode(text):
+            units = [text]
+        counts = [[len(encode(u[: k + 1])) for k in range(len(u))] for u in units]
+        return b"".join(small(np.diff(np.array(c, np.int64), prepend=0)) for c in counts)
 
 
 def parts(column: pa.Array, most: int = 4_000_000) -> Iterator[list[str]]:
@@ -130,8 +200,7 @@ def prefix_counter(path: str) -> PrefixCounter:
 
 def open_table(stored: bytes) -> np.ndarray:
     """Token counts of the prefixes of 0, 1, 2, ... characters."""
-    deltas = np.frombuffer(zstandard.decompress(stored), np.int8)
-    return np.concatenate(([0], deltas.cumsum(dtype=np.int64)))
+    return np.concatenate(([0], large(zstandard.decompress(stored)).cumsum(dtype=np.int64)))
 
 
 def tokens_before(stored: bytes, n_chars: int) -> int:
@@ -146,35 +215,49 @@ def longest_within(stored: bytes, budget: int) -> int:
     return int(fits[-1]) if len(fits) else 0
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", store: bool = True) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, cut: int = 4096, id_col: str = "doc_id", text_col: str = "text", store: bool = True) -> DataFrame:
     """Count the tokens of every whole text, and of all its prefixes.
 
-    Returns the id, ``n_bytes``, ``n_tokens``, ``over_limit`` and, with
-    ``store``, ``prefix_counts`` (the compressed table for ``tokens_before`` and
-    ``longest_within``). No begin, end or other token is added; strings of
-    special tokens inside a text count as the library counts them by default.
+    Returns the id, ``n_bytes``, ``n_tokens``, ``over_limit``; from the table of
+    prefixes ``limit_chars`` (the characters of the longest prefix of at most
+    ``limit`` tokens) and ``cut_tokens`` (the tokens of a text that is cut to
+    ``cut`` characters); and, with ``store``, ``prefix_counts``, the compressed
+    table, for ``tokens_before`` and ``longest_within``. No begin, end or other
+    token is added; strings of special tokens inside a text count as the library
+    counts them by default.
 
     Null texts count as empty: 0 bytes, 0 tokens. Null and repeated ids pass
     through, one row out for each row in. Only the two named columns are read,
-    so other columns may have any names. A text of any length takes memory in
-    proportion to its own length only.
+    so other columns may have any names. A text of any length takes memory and
+    time in proportion to its own length. That holds for byte-level vocabularies
+    whose merges are in the order of their ids; for others the library counts
+    every prefix, of each unit alone where that is exact, which takes time with
+    the square of a unit's or else the text's length.
     """
-    kept = [("n_bytes", pa.int64()), ("n_tokens", pa.int64())] + ([("prefix_counts", pa.binary())] if store else [])
-    schema = ", ".join(f"{n} {'binary' if t == pa.binary() else 'bigint'}" for n, t in kept)
+    numbers = ["n_bytes", "n_tokens", "limit_chars", "cut_tokens"]
+    schema = ", ".join(f"{n} bigint" for n in numbers) + (", prefix_counts binary" if store else "")
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def answers(text: str, deltas: bytes) -> tuple[int, int, int, int]:
+        table = large(deltas).cumsum(dtype=np.int64)
+        n_tokens = int(table[-1]) if len(table) else 0
+        # Counts can fall by a few, so the last prefix that fits is looked for.
+        within = len(table) if n_tokens <= limit else int(np.flatnonzero(table <= limit)[-1:].sum() + (table <= limit).any())
+        return len(text.encode()), n_tokens, within, int(table[min(cut, len(table)) - 1]) if len(table) and cut > 0 else 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, pack = prefix_counter(tokenizer), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            ids, n_bytes, n_tokens, tables = batch.column(0), [], [], []
+            found, tables = [], []
             for texts in parts(batch.column(1)):
                 for text, deltas in zip(texts, counter.deltas_of(texts)):
-                    n_bytes.append(len(text.encode()))
-                    n_tokens.append(int(np.frombuffer(deltas, np.int8).sum(dtype=np.int64)))
+                    found.append(answers(text, deltas))
                     if store:
                         tables.append(pack(deltas))
-            made = [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())] + ([pa.array(tables, pa.binary())] if store else [])
-            yield pa.RecordBatch.from_arrays([ids, *made], names=["id", *(n for n, _ in kept)])
+            made = [pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * len(numbers))]
+            made += [pa.array(tables, pa.binary())] if store else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["id", *numbers, *(["prefix_counts"] if store else [])])
 
     counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {schema}")
-    return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), *(["prefix_counts"] if store else []))
+    over = (F.col("n_tokens") > limit).alias("over_limit")
+    return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", over, "limit_chars", "cut_tokens", *(["prefix_counts"] if store else []))

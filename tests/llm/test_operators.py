@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -190,7 +191,7 @@ def test_ids_and_prefixes(docs):
 
 def test_token_counts(docs, none):
     library = tokens.unit_tokenizer(PATH).library
-    got = token_counts.count_tokens(docs, PATH, limit=40).collect()
+    got = token_counts.count_tokens(docs, PATH, limit=40, cut=30).collect()
     text = {r["doc_id"]: r["text"] or "" for r in docs.collect() if r["doc_id"] is not None}
     assert len(got) == docs.count()
     for r in got:
@@ -201,9 +202,32 @@ def test_token_counts(docs, none):
             assert token_counts.tokens_before(r["prefix_counts"], len(t) // 2) == len(library.encode(t[: len(t) // 2], add_special_tokens=False).ids)
             cut = token_counts.longest_within(r["prefix_counts"], 10)
             assert len(library.encode(t[:cut], add_special_tokens=False).ids) <= 10
+            if len(t) < 300:
+                fits = [k for k in range(len(t) + 1) if len(library.encode(t[:k], add_special_tokens=False).ids) <= 40]
+                assert r["limit_chars"] == max(fits) and r["cut_tokens"] == len(library.encode(t[:30], add_special_tokens=False).ids)
     assert token_counts.count_tokens(none, PATH).count() == 0
 
 
+def test_special_strings_and_long_units():
+    unit, counter = tokens.unit_tokenizer(PATH), token_counts.prefix_counter(PATH)
+    rng = random.Random(15)
+    texts = ["".join(rng.choice([" ", "\n", "a", "b", "'s", ".", "é", "<|endoftext|>", "<|endof"]) for _ in range(40)) for _ in range(60)]
+    for t, d in zip(texts, counter.deltas_of(texts)):
+        assert np.frombuffer(unit.packed_ids(t), "<u4").tolist() == unit.library.encode(t, add_special_tokens=False).ids
+        assert token_counts.large(d).cumsum(dtype=int).tolist() == [len(unit.library.encode(t[: k + 1], add_special_tokens=False).ids) for k in range(len(t))]
+    start = time.time()
+    for t in ("<|endoftext|>" + "ab" * 500_000, " " * 1_000_000 + "x"):
+        n = len(unit.library.encode(t, add_special_tokens=False).ids)
+        assert token_counts.large(counter.deltas_of([t])[0]).sum(dtype=int) == n == len(unit.packed_ids(t)) // 4
+    assert time.time() - start < 40  # in proportion to the length
+
+
+def test_differences_beyond_a_byte_are_not_wrapped():
+    assert token_counts.large(token_counts.small(np.array([-128, 127, 0]))).tolist() == [-128, 127, 0]
+    with pytest.raises(OverflowError):
+        token_counts.small(np.array([1, 128]))
+
+
 def test_other_vocabularies(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = tokens.unit_tokenizer(path).library
@@ -234,11 +258,26 @@ def test_packing(docs, none, cut):
     for parts in by_sequence.values():
         parts.sort(key=lambda p: p["offset"])
         assert [p["offset"] for p in parts] == list(np.cumsum([0] + [p["length"] for p in parts[:-1]])) and sum(p["length"] for p in parts) <= 64
-    if cut:
-        assert all(sum(p["length"] for p in parts) == parts[0]["padded_to"] for parts in by_sequence.values())
+    sums = {s: sum(p["length"] for p in parts) for s, parts in by_sequence.items()}
+    if cut:  # one short sequence a partition
+        assert len({s >> 40 for s, n in sums.items() if n < 64}) == sum(n < 64 for n in sums.values())
+    else:  # what is left of a document stays whole
+        assert all(p["length"] == min(64, p["doc_tokens"] - p["start"]) for p in pieces)
     assert packing.pack_documents(none, PATH).count() == 0
 
 
+def test_packing_leaves_little_padding(spark):
+    text = " ".join(["a"] * 510)  # with the separator 511 tokens
+    docs = spark.createDataFrame([(i, text) for i in range(400)], "doc_id long, text string").coalesce(1)
+    for cut in (True, False):
+        pieces = packing.pack_documents(docs, PATH, cut=cut).collect()
+        sums = {}
+        for p in pieces:
+            sums[p["sequence_id"]] = sums.get(p["sequence_id"], 0) + p["length"]
+        assert len(sums) == 200 and sum(sums.values()) == 400 * 511
+        assert sum(n < 1024 for n in sums.values()) == (1 if cut else 200)
+
+
 def test_differencing():
     rng = random.Random(9)
     for _ in range(30):
@@ -247,7 +286,20 @@ def test_differencing():
         assert sorted(i for p in parts for i in p) == list(range(len(sizes))) and len(parts) <= k
     sums = [sum(i + 1 for i in p) for p in packing.difference(list(range(1, 201)), 10)]
     assert max(sums) - min(sums) <= 2
-    assert packing.deal([], 10, True) == []
+    assert packing.deal([], 10) == []
+
+
+def test_windows_rise_and_fill():
+    rng = random.Random(14)
+    for _ in range(30):
+        sizes = [rng.randint(1, 100) for _ in range(rng.randint(1, 80))]
+        windows = packing.deal(sizes, 100)
+        assert sorted(i for w in windows for i in w) == list(range(len(sizes))) and all(sum(sizes[i] for i in w) <= 100 for w in windows)
+        full = packing.fill([[(i, 0, sizes[i]) for i in w] for w in windows], 100)
+        assert len(full) == -(-sum(sizes) // 100) and all(sum(n for _, _, n in w) == 100 for w in full[:-1])
+        tokens_of = sorted((i, t) for w in full for i, start, n in w for t in range(start, start + n))
+        assert tokens_of == [(i, t) for i, n in enumerate(sizes) for t in range(n)]
+    assert len(packing.deal([60] * 6, 100)) == 6  # two exceed a window: one for each piece
 
 
 # mixing
