@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm import scratch
 
-#: A bitmap has this many bits at least and at most (2 MB and 16 MB).
-BITS = (1 << 24, 1 << 27)
+#: A bitmap has this many bits at least and at most (2 MB and 128 MB): eight for each key up to 10^8 keys. Beyond
+#: that it fills up, and the rows that it lets through by mistake, all of them in the end, are joined like the others.
+BITS = (1 << 24, 1 << 30)
 
 
 def _bit(key: Column, bits: int) -> Column:
@@ -25,6 +26,7 @@ class Bitmap:
 
     def __init__(self, keys: DataFrame, column: str):
         count, self.bits = keys.count(), BITS[0]
+        self.count = count
         while self.bits < BITS[1] and self.bits < 8 * count:
             self.bits *= 2
         at = _bit(F.col(column), self.bits)
@@ -35,7 +37,7 @@ class Bitmap:
         """``rows`` with ``hit``: false where the column's value is surely not among the keys."""
         at = _bit(F.col(column), self.bits)
         found = rows.withColumns({"_part": F.bitmap_bucket_number(at), "_bit": F.bitmap_bit_position(at)})
-        # At most bits / 8 bytes, whatever the input: 16 MB.
+        # At most bits / 8 bytes, whatever the input: 128 MB, and a byte for each key.
         found = found.join(F.broadcast(self.parts), "_part", "left")
         byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
         mask = F.expr("shiftleft(1, cast(_bit % 8 as int))")

@@ -60,6 +60,41 @@ def test_copies(docs, keep, digest):
     assert {r["doc_id"] for r in left.collect()} == set(best.values())
 
 
+def test_index_of_several_flushes(spark):
+    rng = random.Random(16)
+    index = exact_dedup.DigestIndex(spark, keep="min")
+    rows, sizes = [], []
+    asked = spark.createDataFrame([(f"t{k}",) for k in range(40)], "text string").select(exact_dedup.sha256(F.col("text")).alias("digest"), "text")
+
+    def check():
+        groups = {}
+        for i, t in rows:
+            groups.setdefault(t, []).append(i)
+        got = {r["text"]: (r["best"]["id"], r["n"]) for r in index.lookup(asked).join(asked, "digest").collect()}
+        assert got == {t: (min(ids), len(ids)) for t, ids in groups.items()}
+
+    for flush in range(3):
+        batch = [(100 * flush + i, f"t{rng.randint(10 * flush, 10 * flush + 14)}") for i in range(25)] + [(7, "t12"), (7, "t12")]
+        rows += batch
+        index.flush(spark.createDataFrame(batch, "doc_id long, text string").repartition(3), "doc_id", "text")
+        check()  # with runs on two levels after the first round
+        if flush:
+            run = index.compact()
+            entries = run.entries.collect()
+            assert index.runs == [run] and len(entries) == len({r["digest"] for r in entries}) == len({t for _, t in rows})
+            assert {(r["best"]["generation"], r["best"]["row"]) for r in entries} and sum(r["n"] for r in entries) == len(rows)
+            check()
+    assert exact_dedup.DigestIndex(spark).compact() is None and exact_dedup.DigestIndex(spark).lookup(asked).count() == 0
+
+
+def test_filters_are_asked(spark):
+    index = exact_dedup.DigestIndex(spark)
+    run = index.flush(spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string"), "doc_id", "text")
+    digests = spark.range(100).select(exact_dedup.sha256(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("digest"))
+    assert 50 <= run.seen.mark(digests, "digest").where("hit").count() < 60 and index.lookup(digests).count() == 50
+    assert index.compact().several.mark(digests, "digest").where("hit").count() == 0
+
+
 def test_copies_of_nothing(none):
     assert exact_dedup.find_copies(none).count() == 0 and exact_dedup.drop_copies(none).count() == 0
 
