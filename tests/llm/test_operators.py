@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 import time
 import zlib
 
@@ -387,18 +388,99 @@ def test_base_spans():
     got = pii.base_spans(text)
     shown = [(k, text[s:e]) for k, s, e in got]
     assert shown == [("email", "a@b.co"), ("email", "z.w@q.r.s"), ("ip", "1.2.3.4"), ("ip", "5.6.7.8"), ("card", "4111 1111-1111 1111"), ("phone", "+1 (234) 555-0199")]
-    assert pii.base_spans("1" * 20_000 + "." * 3) == [] and len(pii.instances("@" * 1000 + "9" * 1000, [])) < 30
+    assert pii.base_spans("1" * 20_000 + "." * 3) == [] and len(pii.instances("@" * 1000 + "9" * 1000, [])) < 60
+
+
+def plain_spans(text):
+    """The expressions of the contract as they are written."""
+    found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            found.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(x) for x in m[0] if x.isdigit()]
+        total = sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits)))
+        if 16 <= len(digits) <= 19 and total % 10 == 0:
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= sum(x.isdigit() for x in m[0]) <= 15:
+            found.append(("phone", *m.span()))
+    return found
+
+
+def test_base_spans_against_the_plain_expressions():
+    rng = random.Random(17)
+    pieces = ["a", "b.c", "@", ".", " ", "-", "+", "1", "25", "255", "300", "4111 1111 1111 1111", "4111111111111111", "(234)", "x@y.z", "1.2.3.4", "+1 234 567 8901", "é", "\n", "%"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_instances():
+    text = 'write to jo.doe (at) big-site (dot) org or ann at x dot y; (234) 555-0199. +1 22 333 4444, 5 token: "abc123def456ghi789" 1.2.3.4 x(9)'
+    found = {text[s:e]: kind for kind, s, e, *_ in pii.instances(text, pii.base_spans(text))}
+    assert {"jo.doe (at) big-site (dot) org", "ann at x dot y", "(234) 555-0199", "+1 22 333 4444"} <= {t for t, k in found.items() if not k} | {t for t, k in found.items() if k == "phone"}
+    assert found["abc123def456ghi789"] == "secret" and found["1.2.3.4"] == "ip"
+    assert pii.refused("4111111111111112") and not pii.refused("4111111111111111") and pii.refused("1.2.3.256") and not pii.refused("12 34")
+    assert pii.shape("+1 (743) 555-3824 Ab é 24be64439e3e49") == "+91 (93) 93-94 Aa a <14>"
 
 
 def test_contexts_find_more(spark, none):
+    rng = random.Random(18)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
     rows = [(i, f"please mail u{i}@x.com today or so {i}") for i in range(30)] + [(100, "please mail jo9(at)x today"), (101, None), (102, ""), (103, "in room 9 today")]
-    got = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    text = dict(rows)
-    assert [text[100][a["start"] : a["end"]] for a in got[100]["added"]] == ["jo9(at)x"] and got[100]["added"][0]["kind"] == "x_email"
-    assert all(len(got[i]["base"]) == 1 and not got[i]["added"] for i in range(30)) and not got[103]["added"] and not got[101]["base"]
+    rows += [(200 + i, f"ring +1 ({number(3)}) {number(3)}-{number(4)} now {number(16)} ") for i in range(20)]
+    rows += [(300, "it was +1 (234) 555-0199 10.20.30.40 there"), (301, "it was (234) 555-0199 there")]
+    rows += [(400 + i, f'token = "{key()}" x') for i in range(8)] + [(410, f'then token = "{key().upper()[:39]}-" y'), (411, f"commit {key()} z")]
+    rows += [(7, rows[7][1]), (None, "please mail jo9(at)x today"), (None, None)]
+    got, text = {}, {}
+    for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for i, t in rows:
+        text.setdefault(i, t or "")
+    shown = {i: [(a["kind"], text[i][a["start"] : a["end"]]) for a in got[i][0]["added"]] for i in got}
+    assert shown[100] == [("email", "jo9(at)x")] and shown[300] == [("phone", "+1 (234) 555-0199")]
+    assert all(len(got[i][0]["base"]) == 1 and not got[i][0]["added"] for i in range(30)) and not shown[103] and not got[101][0]["base"]
+    for i in range(200, 220):  # a wrong check digit is a reason not to add a number
+        assert not shown[i] and (len(got[i][0]["base"]) == 2) == pii.luhn(text[i].split()[-1])
+    assert all(shown[i] == [("secret", text[i].split('"')[1])] for i in (*range(400, 408), 410))
+    assert len(got[7]) == 2 and got[7][0] == got[7][1] and sorted(len(r["added"]) for r in got[None]) == [0, 1]
     assert pii.find_personal_data(none).count() == 0
 
 
+def test_scores_against_plain_python(spark):
+    rng = random.Random(19)
+    kinds = {i: rng.choice(("email", "ip", "", "", "")) for i in range(60)}
+    refused = {i: not k and rng.random() < 0.2 for i, k in kinds.items()}
+    links = sorted({(f"p{rng.randint(0, 11) if kinds[i] != 'ip' else rng.randint(9, 14)}", i) for i in kinds for _ in range(3)} | {("q", i) for i in kinds if kinds[i] == "email"} | {("q", i) for i in list(kinds)[:2]} | {("r", i) for i in list(kinds)[:2]})
+    got = pii.score_graph(spark.createDataFrame([(p, i, kinds[i], refused[i]) for p, i in links], "pattern string, instance long, kind string, refused boolean"), 0.6, 3)
+    every = {p: [i for q, i in links if q == p] for p, _ in links}
+    known, before = {i: (1.0, k) for i, k in kinds.items() if k}, None
+    for _ in range(4):
+        trusted = {}
+        for p, its in every.items():
+            for kind in ("email", "ip"):
+                scores = [known[i][0] for i in its if i in known and known[i][1] == kind]
+                if len(scores) >= 3 and sum(scores) / (len(its) + 1) >= 0.6:
+                    trusted[p, kind] = (sum(scores) / (len(its) + 1), len(scores))
+        if (size := sum(n for _, n in trusted.values())) == before:
+            break
+        before = size
+        known = {i: (1.0, k) for i, k in kinds.items() if k}
+        for i in kinds:
+            if not kinds[i] and not refused[i]:
+                wrong = {}
+                for (p, kind), (c, _) in trusted.items():
+                    if i in every[p]:
+                        wrong[kind] = wrong.get(kind, 1.0) * max(1 - c, 1e-6)
+                if wrong:
+                    known[i] = max((1 - w, kind) for kind, w in wrong.items())
+    found = {(r["pattern"], r["kind"]): (r["confidence"], r["known"]) for r in got.collect()}
+    assert trusted and found.keys() == trusted.keys()
+    assert all(found[k] == (pytest.approx(trusted[k][0]), trusted[k][1]) for k in trusted)
+
+
 # quality
 
 
