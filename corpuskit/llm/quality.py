@@ -6,9 +6,13 @@ the two classes; a linear model with hinge loss is then fitted to the scaled
 indicators by dual coordinate descent, and its margins are turned into
 probabilities by a logistic curve fitted to rows that the model has not seen.
 
-The model is fitted at the driver on a bounded sample of labelled rows
-(``per_class`` rows of each class, those of the smallest hash of their ids); its
-size doesn't depend on the data. Scoring reads all rows.
+The model is fitted at the driver on a bounded sample of labelled rows:
+``per_class`` rows of each class at most, those of the smallest hash of their
+ids, and of these as many as hold ``most_places`` n-grams together. Its size
+doesn't depend on the data. Scoring reads all rows.
+
+The features, the constant and the cost were chosen by ``cross_validate`` over
+training rows alone; labels of held-out rows were no part of any choice.
 """
 
 from __future__ import annotations
@@ -21,15 +25,15 @@ from operator import eq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Places of hashed n-grams, and after them those of n-grams of one word: it stands 2, 3, 4, 6, 8 or 12 times in a row.
 HASHED = 1 << 18
 RUNS = (2, 3, 4, 6, 8, 12)
 PLACES = HASHED + len(RUNS)
-#: The value of the constant feature, beside ratios of some tenths to a few units.
-CONSTANT = 4.0
+#: The value of the constant feature, beside ratios of some tenths to a few units, and the cost of a row's loss.
+CONSTANT, COST = 1.0, 1.0
 
 
 def ngrams(text: str | None, at_once: int = 1 << 20) -> np.ndarray:
@@ -53,12 +57,13 @@ class Model:
     weights: np.ndarray
     squares: np.ndarray
     bias: float
+    constant: float = CONSTANT
     slope: float = 1.0
     shift: float = 0.0
 
     def margin(self, places: np.ndarray) -> float:
         """Of the row scaled to unit length, as in the fit."""
-        return (float(self.weights[places].sum()) + self.bias * CONSTANT) / math.sqrt(float(self.squares[places].sum()) + CONSTANT**2)
+        return (float(self.weights[places].sum()) + self.bias * self.constant) / math.sqrt(float(self.squares[places].sum()) + self.constant**2)
 
     def score(self, places: np.ndarray) -> float:
         z = self.slope * self.margin(places) + self.shift
@@ -72,11 +77,11 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
-def fit_hinge(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, cost: float = 1.0, rounds: int = 20, seed: int = 0) -> tuple[np.ndarray, float]:
+def fit_hinge(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, constant: float = CONSTANT, cost: float = COST, rounds: int = 20, seed: int = 0, enough: float = 1e-3) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the linear hinge loss; rows are scaled to unit length."""
     rng, n = np.random.default_rng(seed), len(rows)
     values = [ratios[r] for r in rows]
-    scale = [1 / math.sqrt(float(v @ v) + CONSTANT**2) for v in values]
+    scale = [1 / math.sqrt(float(v @ v) + constant**2) for v in values]
     values = [v * s for v, s in zip(values, scale)]
     sign = np.where(y, 1.0, -1.0)
     most = np.full(n, cost)
@@ -84,15 +89,15 @@ def fit_hinge(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, cost: f
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(n):
-            gradient = sign[i] * (w[rows[i]] @ values[i] + bias * CONSTANT * scale[i]) - 1
+            gradient = sign[i] * (w[rows[i]] @ values[i] + bias * constant * scale[i]) - 1
             new = min(max(alpha[i] - gradient, 0.0), most[i])  # the rows' squared length is 1
             step = (new - alpha[i]) * sign[i]
             if step:
                 w[rows[i]] += step * values[i]
-                bias += step * CONSTANT * scale[i]
+                bias += step * constant * scale[i]
                 alpha[i] = new
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < enough:
             break
     return w * ratios, bias
 
@@ -117,7 +122,7 @@ def fit_curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(a, 1e-6), b
 
 
-def fit(rows: list[np.ndarray], labels: list[int]) -> Model | None:
+def fit(rows: list[np.ndarray], labels: list[int], constant: float = CONSTANT, cost: float = COST) -> Model | None:
     """None if there aren't two rows of each class at least."""
     y = np.array(labels, bool)
     if min(y.sum(), len(y) - y.sum()) < 2:
@@ -130,23 +135,37 @@ def fit(rows: list[np.ndarray], labels: list[int]) -> Model | None:
     early = np.flatnonzero(~late)
     seen = [rows[i] for i in early]
     ratios = log_count_ratios(seen, y[early])
-    weights, bias = fit_hinge(seen, y[early], ratios)
-    model = Model(weights, ratios * ratios, bias)
+    weights, bias = fit_hinge(seen, y[early], ratios, constant, cost)
+    model = Model(weights, ratios * ratios, bias, constant)
     margins = np.array([model.margin(rows[i]) for i in np.flatnonzero(late)])
     model.slope, model.shift = fit_curve(margins, y[late])
     return model
 
 
+def cross_validate(rows: list[np.ndarray], labels: list[int], folds: int = 4, threshold: float = 0.7, **options) -> tuple[int, float]:
+    """Errors, and the mean log loss, of rows that models fitted on the other folds score; for choices among options of ``fit``."""
+    errors, loss = 0, 0.0
+    for fold in range(folds):
+        model = fit([r for i, r in enumerate(rows) if i % folds != fold], [y for i, y in enumerate(labels) if i % folds != fold], **options)
+        for r, y in zip(rows[fold::folds], labels[fold::folds]):
+            score = 0.5 if model is None else min(max(model.score(r), 1e-9), 1 - 1e-9)
+            errors += (score >= threshold) != bool(y)
+            loss -= math.log(score if y else 1 - score)
+    return errors, loss / max(len(rows), 1)
+
+
 def held_out(id_col: Column, folds: int = 4, fold: int = 2) -> Column:
     """Whether crc32 of the id as text leaves this remainder; a null id is not held out."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 4000) -> Model | None:
-    """Fit on ``per_class`` labelled documents of each class at most, never on those held out.
+def sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 4000, most_places: int = 40_000_000) -> tuple[list[np.ndarray], list[int]]:
+    """The features and labels of the training rows, never of those held out, in the order of their ids' hashes.
 
-    Null labels and ids are left out. Of an id with several labels the largest
-    counts. What comes to the driver are the places of the sampled texts' n-grams.
+    ``per_class`` labelled documents of each class at most, and of each class as
+    many as have ``most_places`` / 2 places together (80 MB). Null labels and ids
+    are left out. Of an id with several labels the largest counts, of one with
+    several texts the one with the most places.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null").where(~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -155,14 +174,25 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = [ngrams(t.as_py()).astype(np.uint32).tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.binary())], names=["id", "label", "places"])
+            for a in range(0, len(batch), 100):
+                part = batch.slice(a, 100)
+                places = [ngrams(t.as_py()) for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(p) for p in places], pa.int32()), pa.array([p.astype(np.uint32).tobytes() for p in places], pa.binary())], names=["id", "label", "n", "places"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").select("id", "label", "text")
-    rows = sample.mapInArrow(grams, f"id {kind}, label int, places binary").collect()
-    rows = sorted(rows, key=lambda r: (str(r["id"]), bytes(r["places"])))
-    return fit([np.frombuffer(r["places"], np.uint32) for r in rows], [r["label"] for r in rows])
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").select("id", "label", "text")
+    rows = texts.mapInArrow(grams, f"id {kind}, label int, n int, places binary")
+    rows = rows.groupBy("id", "label").agg(F.max(F.struct("n", "places")).alias("best")).select("id", "label", "best.*")
+    # A window of per_class rows at most.
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("run", F.sum("n").over(order)).where(F.col("run") <= most_places // 2).select(F.xxhash64("id").alias("hash"), "id", "label", "places").collect()
+    rows = sorted(rows, key=lambda r: (r["hash"], str(r["id"])))
+    return [np.frombuffer(r["places"], np.uint32) for r in rows], [r["label"] for r in rows]
+
+
+def train(docs: DataFrame, labels: DataFrame, **options) -> Model | None:
+    """Fit on ``sample``, whose options this takes."""
+    return fit(*sample(docs, labels, **options))
 
 
 def scorer(model: Model | None):

@@ -505,13 +505,52 @@ def test_quality(spark, none):
     assert {r["score"] for r in quality.score_quality(table, known.limit(0)).collect()} == {0.5}
 
 
+def test_hinge_loss_against_plain_descent():
+    rng = np.random.default_rng(20)
+    y = rng.random(40) < 0.5
+    rows = [np.flatnonzero(rng.random(30) < np.where(np.arange(30) < 10, 0.6 if label else 0.2, 0.3)).astype(np.uint32) for label in y]
+    ratios = quality.log_count_ratios(rows, y)
+    weights, bias = quality.fit_hinge(rows, y, ratios, rounds=4000, enough=1e-9)
+    full = np.zeros((40, 31))
+    for x, places in zip(full, rows):
+        x[places], x[30] = ratios[places], quality.CONSTANT
+        x /= np.linalg.norm(x)
+    sign = np.where(y, 1.0, -1.0)
+    loss = lambda w: w @ w / 2 + quality.COST * np.maximum(0, 1 - sign * (full @ w)).sum()
+    w = np.zeros(31)
+    best = loss(w)
+    for k in range(1, 40_000):  # subgradient steps
+        hit = sign * (full @ w) < 1
+        w = w - (w - quality.COST * (sign[hit, None] * full[hit]).sum(0)) / k
+        best = min(best, loss(w))
+    made = np.append(np.divide(weights[:30], ratios[:30], out=np.zeros(30), where=ratios[:30] != 0), bias)
+    assert loss(made) <= best + 1e-6 and loss(made) == pytest.approx(best, rel=2e-3)
+
+
+def test_sample_is_bounded(spark):
+    long = spark.createDataFrame([(i, "".join(map(chr, range(200, 4000 + i))) if i % 3 else "a b") for i in range(40)] + [(1, "c")] * 30, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    rows, labels = quality.sample(long, known, per_class=5)
+    assert sorted(labels) == [0] * 5 + [1] * 5
+    rows, labels = quality.sample(long, known, most_places=60_000)
+    assert 0 < sum(map(len, rows)) <= 60_000 and len(rows) == len(labels) < 40
+
+
+def test_cross_validation():
+    rows = [np.array([i % 2, 5 + i % 7], np.uint32) for i in range(60)]
+    assert quality.cross_validate(rows, [i % 2 for i in range(60)])[0] == 0 and quality.cross_validate([], []) == (0, 0.0)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test data")
-def test_quality_on_held_out_documents(spark):
-    d = "/root/testdata/sf0.1"
+@pytest.mark.parametrize("scale, least", [("sf0.01", 0.93), ("sf0.1", 0.99)])
+def test_quality_on_held_out_documents(spark, scale, least):
+    """The figures in the README: with what is shipped, on rows that no choice was made on."""
+    d = f"/root/testdata/{scale}"
     labels = spark.read.parquet(f"{d}/labels.parquet")
     scored = quality.score_quality(spark.read.parquet(f"{d}/documents.parquet").join(labels.select("doc_id"), "doc_id"), labels).where("held_out").join(labels, "doc_id")
-    right, all_ = scored.agg(F.count_if(F.col("predicted") == F.col("quality")), F.count("*")).first()
-    assert right >= 0.98 * all_
+    right, every = scored.agg(F.count_if(F.col("predicted") == F.col("quality")), F.count("*")).first()
+    print(scale, right, every)
+    assert right >= least * every
 
 
 # chat
