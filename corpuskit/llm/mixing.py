@@ -5,10 +5,12 @@ Every source has a target in words. Its weight changes over training time t from
 the source's cumulative demand. Documents stand in a fixed pseudo-random order
 that repeats as often as the target needs. The words before a document in this
 order, the cumulative supply, give its training position by the inverse of the
-demand. Documents are then range-sorted by position.
+demand. Documents are then range-sorted by position: as the demand of all sources
+until any time is known, the bounds of the ranges are computed, not sampled.
 
-Cumulative sums are in two levels: sums of 4096 hash buckets of each source, and
-running sums within a bucket, so that no task holds a source.
+Cumulative sums are in two levels: sums of hash buckets of each source, and
+running sums within a bucket, so that no task holds a source. The number of
+buckets grows with the table; the order, and so the result, doesn't depend on it.
 """
 
 from __future__ import annotations
@@ -35,18 +37,23 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), F.greatest(n, F.lit(0)).cast("int")), "")
 
 
-def number_rows(df: DataFrame, *order: Column) -> DataFrame:
-    """Add ``place``, from 0, along a total order, without moving all rows to one task.
+def running_sums(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Add the sum of each column over all rows before, along a total order, without moving all rows to one task.
 
-    As many numbers as partitions come to the driver.
+    As many sums as partitions come to the driver. Returns the sums over all rows as well.
     """
     ranged = scratch.materialise(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranged")
-    before, start = {}, 0
-    for r in sorted(ranged.groupBy("part").count().collect(), key=lambda r: r["part"]):
-        before[r["part"]], start = start, start + r["count"]
-    starts = F.create_map(*(F.lit(x) for pair in before.items() for x in pair)) if before else F.create_map(F.lit(0), F.lit(0))
-    within = F.row_number().over(W.partitionBy("part").orderBy(*order))
-    return ranged.withColumn("place", (within - 1 + F.element_at(starts, F.col("part"))).cast("bigint")).drop("part")
+    found = sorted(ranged.groupBy("part").agg(*(F.sum(c).alias(n) for n, c in sums.items())).collect(), key=lambda r: r["part"])
+    within = W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    totals = {}
+    for name, column in sums.items():
+        before, run = [F.lit(-1), F.lit(0)], 0
+        for r in found:
+            before += [F.lit(r["part"]), F.lit(run)]
+            run += r[name]
+        totals[name] = run
+        ranged = ranged.withColumn(name, F.coalesce(F.sum(column).over(within), F.lit(0)) + F.element_at(F.create_map(*before), F.col("part")))
+    return ranged.drop("part"), totals
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3, share: float = 1.0) -> DataFrame:
@@ -56,24 +63,23 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap
     share ``share`` of all sizes by them. A target stops at ``cap`` times the
     source's size, and what is above is shared again by weight until none is.
     Adds ``place``, ``weight``, ``target``.
+
+    In closed form: sources stop in the order of size by weight. The words for a
+    unit of weight are those that the sources stopped before a place leave over;
+    the first place at which its source doesn't stop gives the unit.
     """
-    order = F.col("source").asc_nulls_last()
-    table = number_rows(sizes, order).withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).cast("double"))
-    table = scratch.materialise(table, "sources")
-    size, weight = F.col("source_size").cast("double"), F.col("weight")
-    sums = table.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
-    total = float(sums["size"] or 0) * share
-    unit, closed = (total / sums["weight"] if sums["weight"] else 0.0), 0
-    while True:
-        over = weight * unit > size * cap
-        found = table.agg(F.count_if(over).alias("n"), F.sum(F.when(over, F.col("source_size"))).alias("size"), F.sum(F.when(~over, weight)).alias("weight")).first()
-        if not found["n"] or found["n"] == closed:
-            break
-        closed = found["n"]
-        if not found["weight"]:
-            break
-        unit = (total - cap * float(found["size"] or 0)) / found["weight"]
-    return table.withColumn("target", F.when(weight * unit > size * cap, size * cap).otherwise(weight * unit))
+    placed, _ = running_sums(sizes, [F.col("source").asc_nulls_last()], {"place": F.lit(1)})
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    placed = placed.withColumn("weight", weight).withColumn("ratio", F.col("source_size") / F.col("weight").cast("double"))
+    table, sums = running_sums(placed, [F.col("ratio"), F.col("place")], {"closed_size": F.col("source_size"), "closed_weight": F.col("weight")})
+    size, weight = F.col("source_size"), F.col("weight").cast("double")
+    if not sums["closed_weight"]:
+        return table.drop("ratio", "closed_size", "closed_weight").withColumn("target", F.lit(0.0))
+    unit = (F.lit(sums["closed_size"]) * share - F.col("closed_size") * cap).cast("double") / (F.lit(sums["closed_weight"]) - F.col("closed_weight"))
+    free = weight * unit <= size * cap
+    found = table.agg(F.min_by(F.when(free, unit), F.when(free, F.struct("ratio", "place"))).alias("unit"), F.max(size * cap / weight).alias("most")).first()
+    level = F.lit(float(found["most"] if found["unit"] is None else found["unit"]))
+    return table.withColumn("target", F.least(weight * level, size.cast("double") * cap)).drop("ratio", "closed_size", "closed_weight")
 
 
 def invert_demand(share: Column, first: Column, last: Column) -> Column:
@@ -87,60 +93,100 @@ def invert_demand(share: Column, first: Column, last: Column) -> Column:
     return F.least(F.greatest(F.when(first + root > 0, wanted * 2 / (first + root)).otherwise(F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
 
 
-def plan_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3, share: float = 1.0, schedules=SCHEDULES, buckets: int = 4096, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", payload: bool = False) -> DataFrame:
+def plan_mix(
+    docs: DataFrame,
+    weights: tuple[float, ...] = (5, 2, 1),
+    cap: float = 3,
+    share: float = 1.0,
+    schedules=SCHEDULES,
+    buckets: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    payload: bool = False,
+) -> DataFrame:
     """Which words of which documents the mix takes, and when.
 
     Returns a row for each row of ``docs``: ``id``, ``source``, ``size``,
     ``source_size``, ``target``, ``taken`` (words taken, repeats counted) and
-    ``copies``, an array of (``position``, ``words``) for each time it is taken;
-    with ``payload`` also ``doc``, a struct of all columns. A source's taken words
-    sum to its target, rounded: its last document may be taken in part. No
-    document is taken more than ``cap`` times its size.
+    ``copies``, an array of (``position``, ``words``, ``demand``) for each time it
+    is taken, by position; ``demand`` is the part of all words that the mix takes
+    before that position. With ``payload`` also ``doc``, a struct of all columns.
+    A source's taken words sum to its target, rounded: its last document may be
+    taken in part. No document is taken more than ``cap`` times its size.
 
     Null texts have no words; documents without words are never taken. A null
-    source is a source of its own, the last in order. Null and repeated ids pass
-    through; the order among rows that repeat an id is by size and text, so that
-    runs agree. An empty table gives an empty result.
+    source is a source of its own, the last in order. The order of a source's
+    documents is that of digests of id and text, so that null and repeated ids
+    spread like others and runs agree; rows that repeat an id and a text are
+    alike. An empty table gives an empty result. Clashing names are no matter.
     """
     if cap < 0 or not weights or min(weights) <= 0 or any(min(s) < 0 or sum(s) <= 0 for s in schedules):
         raise ValueError("weights must be positive, cap and schedules not negative")
-    mixed = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    if buckets is None:
+        buckets = max(4096, 1 << (docs.count() >> 16).bit_length())
+    text = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    mixed = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), text).cast("binary"))
     # A key that isn't null, so that the join and the window after it share one partitioning.
     name = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), name.alias("name"), words(F.col(text_col)).alias("size"), mixed.alias("mixed"), F.xxhash64(F.col(text_col)).alias("text_hash"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if payload else []))
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if payload else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), name.alias("name"), words(F.col(text_col)).alias("size"), mixed.alias("mixed"), *whole)
     rows = rows.withColumn("bucket", (F.conv(F.substring("mixed", 1, 8), 16, 10).cast("bigint") * buckets / (1 << 32)).cast("int"))
     sums = scratch.materialise(rows.groupBy("source", "name", "bucket").agg(F.sum("size").alias("bucket_size")), "buckets")
     targets = source_targets(sums.groupBy("source", "name").agg(F.sum("bucket_size").alias("source_size")), weights, cap, share)
+    targets = scratch.materialise(targets.withColumn("kind", (F.col("place") % len(schedules) + 1).cast("int")), "targets")
+    goal = F.floor(F.col("target") + 0.5)
+    goals = {r["kind"]: int(r["goal"]) for r in targets.groupBy("kind").agg(F.sum(goal).alias("goal")).collect()}  # one for each schedule
     earlier = F.coalesce(F.sum("bucket_size").over(W.partitionBy("name").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = sums.withColumn("start", earlier).join(targets.drop("source"), "name")
-    joined = rows.join(starts.select("name", "bucket", "start", "source_size", "target", F.col("place").alias("rank")), ["name", "bucket"])
-    order = W.partitionBy("name", "bucket").orderBy("mixed", "id", "size", "text_hash").rowsBetween(W.unboundedPreceding, -1)
-    joined = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn("goal", F.floor(F.col("target") + 0.5))
+    joined = rows.join(starts.select("name", "bucket", "start", "source_size", "target", "kind"), ["name", "bucket"])
+    order = W.partitionBy("name", "bucket").orderBy("mixed", "id", "size").rowsBetween(W.unboundedPreceding, -1)
+    joined = joined.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn("goal", goal)
     kinds = F.array(*(F.struct(F.lit(float(a)).alias("first"), F.lit(float(b)).alias("last")) for a, b in schedules))
-    joined = joined.withColumn("kind", F.element_at(kinds, (F.col("rank") % len(schedules) + 1).cast("int")))
-    repeats = range(max(1, -int(-cap // 1)))
+    joined = joined.withColumn("schedule", F.element_at(kinds, F.col("kind")))
     copies = []
-    for k in repeats:
+    for k in range(max(1, -int(-cap // 1))):
         at = F.col("before") + F.col("source_size") * k
         got = F.least(F.greatest(F.col("goal") - at, F.lit(0)), F.col("size"))
-        spot = invert_demand((at + got / 2) / F.greatest(F.col("goal"), F.lit(1)), F.col("kind.first"), F.col("kind.last"))
+        spot = invert_demand((at + got / 2) / F.greatest(F.col("goal"), F.lit(1)), F.col("schedule.first"), F.col("schedule.last"))
         copies.append(F.struct(spot.alias("position"), got.cast("bigint").alias("words")))
     planned = joined.withColumn("copies", F.filter(F.array(*copies), lambda c: c["words"] > 0))
     taken = F.aggregate("copies", F.lit(0).cast("bigint"), lambda a, c: a + c["words"])
-    return planned.select("id", "source", "size", "source_size", "target", taken.alias("taken"), "copies", *(["doc"] if payload else []))
+    timed = F.transform("copies", lambda c: c.withField("demand", demand(c["position"], schedules, goals)))
+    return planned.select("id", "source", "size", "source_size", "target", taken.alias("taken"), timed.alias("copies"), *(["doc"] if payload else []))
+
+
+def demand(time: Column, schedules, goals: dict[int, int]) -> Column:
+    """The part of all words that is wanted until a time; ``goals``: those of all sources of each schedule, from 1."""
+    parts = []
+    for kind, goal in goals.items():
+        first, last = map(float, schedules[kind - 1])
+        parts.append((time * first + time * time * ((last - first) / 2)) * (goal / ((first + last) / 2) / max(sum(goals.values()), 1)))
+    total = F.lit(0.0)
+    for part in parts:
+        total = total + part
+    return F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0))
+
+
+def in_training_order(planned: DataFrame) -> DataFrame:
+    """Rows of ``plan_mix`` range-sorted by their first position; those that are never taken come last."""
+    order = [F.get("copies.position", F.lit(0)).asc_nulls_last(), F.xxhash64("id")]
+    return planned.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def mix_documents(docs: DataFrame, partitions: int | None = None, text_col: str = "text", **options) -> DataFrame:
     """The mixed corpus in training order: all columns of ``docs``, a row for each time a document is taken.
 
-    A document taken in part has the text up to its last taken word. Rows are
-    range-partitioned and sorted by position. Takes the options of ``plan_mix``
-    and nulls and repeats as it does.
+    A document taken in part has the text up to its last taken word. A partition
+    holds an equal part of the words, those between two times, and is sorted by
+    position; there are ``partitions`` or else ``spark.sql.shuffle.partitions``. Takes
+    the options of ``plan_mix`` and nulls and repeats as it does.
     """
     planned = plan_mix(docs, text_col=text_col, payload=True, **options)
+    partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = planned.select("doc", "size", F.explode("copies").alias("copy"))
-    order = [F.col("copy.position"), F.xxhash64("doc")]
-    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    part = F.least(F.floor(F.col("copy.demand") * partitions), F.lit(partitions - 1)).cast("int")
+    ranged = rows.withColumn("part", part).repartitionById(partitions, "part").sortWithinPartitions("copy.position", F.xxhash64("doc"))
     text = F.col(f"doc.`{text_col}`")
     cut = F.when(F.col("copy.words") < F.col("size"), first_words(text, F.col("copy.words"))).otherwise(text)
-    return ranged.sortWithinPartitions(*order).select(*((cut if c == text_col else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+    return ranged.select(*((cut if c == text_col else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))

@@ -18,8 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
-    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    """What the mix takes of each document, in training order: ``copies`` times, at positions from the first to the last."""
+    planned = mixing.in_training_order(mixing.plan_mix(table(spark, sf_dir, "documents")))
+    at = lambda k: F.try_element_at("copies.position", F.lit(k))
+    more = [F.size("copies").cast("bigint").alias("copies"), at(1).alias("first_position"), at(-1).alias("last_position")]
+    return planned.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", *more)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +44,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read back from sequences of token ids, with positions and attention intervals in tokens."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     probe = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    sequences = scratch.materialise(chat.format_conversations(turns.union(probe)), "sequences")
+    sequences = scratch.materialise(chat.format_conversations(turns.union(probe), tokenizer=public_tokenizers.path(TOKENIZER)), "sequences")
     return chat.read_back(sequences).withColumnRenamed("id", "conv_id")
 
 
@@ -101,11 +105,14 @@ _RULE_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 ORACLES: dict[str, str] = {
     "op1_mixing": r"""
         with d as (
-            select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size, md5(cast(doc_id as varchar)) as mixed
+            select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+                   md5(concat_ws(':', cast(doc_id as varchar), md5(coalesce(text, '')))) as mixed
             from documents
         ),
         s as (
-            select source, sum(size)::bigint as source_size, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight
+            select source, sum(size)::bigint as source_size, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight,
+                   [1.5, 1.0, 0.5][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as first,
+                   [0.5, 1.0, 1.5][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as last
             from d group by source
         ),
         closing as (
@@ -115,16 +122,21 @@ ORACLES: dict[str, str] = {
             from s window w as (order by source_size / weight::double, source)
         ),
         level as (select coalesce(arg_min(unit, n) filter (weight * unit <= 3 * source_size), max(3 * source_size / weight)) as unit from closing),
-        t as (select source, source_size, least(weight * unit, 3.0::double * source_size) as target from s, level),
+        t as (select source, source_size, least(weight * unit, 3.0::double * source_size) as target, first, last from s, level),
         o as (
-            select doc_id, size, source_size, target, floor(target + 0.5)::bigint as goal,
+            select doc_id, size, source_size, target, first, last, floor(target + 0.5)::bigint as goal,
                    (sum(size) over (partition by d.source order by mixed, doc_id) - size)::bigint as ahead
             from d join t on d.source is not distinct from t.source
-        )
-        select doc_id, size::bigint as size, source_size, target,
-               (least(greatest(goal - ahead, 0), size) + least(greatest(goal - ahead - source_size, 0), size)
-                + least(greatest(goal - ahead - 2 * source_size, 0), size))::bigint as taken
-        from o
+        ),
+        c as (
+            select doc_id, k, first, last, goal, ahead + k * source_size as spot, least(greatest(goal - ahead - k * source_size, 0), size)::bigint as got
+            from o, range(3) as r(k)
+        ),
+        w as (select *, (last - first) / 2::double as bend, (spot + got / 2::double) / greatest(goal, 1)::double * (first + last) / 2::double as wanted from c where got > 0),
+        p as (select doc_id, k, got, least(greatest(wanted * 2::double / (first + sqrt(greatest(first * first + bend * 4::double * wanted, 0::double))), 0::double), 1::double) as position from w),
+        m as (select doc_id, sum(got)::bigint as taken, count(*) as copies, min(position) as first_position, max(position) as last_position from p group by doc_id)
+        select o.doc_id, size::bigint as size, source_size, target, coalesce(taken, 0)::bigint as taken, coalesce(copies, 0)::bigint as copies, first_position, last_position
+        from o left join m using (doc_id)
     """,
     "op5_chat": r"""
         with turns as (

@@ -355,6 +355,14 @@ def test_targets(spark):
             break
         closed |= over
     assert got == pytest.approx(target)
+    alone = mixing.source_targets(spark.createDataFrame([("a", 10), ("b", 20)], "source string, source_size long"), cap=0.5).collect()
+    assert {r["source"]: r["target"] for r in alone} == {"a": 5.0, "b": 10.0}
+
+
+def test_null_ids_spread(spark):
+    docs = spark.createDataFrame([(None, f"w{i}", "s") for i in range(300)] + [(1, f"v{i}", "s") for i in range(300)], "doc_id long, text string, source string")
+    planned = mixing.plan_mix(docs, share=0.5).collect()
+    assert sum(r["taken"] for r in planned) == 300 and 100 < sum(r["taken"] for r in planned if r["id"] is None) < 200
 
 
 def test_mix(docs, none):
@@ -366,8 +374,17 @@ def test_mix(docs, none):
         sums.setdefault(r["source"], [0, r["target"]])[0] += r["taken"]
     assert all(abs(got - want) <= 0.5 for got, want in sums.values())
     assert sorted(map(repr, planned)) == sorted(map(repr, mixing.plan_mix(docs.repartition(5)).collect()))
+    assert sorted(map(repr, planned)) == sorted(map(repr, mixing.plan_mix(docs, buckets=3).collect()))
+    shown = [r["copies"][0]["position"] for r in mixing.in_training_order(mixing.plan_mix(docs)).collect() if r["copies"]]
+    assert shown == sorted(shown) and all(r["copies"] == sorted(r["copies"]) for r in planned)
+    copies = sorted(c for r in planned for c in r["copies"])
+    assert all(a["demand"] <= b["demand"] for a, b in zip(copies, copies[1:]))
     mixed = mixing.mix_documents(docs, 3)
     assert mixed.columns == docs.columns
+    order = [(r["doc_id"], r["text"]) for r in mixed.where("doc_id >= 100").collect()]
+    once = {r["id"]: r["copies"][0]["position"] for r in planned if r["id"] is not None and len(r["copies"]) == 1}
+    places = [once[i] for i, _ in order if i in once]
+    assert len(places) > 20 and places == sorted(places)
     count = lambda t: len([w for w in (t or "").encode().split()])
     assert sum(count(r["text"]) for r in mixed.collect()) == sum(r["taken"] for r in planned)
     assert mixing.plan_mix(none).count() == 0 and mixing.mix_documents(none).count() == 0
