@@ -1,10 +1,9 @@
-"""Page text, links and addresses. Parsing HTML to text, and joining odd links, take Python."""
+"""Page text, links and addresses. Parsing HTML to text takes Python; links and titles don't."""
 
 from __future__ import annotations
 
 import unicodedata
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -47,11 +46,6 @@ def page_text(html: pd.Series) -> pd.Series:
     return html.map(visible_text)
 
 
-@F.pandas_udf(StringType())
-def join_urls(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([urljoin(b or "", h or "") for b, h in zip(base, href)])
-
-
 @F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
@@ -64,24 +58,70 @@ def normalise_block(text: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(t, r"\s*\n\s*", " "), r"[ \t]{2,}", " "))
 
 
+#: Entities by name that titles and addresses hold (fixed values); others by name stay as they are.
+ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0"), ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("copy", "©"), ("reg", "®"))
+
+
+def decode(c: Column) -> Column:
+    """Character references, by number or by the common names, as characters."""
+    for name, character in ENTITIES:
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(character))
+    number = r"&#(\d{1,7}|[xX][0-9A-Fa-f]{1,6});"
+
+    def character(ref: Column) -> Column:
+        code = F.when(F.lower(F.substring(ref, 1, 1)) == "x", F.conv(F.substring(ref, 2, 9), 16, 10)).otherwise(ref).cast("bigint")
+        # The code as UTF-16 without surrogates is what ``decode`` of four bytes gives.
+        return F.when((code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    between = F.split(c, number)
+    refs = F.transform(F.regexp_extract_all(c, F.lit(number), F.lit(1)), character)
+    numbered = F.array_join(F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(refs, i), F.lit("")))), "")
+    return F.replace(F.when(c.rlike(number), numbered).otherwise(c), F.lit("&amp;"), F.lit("&"))
+
+
+def without_hidden(html: Column) -> Column:
+    """Without comments, scripts, styles and templates, in which no tag counts."""
+    shown = F.regexp_replace(F.coalesce(html, F.lit("")), "(?s)<!--.*?(-->|$)", " ")
+    return F.regexp_replace(shown, r"(?is)<(script|style|template)\b[^>]*>.*?(</\1\s*>|$)", " ")
+
+
 def title(html: Column) -> Column:
-    found = strip(F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<title[^>]*>(.*?)</title>", 1))
+    """The text of the title, entities decoded; a page without one, or with a blank one: ``(no title)``."""
+    found = strip(decode(F.regexp_extract(without_hidden(html), r"(?is)<title[^>]*>(.*?)</title>", 1)))
     return F.when(found == "", "(no title)").otherwise(found)
 
 
 def hrefs(html: Column) -> Column:
-    """Targets of anchors, without fragment and query; empty ones dropped."""
-    raw = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    return F.filter(F.transform(raw, lambda h: F.regexp_replace(F.regexp_replace(h, "(?s)#.*$", ""), r"(?s)\?.*$", "")), lambda h: h != "")
+    """Targets of anchors, quoted or not, entities decoded, without fragment and query; empty ones dropped."""
+    raw = F.regexp_extract_all(without_hidden(html), F.lit(r"""(?i)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""), F.lit(1))
+    plain = F.transform(raw, lambda h: decode(F.regexp_replace(h, r"(?s)^([\"'])(.*)\1$", "$2")))
+    return F.filter(F.transform(plain, lambda h: F.regexp_replace(F.regexp_replace(h, "(?s)#.*$", ""), r"(?s)\?.*$", "")), lambda h: h != "")
+
+
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash with its segments ``.`` and ``..`` carried out; those above the root are dropped."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.when(path.contains("/."), F.array_join(ends, "/")).otherwise(path)
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute address of a link without dot segments; those take ``join_urls``."""
-    scheme = F.regexp_extract(base, "^([A-Za-z]+:)//", 1)
-    site = F.regexp_extract(base, "^([A-Za-z]+://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_extract(base, "^[A-Za-z]+://[^/?#]*([^?#]*)", 1), "[^/]*$", "")
+    """The absolute address of a link on a page, as in RFC 3986."""
+    scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    site = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_replace(F.regexp_extract(base, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1), "[^/]*$", "")
     folder = F.when(folder == "", "/").otherwise(folder)
-    return F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(site, href)).otherwise(F.concat(site, folder, href))
+    # Segments without a name inside a joined path don't count.
+    joined = F.regexp_replace(F.concat(folder, href), "/{2,}", "/")
+    whole = href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+    below = F.concat(site, without_dots(F.when(href.startswith("/"), href).otherwise(joined)))
+    return F.when(whole, href).when(href.startswith("//"), F.concat(scheme, F.lit(":"), href)).otherwise(below)
 
 
 def one_slash(url: Column) -> Column:

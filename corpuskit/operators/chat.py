@@ -66,7 +66,22 @@ def export(turns: DataFrame, kind: str, title: str, stamp: str, status: str) ->
     return ordered.select("conv_id", F.concat(F.lit(head), F.array_join(body, "\n")).alias("document"))
 
 
-def comparison(question: Column, direct: Column, grounded: Column, sources: Column) -> Column:
-    """A report in Markdown; ``sources``: an array of (title, origin, score) by rank."""
-    listed = F.array_join(F.transform(sources, lambda s, i: F.concat((i + 1).cast("string"), F.lit(". ["), s["title"], F.lit("]("), s["origin"], F.lit(") - Score: "), s["score"].cast("string"), F.lit("\n"))), "")
-    return F.concat(F.lit('**Question Analyzed:** "'), question, F.lit('"\n\n---\n\n### Direct Response\n\n'), direct, F.lit("\n\n---\n\n### Grounded Response\n\n"), grounded, F.lit("\n\n---\n\n### References\n"), F.when(F.size(sources) > 0, listed).otherwise("No reference found."))
+def comparison(question: Column, direct: Column, grounded: Column, sources: Column, kind: str = "md", title: str = "Comparison Report", stamp: str = "") -> Column:
+    """A report as ``md``, ``txt`` or ``json``, empty for any other kind; ``sources``: an array of (title, origin, score) by rank."""
+
+    def numbered(line) -> Column:
+        return F.array_join(F.transform(sources, lambda s, i: F.concat(*(x if isinstance(x, Column) else F.lit(x) for x in line(s, (i + 1).cast("string"), s["score"].cast("string"))))), "")
+
+    if kind == "json":
+        said = F.transform(sources, lambda s: F.struct(s["title"].alias("title"), s["origin"].alias("origin"), s["score"].alias("score")))
+        answers = [question.alias("question"), direct.alias("direct_answer"), grounded.alias("rag_answer")]
+        return F.to_json(F.struct(*answers, said.alias("sources"), F.lit(stamp).alias("exported_at")))
+    if kind == "txt":
+        listed = F.when(F.size(sources) > 0, numbered(lambda s, i, score: ("  ", i, ". ", s["title"], " - ", s["origin"], " (score: ", score, ")\n"))).otherwise("  No reference found.\n")
+        head = F.concat(F.lit(f"{title.upper()}\nQuestion: "), question, F.lit(f"\n{'=' * 60}\n\n[DIRECT RESPONSE]\n"), direct)
+        return F.concat(head, F.lit("\n\n[GROUNDED RESPONSE]\n"), grounded, F.lit("\n\n[REFERENCES]\n"), listed)
+    if kind != "md":
+        return F.lit("")
+    listed = F.when(F.size(sources) > 0, numbered(lambda s, i, score: (i, ". [", s["title"], "](", s["origin"], ") - Score: ", score, "\n"))).otherwise("No reference found.")
+    head = F.concat(F.lit(f'# {title}\n**Question Analyzed:** "'), question, F.lit('"\n\n---\n\n### Direct Response\n\n'), direct)
+    return F.concat(head, F.lit("\n\n---\n\n### Grounded Response\n\n"), grounded, F.lit("\n\n---\n\n### References\n"), listed)

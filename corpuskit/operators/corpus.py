@@ -88,8 +88,13 @@ CITATION = r"\[\d{1,3}\]\s|arXiv:\d|\(\d{4}\)[,.]|Phys\.\s?Rev|JHEP\s"
 REFERENCE_HEAD = r"(?i)^\s*(references|bibliography|literature\s+cited)\s*$"
 REFERENCE_INLINE = r"(^|[^\p{L}\p{N}_])(References|REFERENCES|Bibliography|Literature\s+Cited|LITERATURE\s+CITED)($|[^\p{L}\p{N}_])"
 PAGE_NUMBER = r"(?i)^\s*(page\s*)?\d{1,4}\s*$"
-#: Navigation entries of web sites, by whole line.
-NAVIGATION = ("subscribe to our newsletters", "about", "community", "newsroom", "contact", "resources", "for employees", "for industry", "jobs", "science", "home", "phone book", "people", "news", "how it works")
+#: Navigation entries and footers of web sites, by whole line and by expression (fixed values). A site's own names are the caller's to add.
+NAVIGATION = (
+    "subscribe to our newsletters", "about", "community", "newsroom", "contact", "resources", "for employees", "for industry", "jobs", "science", "home", "phone book",
+    "people", "news", "how it works", "for neighbors and businesses", "for the teams", "particle physics 101", "particle physics", "particle accelerators",
+    "security, privacy, legal | use of cookies", "detectors, computing,", "quantum",
+)
+FOOTER = r"(?i)we bring the world together"
 
 
 def cut_references(blocks: DataFrame, id_col: str = "doc_id", pos_col: str = "pos", text_col: str = "block") -> DataFrame:
@@ -125,9 +130,30 @@ def repeated_lines(lines: DataFrame, id_col: str = "doc_id", page_col: str = "pa
     return counts.join(pages, id_col).where((F.col("df") >= F.greatest(F.lit(2), F.bround(F.col("pages") * F.lit(0.4)))) & (F.length("key") > 2)).select(id_col, "key", "df")
 
 
-def keep_line(line: Column, navigation=NAVIGATION) -> Column:
+def keep_line(line: Column, navigation=NAVIGATION, footer: str = FOOTER) -> Column:
+    """Whether a line is no navigation entry, footer, page number or strip of separators."""
     low = F.lower(T.strip(line))
-    return (low != "") & ~low.isin(*navigation) & ~line.rlike(PAGE_NUMBER) & (T.strip(F.replace(low, F.lit("|"), F.lit(""))) != "")
+    return (low != "") & ~low.isin(*navigation) & ~low.rlike(footer) & ~line.rlike(PAGE_NUMBER) & (T.strip(F.replace(low, F.lit("|"), F.lit(""))) != "")
+
+
+def filter_lines(lines: DataFrame, id_col: str = "doc_id", page_col: str = "page", line_col: str = "line", **rules) -> DataFrame:
+    """Lines of pages without those that ``keep_line`` refuses and those repeated on many pages of their document."""
+    heads = repeated_lines(lines, id_col, page_col, line_col).select(F.col(id_col).alias("_doc"), F.col("key").alias("_key"))
+    kept = lines.where(keep_line(F.col(line_col), **rules))
+    return kept.join(heads, (F.col(id_col) == F.col("_doc")) & (F.lower(T.strip(F.col(line_col))) == F.col("_key")), "left_anti")
+
+
+def file_audit(made: DataFrame, kept: DataFrame, files: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A row for each file: ``pages``, ``kept`` and ``dups`` (chunks that stayed, and that were copies), ``split``, and a line of text.
+
+    ``made`` and ``kept`` are chunks before and after copies went (by id);
+    ``files`` has the id, ``pages`` and ``split``. Files without chunks have a row.
+    """
+    both = made.select(F.col(id_col).alias("_doc"), F.lit(1).alias("m"), F.lit(0).alias("k")).union(kept.select(id_col, F.lit(0), F.lit(1)))
+    sums = both.groupBy("_doc").agg(F.sum("m").alias("m"), F.sum("k").alias("k"))
+    rows = files.join(sums, F.col(id_col) == F.col("_doc"), "left").select(id_col, "pages", "split", F.coalesce("k", F.lit(0)).alias("kept"), F.coalesce(F.col("m") - F.col("k"), F.lit(0)).alias("dups"))
+    shown = F.format_string("[ OK ] %s: %dp -> %d chunks (%d dups dropped) [%s]", F.col(id_col).cast("string"), "pages", "kept", "dups", "split")
+    return rows.withColumn("line", shown)
 
 
 def build_corpus(docs: DataFrame, source: str = "web", source_type: str = "webpage_text", fraction: float = 0.30, id_col: str = "doc_id", text_col: str = "text", title: Column | None = None, origin: Column | None = None) -> DataFrame:

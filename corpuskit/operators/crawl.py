@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions import html as H
 from corpuskit.functions import text as T
-from corpuskit.sources.shared import materialise
+from corpuskit.sources.shared import new_path
 
 
 def links(pages: DataFrame, domains: tuple[str, ...], id_col: str = "page_id") -> DataFrame:
@@ -20,28 +20,53 @@ def url_key(c) -> object:
     return F.regexp_replace(c, "/+$", "")
 
 
-def reachable(seeds: DataFrame, edges: DataFrame, most_levels: int = 100) -> DataFrame:
-    """Addresses reachable from seeds (column ``key``) over edges (source, target), with the level at which each is met first.
+def reachable(seeds: DataFrame, edges: DataFrame, hops: int = 16, deep: int = 8, narrow: int = 100_000) -> DataFrame:
+    """All addresses reachable from seeds (column ``key``) over edges (source, target), with the level at which each is met first.
 
-    A level is one join and one anti-join against what was visited; the visited
-    table is written after each.
+    Goes on until no new address is met, however many levels that takes. A round
+    is one level, joined against what was visited. From level ``deep`` on, while
+    few addresses are new, as in long chains, a round takes ``hops`` levels at
+    once. Rounds are written as parts of one table, so that the plan doesn't grow
+    with them. Null keys and ends are left out.
     """
-    visited = materialise(seeds.select("key").distinct().withColumn("level", F.lit(0)), "visited")
-    fresh = visited
-    for level in range(1, most_levels + 1):
-        found = fresh.join(edges, fresh.key == edges.source).select(F.col("target").alias("key")).distinct()
-        fresh = materialise(found.join(visited.select("key"), "key", "left_anti").withColumn("level", F.lit(level)), "frontier")
-        if fresh.isEmpty():
+    spark, root = seeds.sparkSession, new_path(seeds.sparkSession, "visited")
+    edges = edges.where("source is not null and target is not null").select("source", "target")
+    schema = f"key {seeds.schema['key'].dataType.simpleString()}, level int"
+
+    def step(reached: DataFrame, level: int) -> DataFrame:
+        """``reached`` and the neighbours of those at ``level``, each with its first level."""
+        met = reached.join(edges, (reached.key == edges.source) & (reached.level == level), "left")
+        both = F.array(F.struct("key", "level"), F.struct(F.col("target").alias("key"), F.lit(level + 1).alias("level")))
+        return met.select(F.explode(both).alias("met")).select("met.*").where("key is not null").groupBy("key").agg(F.min("level").alias("level"))
+
+    seeds.where("key is not null").select("key").distinct().withColumn("level", F.lit(0)).write.parquet(f"{root}/round-0")
+    level, n = 0, 0
+    while True:
+        visited = spark.read.schema(schema).parquet(f"{root}/*")
+        fresh = spark.read.schema(schema).parquet(f"{root}/round-{n}").where(F.col("level") == level)
+        count = fresh.count()
+        if not count:
             return visited
-        visited = visited.union(fresh)
-    return visited
+        if level < deep or count > narrow:
+            found = fresh.join(edges, fresh.key == edges.source).select(F.col("target").alias("key")).distinct().withColumn("level", F.lit(level + 1))
+            level += 1
+        else:
+            found = fresh
+            for _ in range(hops):
+                found = step(found, level)
+                level += 1
+        n += 1
+        found.join(visited.select("key"), "key", "left_anti").write.parquet(f"{root}/round-{n}")
 
 
 def latest_report(report: DataFrame, key: str = "txt_filename", order: str = "page_number") -> DataFrame:
-    """One row for each file name, the last; blank names dropped. The aggregation needs no sort of a name's rows."""
+    """One row for each file name, the last; blank names dropped. The aggregation needs no sort of a name's rows.
+
+    Of rows with the same ``order`` the one whose other columns sort last counts.
+    """
     named = report.where(F.trim(F.coalesce(F.col(key), F.lit(""))) != "")
     others = [c for c in report.columns if c != key]
-    last = named.groupBy(F.trim(key).alias(key)).agg(F.max_by(F.struct(*others), F.col(order)).alias("r"))
+    last = named.groupBy(F.trim(key).alias(key)).agg(F.max(F.struct(order, *(c for c in others if c != order))).alias("r"))
     return last.select(key, *(F.col(f"r.{c}").alias(c) for c in others))
 
 

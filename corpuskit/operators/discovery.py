@@ -37,9 +37,17 @@ CPC = {
     "A01K": "animal husbandry; model organisms",
     "C12P": "fermentation or enzyme processes",
 }
-PATENT = "title string, abstract string, claims string, claims_excerpt string, cpc_codes array<string>, document_id string, patent_number string, source_url string, retrieved_date string, assignees array<string>, pharma_label_type string, publication_date string"
-TRIAL = "protocolSection struct<identificationModule:struct<nctId:string,briefTitle:string,officialTitle:string>,descriptionModule:struct<briefSummary:string>,conditionsModule:struct<conditions:array<string>,keywords:array<string>>,armsInterventionsModule:struct<interventions:array<struct<type:string,name:string>>>,designModule:struct<phases:array<string>>>, derivedSection struct<miscInfoModule:struct<versionHolder:string>>"
-LISTING = "title string, excerpt string, body string, url string, date string, site string, content_type string, topic_score double"
+PATENT = (
+    "struct<title:string,abstract:string,claims:string,claims_excerpt:string,cpc_codes:array<string>,document_id:string,patent_number:string,"
+    "source_url:string,retrieved_date:string,assignees:array<string>,pharma_label_type:string,publication_date:string>"
+)
+TRIAL = (
+    "struct<protocolSection:struct<identificationModule:struct<nctId:string,briefTitle:string,officialTitle:string>,"
+    "descriptionModule:struct<briefSummary:string>,conditionsModule:struct<conditions:array<string>,keywords:array<string>>,"
+    "armsInterventionsModule:struct<interventions:array<struct<type:string,name:string>>>,designModule:struct<phases:array<string>>>,"
+    "derivedSection:struct<miscInfoModule:struct<versionHolder:string>>>"
+)
+LISTING = "struct<title:string,excerpt:string,body:string,url:string,date:string,site:string,content_type:string,topic_score:double>"
 
 
 def clean(text: Column) -> Column:
@@ -64,8 +72,9 @@ def cpc_gloss(codes: Column) -> Column:
 
 
 def title_case(word: Column) -> Column:
-    """Upper case after everything that isn't a letter."""
-    return F.array_join(F.transform(F.split(F.lower(blank_if_null(word)), "_"), F.initcap), "_")
+    """Every run of letters with a capital first, after whatever isn't a letter, as in ``DRUG-ELUTING_2nd``: ``Drug-Eluting_2Nd``."""
+    runs = F.regexp_extract_all(F.lower(blank_if_null(word)), F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30))), "")
 
 
 def _first_filled(*options: Column) -> Column:
@@ -73,35 +82,68 @@ def _first_filled(*options: Column) -> Column:
 
 
 def parse_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
-    """One row (doc_id, source, side, title, embedding_text, source_url, retrieved_date, topic_score) for each record that can be read.
+    """One row for each record that can be read, in one schema.
+
+    doc_id, source, side, title, embedding_text, source_url, retrieved_date and
+    topic_score; of patents also cpc_codes, assignees, label_type and
+    publication_date, of trials conditions and phases, of listings content_type
+    (null for the others).
 
     A record with ``protocolSection`` is a trial, else with ``claims`` or
     ``cpc_codes`` a patent, else with ``body`` and ``site`` a listing; others,
     broken JSON, what isn't an object, and records without text are left out.
+    A record is parsed once; each kind then takes its own fields from the result.
     """
-    j = F.col(json_col)
-    keys = F.when(F.try_parse_json(j).isNotNull() & strip(j).startswith("{"), F.json_object_keys(j))
-    has = lambda k: F.coalesce(F.array_contains(keys, k), F.lit(False))
-    kind = F.when(has("protocolSection"), "clinicaltrials").when(has("claims") | has("cpc_codes"), "uspto_patent").when(has("body") & has("site"), "listing")
-    rows = raw.select(kind.alias("source"), F.from_json(j, PATENT).alias("p"), F.from_json(j, TRIAL).alias("t"), F.from_json(j, LISTING).alias("l"), has("url").alias("has_url")).where("source is not null")
     c = F.col
+    has = lambda k: F.try_variant_get("v", f"$.{k}", "variant").isNotNull()
+    kind = F.when(has("protocolSection"), "clinicaltrials").when(has("claims") | has("cpc_codes"), "uspto_patent").when(has("body") & has("site"), "listing")
+    rows = raw.select(F.try_parse_json(json_col).alias("v")).where("v is not null").withColumn("source", kind).where("source is not null")
+    taken = lambda source, schema: F.when(c("source") == source, F.try_variant_get("v", "$", schema))
+    kinds = [taken("uspto_patent", PATENT).alias("p"), taken("clinicaltrials", TRIAL).alias("t"), taken("listing", LISTING).alias("l")]
+    rows = rows.select("source", *kinds, has("url").alias("has_url"))
     p_title, l_title = strip(blank_if_null(c("p.title"))), strip(blank_if_null(c("l.title")))
-    patent = join_filled(p_title, clean(c("p.abstract")), first_claims(_first_filled(c("p.claims"), c("p.claims_excerpt"))), cpc_gloss(c("p.cpc_codes")))
+    claims = first_claims(_first_filled(c("p.claims"), c("p.claims_excerpt")))
+    patent = join_filled(p_title, clean(c("p.abstract")), claims, cpc_gloss(c("p.cpc_codes")))
     s = "t.protocolSection."
+    conditions, keywords = c(s + "conditionsModule.conditions"), c(s + "conditionsModule.keywords")
     nct = blank_if_null(c(s + "identificationModule.nctId"))
     t_title = strip(_first_filled(c(s + "identificationModule.briefTitle"), c(s + "identificationModule.officialTitle")))
-    listed = lambda label, values: F.when(F.coalesce(F.array_join(values, ", "), F.lit("")) != "", F.concat(F.lit(label), F.array_join(values, ", "))).otherwise("")
-    arms = F.array_join(F.transform(F.filter(c(s + "armsInterventionsModule.interventions"), lambda i: blank_if_null(i["name"]) != ""), lambda i: F.regexp_replace(F.concat(title_case(i["type"]), F.lit(": "), i["name"]), "^[: ]+|[: ]+$", "")), "; ")
-    trial = join_filled(t_title, clean(c(s + "descriptionModule.briefSummary")), listed("Conditions: ", c(s + "conditionsModule.conditions")), listed("Keywords: ", c(s + "conditionsModule.keywords")), F.when(blank_if_null(arms) != "", F.concat(F.lit("Interventions: "), arms)).otherwise(""))
+
+    def listed(label: str, values: Column) -> Column:
+        said = F.coalesce(F.array_join(values, ", "), F.lit(""))
+        return F.when(said != "", F.concat(F.lit(label), said)).otherwise("")
+
+    def arm(i: Column) -> Column:
+        return F.regexp_replace(F.concat(title_case(i["type"]), F.lit(": "), i["name"]), "^[: ]+|[: ]+$", "")
+
+    named = F.filter(c(s + "armsInterventionsModule.interventions"), lambda i: blank_if_null(i["name"]) != "")
+    arms = F.array_join(F.transform(named, arm), "; ")
+    arms = F.when(blank_if_null(arms) != "", F.concat(F.lit("Interventions: "), arms)).otherwise("")
+    summary_text = clean(c(s + "descriptionModule.briefSummary"))
+    trial = join_filled(t_title, summary_text, listed("Conditions: ", conditions), listed("Keywords: ", keywords), arms)
     listing = join_filled(l_title, clean(c("l.excerpt")), F.substring(clean(c("l.body")), 1, 1500))
     pick = lambda a, b, d: F.when(c("source") == "uspto_patent", a).when(c("source") == "clinicaltrials", b).otherwise(d)
+    patent_id = _first_filled(c("p.document_id"), c("p.patent_number"), F.substring(p_title, 1, 40))
+    listing_id = F.substring(F.when(c("has_url"), blank_if_null(c("l.url"))).otherwise(blank_if_null(c("l.title"))), 1, 80)
+    trial_url = F.when(nct != "", F.concat(F.lit("https://clinicaltrials.gov/study/"), nct)).otherwise("")
+    version = blank_if_null(c("t.derivedSection.miscInfoModule.versionHolder"))
     made = rows.select(
-        pick(_first_filled(c("p.document_id"), c("p.patent_number"), F.substring(p_title, 1, 40)), _first_filled(nct, F.substring(t_title, 1, 40)), F.substring(F.when(c("has_url"), blank_if_null(c("l.url"))).otherwise(blank_if_null(c("l.title"))), 1, 80)).alias("doc_id"),
-        "source", pick(F.lit("document"), F.lit("query"), F.lit("document")).alias("side"), pick(p_title, t_title, l_title).alias("title"), pick(patent, trial, listing).alias("embedding_text"),
-        pick(blank_if_null(c("p.source_url")), F.when(nct != "", F.concat(F.lit("https://clinicaltrials.gov/study/"), nct)).otherwise(""), blank_if_null(c("l.url"))).alias("source_url"),
-        pick(blank_if_null(c("p.retrieved_date")), blank_if_null(c("t.derivedSection.miscInfoModule.versionHolder")), blank_if_null(c("l.date"))).alias("retrieved_date"),
+        pick(patent_id, _first_filled(nct, F.substring(t_title, 1, 40)), listing_id).alias("doc_id"),
+        "source",
+        pick(F.lit("document"), F.lit("query"), F.lit("document")).alias("side"),
+        pick(p_title, t_title, l_title).alias("title"),
+        pick(patent, trial, listing).alias("embedding_text"),
+        pick(blank_if_null(c("p.source_url")), trial_url, blank_if_null(c("l.url"))).alias("source_url"),
+        pick(blank_if_null(c("p.retrieved_date")), version, blank_if_null(c("l.date"))).alias("retrieved_date"),
         F.when(c("source") == "listing", F.coalesce(c("l.topic_score"), F.lit(0.0))).alias("topic_score"),
-    )
+        c("p.cpc_codes").alias("cpc_codes"),
+        c("p.assignees").alias("assignees"),
+        c("p.pharma_label_type").alias("label_type"),
+        c("p.publication_date").alias("publication_date"),
+        conditions.alias("conditions"),
+        c(s + "designModule.phases").alias("phases"),
+        c("l.content_type").alias("content_type"),
+    )
     return made.where(strip(F.col("embedding_text")) != "")
 
 
@@ -110,13 +152,19 @@ def for_queries(docs: DataFrame, side: str = "document", least_score: float = 5)
     return docs.where((F.col("side") == side) & ((F.col("source") != "listing") | (F.col("topic_score") >= least_score)))
 
 
-def summary(docs: DataFrame, group: str, text_col: str, id_col: str) -> DataFrame:
-    """Counts, lengths (least, upper median, most) and the first title of each group.
+def summary(docs: DataFrame, group: str, text_col: str, id_col: str, title_col: str | None = None) -> DataFrame:
+    """Counts, lengths (least, upper median, most) and the first record of each group by id: its id and, if named, its title.
 
     The median is read off counts of lengths, which are few; no group is collected.
     """
-    lengths = docs.groupBy(group, F.length(text_col).cast("bigint").alias("n")).agg(F.count("*").alias("c"), F.min(F.struct(id_col)).alias("first"))
+    title = F.lit(None).cast("string") if title_col is None else F.col(title_col)
+    first = F.min(F.struct(id_col, title.alias("title")))
+    lengths = docs.groupBy(group, F.length(text_col).cast("bigint").alias("n")).agg(F.count("*").alias("c"), first.alias("first"))
     run = F.sum("c").over(W.partitionBy(group).orderBy("n"))
     total = F.sum("c").over(W.partitionBy(group))
     marked = lengths.withColumn("run", run).withColumn("total", total)
-    return marked.groupBy(group).agg(F.sum("c").alias("docs"), F.min("n").alias("least"), F.min(F.when(F.col("run") > F.floor(F.col("total") / 2), F.col("n"))).alias("median"), F.max("n").alias("most"), F.min(f"first.{id_col}").alias("first_id"))
+    median = F.min(F.when(F.col("run") > F.floor(F.col("total") / 2), F.col("n")))
+    lengths = [F.min("n").alias("least"), median.alias("median"), F.max("n").alias("most")]
+    made = marked.groupBy(group).agg(F.sum("c").alias("docs"), *lengths, F.min("first").alias("first"))
+    named = [F.col(f"first.{id_col}").alias("first_id")] + ([] if title_col is None else [F.col("first.title").alias("first_title")])
+    return made.select(group, "docs", "least", "median", "most", *named)

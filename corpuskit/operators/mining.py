@@ -41,6 +41,30 @@ def qrels(pairs: DataFrame, anchor: str = "q", positive: str = "positive_id") ->
     return pairs.select(anchor, positive).distinct()
 
 
+def triplet_texts(triplets: DataFrame, anchors: DataFrame, corpus: DataFrame, anchor: str = "q") -> DataFrame:
+    """(anchor id, anchor, positive, negative) as texts.
+
+    ``anchors``: anchor id, text; ``corpus``: doc_id, text and ``place``. Of rows
+    that repeat a doc_id the one with the last place counts; negatives and
+    positives without a text are left out.
+    """
+    texts = corpus.groupBy("doc_id").agg(F.max(F.struct("place", "text")).alias("last")).select("doc_id", F.col("last.text").alias("text"))
+    made = triplets.join(anchors.select(anchor, F.col("text").alias("anchor")), anchor)
+    for side in ("positive", "negative"):
+        made = made.join(texts.select(F.col("doc_id").alias(f"{side}_id"), F.col("text").alias(side)), f"{side}_id")
+    return made
+
+
+def triplet_counts(triplets: DataFrame, anchor: str = "q", part: str = "part") -> DataFrame:
+    """Triplets and different anchors of each part."""
+    return triplets.groupBy(part).agg(F.count("*").alias("triplets"), F.count_distinct(anchor).alias("anchors"))
+
+
+def mean_scores(rows: DataFrame, *scores: str, digits: int = 3) -> DataFrame:
+    """Number and mean of each score over the rows that have one; one row."""
+    return rows.agg(*(x for c in scores for x in (F.count(c).alias(f"n_{c}"), F.round(F.avg(c), digits).alias(f"mean_{c}"))))
+
+
 def rank_metrics(ranks: DataFrame, ks: tuple[int, ...] = (1, 5, 10)) -> DataFrame:
     """Recall at each k, MRR at 10 and the median rank, cut to a whole number; one row."""
     r = F.col("rank")

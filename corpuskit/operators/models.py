@@ -6,6 +6,7 @@ It runs on the executors, a batch at a time.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,15 +16,17 @@ from pyspark.sql import functions as F
 Call = Callable[[list[str]], list[str | None]]
 
 
-def generate(prompts: DataFrame, call: Call, key: str, prompt_col: str = "prompt", retries: int = 1) -> DataFrame:
-    """(key, reply) for each prompt; prompts that still fail after the retries are left out."""
+def generate(prompts: DataFrame, call: Call, key: str, prompt_col: str = "prompt", retries: int = 1, wait: float = 5.0) -> DataFrame:
+    """(key, reply) for each prompt; prompts that still fail after the retries, ``wait`` seconds apart, are left out."""
     kind = prompts.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             replies: list[str | None] = [None] * len(batch)
             left = list(range(len(batch)))
-            for _ in range(1 + retries):
+            for attempt in range(1 + retries):
+                if attempt and left:
+                    time.sleep(wait)
                 asked = call([batch[prompt_col].iloc[i] for i in left]) if left else []
                 for i, reply in zip(left, asked):
                     replies[i] = reply

@@ -42,13 +42,34 @@ def pairs_wanted(n_words: Column) -> Column:
     return F.when(n_words < 200, 2).when(n_words < 350, 3).otherwise(4)
 
 
+#: What stands around a passage in the prompt for pairs, and around documents in the prompt with context (fixed values).
+PASSAGE = ("\n\nPassage (from ", '):\n"""\n', '\n"""\n\nProduce exactly ', " pairs.")
+CONTEXT = ("--- Document [", "]: ", " ---\nContent:\n", "\n\n", "Context:\n", "\n\nQuestion: ", "\n\nAnswer:")
+
+
 def qa_prompt(rules: str, title: Column, text: Column, n_words: Column) -> Column:
-    return F.concat(F.lit(f"{rules}\n\nPassage (from "), F.substring(title, 1, 90), F.lit('):\n"""\n'), text, F.lit('\n"""\n\nProduce exactly '), pairs_wanted(n_words).cast("string"), F.lit(" pairs."))
+    before, after, ask, end = map(F.lit, PASSAGE)
+    return F.concat(F.lit(rules), before, F.substring(title, 1, 90), after, text, ask, pairs_wanted(n_words).cast("string"), end)
+
+
+def query_prompt(template: str, text: Column, n: int, most_chars: int = 1200) -> Column:
+    """The caller's template with ``n`` for ``{n}`` and the first ``most_chars`` characters of a document for ``{doc}``."""
+    before, after = template.replace("{n}", str(n)).split("{doc}")
+    return F.concat(F.lit(before), F.substring(T.blank_if_null(text), 1, most_chars), F.lit(after))
+
+
+def _turn(role: str, content: Column) -> Column:
+    return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
 def messages(system: str, question: Column, answer: Column) -> Column:
-    turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    return F.array(turn("system", F.lit(system)), turn("user", question), turn("assistant", answer))
+    return F.array(_turn("system", F.lit(system)), _turn("user", question), _turn("assistant", answer))
+
+
+def chat_messages(system: str, history: Column, user: Column) -> Column:
+    """A system message, what was said before (an array of (role, content), which may be null) and the user's message."""
+    said = F.coalesce(history, F.array().cast("array<struct<role:string,content:string>>"))
+    return F.concat(F.array(_turn("system", F.lit(system))), said, F.array(_turn("user", user)))
 
 
 def parse_lines(reply: Column, most: int = 2) -> Column:
@@ -65,7 +86,11 @@ def context_prompt(chunks: Column, question: Column, budget: int = 6000, share:
     documents or, without ``share``, cuts all of them together.
     """
     room = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.size(chunks), F.lit(1)))).cast("int")
-    part = lambda c, i: F.concat(F.lit("--- Document ["), (i + 1).cast("string"), F.lit("]: "), c["title"], F.lit(" ---\nContent:\n"), F.substr(c["text"], F.lit(1), room) if share else c["text"], F.lit("\n\n"))
+    head, named, content, gap, begin, ask, end = map(F.lit, CONTEXT)
+
+    def part(c: Column, i: Column) -> Column:
+        return F.concat(head, (i + 1).cast("string"), named, c["title"], content, F.substr(c["text"], F.lit(1), room) if share else c["text"], gap)
+
     context = F.array_join(F.transform(chunks, part), "")
     context = context if share else F.substring(context, 1, budget)
-    return F.when(F.size(chunks) > 0, F.concat(F.lit("Context:\n"), context, F.lit("\n\nQuestion: "), question, F.lit("\n\nAnswer:"))).otherwise(question)
+    return F.when(F.size(chunks) > 0, F.concat(begin, context, ask, question, end)).otherwise(question)

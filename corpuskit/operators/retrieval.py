@@ -6,11 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuskit.functions import text as T
+from corpuskit.operators.index import Index, fused_top
 from corpuskit.operators.ranking import rank_within
 
 
@@ -57,19 +60,28 @@ def top_k(scores: DataFrame, k: int, group: str = "q", tie: str = "doc_id") -> D
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def usable(v: Column) -> Column:
+    """Whether a vector has numbers only, and any that isn't 0."""
+    return F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
 def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """Rows (id, v) packed, as they lie, into blocks of up to ``rows`` unit vectors; zero vectors stay zero."""
+    """Usable rows (id, v) packed, as they lie, into blocks of up to ``rows`` unit vectors of one dimension ``dim``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, rows):
                 part = batch.slice(a, rows)
-                m = np.array(part.column(1).to_pylist(), np.float64)
-                norm = np.sqrt((m * m).sum(1, keepdims=True))
-                m /= np.where(norm == 0, 1, norm)
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([m.tobytes()])], names=["ids", "m"])
+                ids, vs = part.column(0).to_pylist(), part.column(1).to_pylist()
+                for dim in sorted({len(v) for v in vs}):
+                    at = [i for i, v in enumerate(vs) if len(v) == dim]
+                    m = np.array([vs[i] for i in at], np.float64)
+                    m /= np.sqrt((m * m).sum(1, keepdims=True))
+                    yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([[ids[i] for i in at]], pa.list_(id_type)), pa.array([m.tobytes()])], names=["dim", "ids", "m"])
 
-    return vectors.select("id", "v").where("v is not null").mapInArrow(pack, "ids array<bigint>, m binary")
+    id_type = to_arrow_type(vectors.schema["id"].dataType)
+    kind = vectors.schema["id"].dataType.simpleString()
+    return vectors.select("id", "v").where(usable(F.col("v"))).mapInArrow(pack, f"dim int, ids array<{kind}>, m binary")
 
 
 def _unpack(ids: list, raw: bytes) -> np.ndarray:
@@ -82,10 +94,12 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int | None, positive: b
     Without ``k``, all of them, and no rank.
 
     Both sides are (id, v). Blocks of queries meet blocks of vectors, one matrix
-    product each, which leaves the block's own best ``k``.
+    product each, which leaves the block's own best ``k``. Vectors that are null
+    or zero, or hold null or non-finite numbers, are similar to nothing, and so
+    are vectors of different dimensions.
     """
-    asked = _blocks(queries, 512).select(F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
-    pairs = _blocks(vectors, 4096).join(asked)
+    asked = _blocks(queries, 512).select("dim", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
+    pairs = _blocks(vectors, 4096).join(asked, "dim")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,18 +116,22 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int | None, positive: b
 
 def gold_ranks(queries: DataFrame, vectors: DataFrame, digits: int = 9) -> DataFrame:
     """Rank of each query's gold vector: queries are (id, v, gold). Counted block by block, nothing is sorted."""
-    golden = queries.join(vectors.select(F.col("id").alias("gold"), F.col("v").alias("g")), "gold")
+    golden = queries.where(usable(F.col("v"))).join(vectors.where(usable(F.col("v"))).select(F.col("id").alias("gold"), F.col("v").alias("g")), "gold")
+    golden = golden.where(F.size("v") == F.size("g"))
     dot = F.aggregate(F.zip_with("v", "g", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
     norm = [F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double") * x)) for c in ("v", "g")]
-    golden = golden.select("id", "v", "gold", F.round(dot / norm[0] / norm[1], digits).alias("gold_sim"))
+    golden = golden.select("id", "v", "gold", F.round(dot / norm[0] / norm[1], digits).alias("gold_sim"), F.size("v").alias("dim"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = np.array(batch.column(1).to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            m /= np.maximum(np.sqrt((m * m).sum(1, keepdims=True)), 1e-300)
-            yield pa.RecordBatch.from_arrays([pa.array([c.to_pylist()]) for c in (batch.column(0), batch.column(2), batch.column(3))] + [pa.array([m.tobytes()])], names=["q_ids", "golds", "sims", "q_m"])
+            for dim in batch.column(4).unique().to_pylist():
+                part = batch.filter(pc.equal(batch.column(4), dim))
+                m = np.array(part.column(1).to_pylist(), np.float64)
+                m /= np.sqrt((m * m).sum(1, keepdims=True))
+                lists = [pa.array([part.column(k).to_pylist()]) for k in (0, 2, 3)]
+                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *lists, pa.array([m.tobytes()])], names=["dim", "q_ids", "golds", "sims", "q_m"])
 
-    asked = golden.mapInArrow(pack, "q_ids array<bigint>, golds array<bigint>, sims array<double>, q_m binary")
+    asked = golden.mapInArrow(pack, "dim int, q_ids array<bigint>, golds array<bigint>, sims array<double>, q_m binary")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,12 +141,16 @@ def gold_ranks(queries: DataFrame, vectors: DataFrame, digits: int = 9) -> DataF
                 ahead = ((s > g) | (s == g) & (np.array(ids)[None] < own)) & (np.array(ids)[None] != own)
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(ahead.sum(1))], names=["q", "ahead"])
 
-    pairs = _blocks(vectors, 4096).join(asked).select("ids", "m", "q_ids", "golds", "sims", "q_m")
+    pairs = _blocks(vectors, 4096).join(asked, "dim").select("ids", "m", "q_ids", "golds", "sims", "q_m")
     return pairs.mapInArrow(count, "q bigint, ahead bigint").groupBy("q").agg((F.sum("ahead") + 1).alias("rank"))
 
 
 def fuse(bm: DataFrame, dense: DataFrame, n_docs: DataFrame, rrf_k: int = 60) -> DataFrame:
-    """Reciprocal ranks of both lists; a document missing from one has the number of documents as its rank there."""
+    """Reciprocal ranks of two whole lists of scores; a document missing from one has the number of documents as its rank there.
+
+    For lists that are at hand. The best of documents and queries come from
+    ``index.fused_top``, which never makes such lists.
+    """
     a = rank_within(bm, "q", "score", "doc_id", 0.25).select("q", "doc_id", F.col("rank").alias("bm_rank"), F.col("score").alias("bm"))
     b = rank_within(dense, "q", "score", "doc_id", 0.01).select("q", "doc_id", F.col("rank").alias("dense_rank"), F.col("score").alias("sim"))
     both = a.join(b, ["q", "doc_id"], "full").join(F.broadcast(n_docs.select("n_docs")))
@@ -141,18 +163,17 @@ def title_boost(query: Column, title: Column, each: float = 0.02) -> Column:
     return F.lit(each) * F.size(F.array_intersect(F.array_distinct(T.words(F.lower(query))), F.array_distinct(T.words(F.lower(title)))))
 
 
-def hybrid(docs: DataFrame, queries: DataFrame, dense: DataFrame, k: int = 3, split: str | None = None, title_col: str = "title", digits: int = 9) -> DataFrame:
+def hybrid(index: Index, queries: DataFrame, vectors: DataFrame, k: int = 3, split: str | None = None) -> DataFrame:
     """The ``k`` best documents of each query by fused rank and title boost, with the score that is shown.
 
-    ``docs``: doc_id, text, title (and split); ``queries``: item_id, text;
-    ``dense``: cosine scores (q, doc_id, score). The score shown is the cosine,
-    else BM25, else the fused one, to 4 places.
+    ``queries``: item_id, text, v; ``vectors``: doc_id, v; see ``index.fused_top``.
+    The score shown is the cosine, else BM25, to 4 places.
     """
-    bm = bm25(docs, queries, split=split)
-    if split:
-        dense = dense.join(docs.where(F.col("split") == split).select("doc_id"), "doc_id", "left_semi")
-    fused = fuse(bm, dense, docs.agg(F.count("*").alias("n_docs")))
-    named = fused.join(docs.select("doc_id", F.col(title_col).alias("title")), "doc_id").join(queries.select(F.col("item_id").alias("q"), F.col("text").alias("question")), "q")
-    scored = named.withColumn("score", F.round(F.col("rrf") + title_boost(F.col("question"), F.col("title")), digits))
-    best = top_k(scored.select("q", "doc_id", "score", "bm", "sim", "rrf"), k)
-    return best.withColumn("shown", F.round(F.coalesce("sim", "bm", "rrf"), 4))
+    best = fused_top(index, queries, vectors, k, split)
+    return best.withColumn("shown", F.round(F.coalesce("sim", "bm"), 4))
+
+
+def with_documents(hits: DataFrame, docs: DataFrame, *columns: str) -> DataFrame:
+    """Hits with columns of their documents: by default title, text, origin and split, those there are."""
+    named = columns or [c for c in ("title", "text", "origin", "split") if c in docs.columns]
+    return hits.join(docs.select("doc_id", *named), "doc_id")

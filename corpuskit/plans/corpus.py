@@ -67,7 +67,7 @@ def header_strip(spark, sf_dir):
 
 
 def line_doc_freq(spark, sf_dir):
-    return C.line_document_frequency(lined(spark, sf_dir)).where("df > 1")
+    return C.line_document_frequency(lined(spark, sf_dir))
 
 
 def boilerplate_lines(spark, sf_dir):
@@ -135,9 +135,17 @@ def repeated_page_lines(spark, sf_dir):
 
 
 def line_filter(spark, sf_dir):
-    lines = lined(spark, sf_dir).select("doc_id", F.posexplode("lines").alias("pos", "line"))
-    made = F.when(F.col("pos") % 5 == 0, "About").when(F.col("pos") % 5 == 1, F.concat(F.lit("Page "), F.col("pos").cast("string"))).when(F.col("pos") % 5 == 2, " | | ").otherwise(F.col("line"))
-    return lines.select("doc_id", "pos", made.alias("line")).where(C.keep_line(F.col("line"))).groupBy("doc_id").agg(F.count("*").alias("kept"))
+    lines = lined(spark, sf_dir).select("doc_id", F.posexplode("lines").alias("pos", "line")).withColumn("page", (F.col("pos") / 5).cast("int"))
+    marks = F.when(F.col("pos") % 5 == 0, "About").when(F.col("pos") % 5 == 1, F.concat(F.lit("Page "), F.col("pos").cast("string"))).when(F.col("pos") % 5 == 2, " | | ")
+    made = marks.when(F.col("pos") % 10 == 3, "Running Head").when(F.col("pos") % 10 == 8, "so we bring the world together").otherwise(F.col("line"))
+    return C.filter_lines(lines.withColumn("line", made)).groupBy("doc_id").agg(F.count("*").alias("kept"))
+
+
+def file_audit(spark, sf_dir):
+    full = lined(spark, sf_dir)
+    made = C.chunks(full).withColumn("content_hash", T.content_hash(F.col("text")))
+    files = full.select("doc_id", F.ceil(F.size("lines") / 5).cast("int").alias("pages"), T.split_sha256(F.col("doc_id").cast("string")).alias("split"))
+    return C.file_audit(made, C.first_by_hash(made.drop("text"), "content_hash", "doc_id", "chunk_index"), files).select("doc_id", "line")
 
 
 LINES_CTE = f"lined as (select doc_id, {sql_lines('text')} as lines from documents)"
@@ -183,7 +191,7 @@ SQL_BUILD = f"""with recursive {BOILER_CTE},
     hashed as (select *, substr(sha1(text), 1, 16) as content_hash from packed where n_words >= 50),
     chosen as (select * from hashed qualify row_number() over (partition by content_hash order by doc_id, chunk_index) = 1)""".replace("    stripped as (select doc_id, list_filter(lines, lambda x: x not in (select line from boiler)) as lines from usable),\n", "")
 
-QUERIES = {f.__name__: f for f in (token_counts, word_counts, clean_lines, header_strip, line_doc_freq, boilerplate_lines, strip_boilerplate, chunk_greedy, chunk_merge_tail, dedup_exact, split_sha1, split_sha256, corpus_build, corpus_audit, alpha_ratio_filter, reference_cut, repeated_page_lines, line_filter)}
+QUERIES = {f.__name__: f for f in (token_counts, word_counts, clean_lines, header_strip, line_doc_freq, boilerplate_lines, strip_boilerplate, chunk_greedy, chunk_merge_tail, dedup_exact, split_sha1, split_sha256, corpus_build, corpus_audit, alpha_ratio_filter, reference_cut, repeated_page_lines, line_filter, file_audit)}
 
 ORACLES = {
     "token_counts": f"select doc_id, len({sql_tokens('text')}) as n_tokens, len(list_distinct({sql_tokens('text')})) as n_distinct from documents",
@@ -197,7 +205,7 @@ ORACLES = {
         bodies as (select doc_id, list_filter(e[(p + case when regexp_full_match(coalesce(e[p], ''), '[\x{{2500}}-\x{{257f}}\-_=]{{6,}}') then 1 else 0 end)::bigint:], lambda x: x <> '') as body from places)
         select doc_id, len(body) as n_lines, sha1(array_to_string(body, chr(10))) as body_sha1 from bodies
     """,
-    "line_doc_freq": f"with {LINES_CTE} select line, count(*) as df from (select distinct doc_id, unnest(lines) as line from lined) group by line having count(*) > 1",
+    "line_doc_freq": f"with {LINES_CTE} select line, count(*) as df from (select distinct doc_id, unnest(lines) as line from lined) group by line",
     "boilerplate_lines": f"with {BOILER_CTE} select line, df from boiler",
     "strip_boilerplate": f"""with {BOILER_CTE},
         bodies as (select u.doc_id, coalesce(list(l.line order by l.rn) filter (l.line is not null), []) as lines
@@ -240,8 +248,21 @@ ORACLES = {
         select doc_id, key, df from counts join pages using (doc_id) where df >= greatest(2, round_even(pages * 0.4::double, 0)) and length(key) > 2""",
     "line_filter": rf"""with {LINES_CTE},
         raw as (select doc_id, generate_subscripts(lines, 1) - 1 as pos, unnest(lines) as line from lined),
-        made as (select doc_id, case when pos % 5 = 0 then 'About' when pos % 5 = 1 then 'Page ' || pos when pos % 5 = 2 then ' | | ' else line end as line from raw)
+        made as (select doc_id, pos // 5 as page, case when pos % 5 = 0 then 'About' when pos % 5 = 1 then 'Page ' || pos when pos % 5 = 2 then ' | | '
+                        when pos % 10 = 3 then 'Running Head' when pos % 10 = 8 then 'so we bring the world together' else line end as line from raw),
+        pages as (select doc_id, count(distinct page) as pages from made group by doc_id having count(distinct page) > 1),
+        heads as (select doc_id, lower({sql_strip('line')}) as key from (select distinct doc_id, page, line from made where {sql_strip('line')} <> '') join pages using (doc_id)
+                  group by doc_id, lower({sql_strip('line')}), pages having count(*) >= greatest(2, round_even(pages * 0.4::double, 0)) and length(lower({sql_strip('line')})) > 2)
         select doc_id, count(*) as kept from made
-        where {sql_strip('line')} <> '' and lower({sql_strip('line')}) not in ({', '.join(f"'{x}'" for x in C.NAVIGATION)}) and not regexp_matches(line, '{C.PAGE_NUMBER}') and {sql_strip("replace(line, '|', '')")} <> ''
+        where {sql_strip('line')} <> '' and lower({sql_strip('line')}) not in ({', '.join(f"'{x}'" for x in C.NAVIGATION)}) and not regexp_matches(line, '{C.FOOTER}')
+          and not regexp_matches(line, '{C.PAGE_NUMBER}') and {sql_strip("replace(line, '|', '')")} <> '' and (doc_id, lower({sql_strip('line')})) not in (select (doc_id, key) from heads)
         group by doc_id""",
+    "file_audit": f"""with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)},
+        made as (select *, row_number() over (partition by text order by doc_id, chunk_index) as n from packed where n_words >= 50),
+        sums as (select doc_id, count(*) filter (n = 1) as kept, count(*) filter (n > 1) as dups from made group by doc_id),
+        files as (select doc_id, ceil(len(lines) / 5::double)::int as pages,
+                         case when list_sum(list_transform(string_split(sha256(doc_id::varchar), ''), lambda x: ('0x' || x)::bigint)) % 5 = 0 then 'test' else 'train' end as split
+                  from lined where len(lines) > 0)
+        select doc_id, printf('[ OK ] %s: %dp -> %d chunks (%d dups dropped) [%s]', doc_id::varchar, pages, coalesce(kept, 0), coalesce(dups, 0), split) as line
+        from files left join sums using (doc_id)""",
 }

@@ -9,8 +9,9 @@ from corpuskit.functions import text as T
 from corpuskit.operators import chat as C
 from corpuskit.operators import qa as Q
 from corpuskit.operators import retrieval as R
+from corpuskit.operators.index import bm25_top
 from corpuskit.plans.corpus import LINE_END, sql_strip, sql_words
-from corpuskit.plans.retrieval import BM25, answered, titled
+from corpuskit.plans.retrieval import BM25, answered, index, titled
 from corpuskit.sources.tables import table
 
 SYSTEM = "You answer questions about the corpus."
@@ -63,7 +64,7 @@ def llm_line_parse(spark, sf_dir):
 def ranked_chunks(spark, sf_dir):
     """The three best documents of each benchmark text, as an array of (title, text, doc_id, score) by rank."""
     docs, queries = titled(spark, sf_dir), table(spark, sf_dir, "benchmark")
-    best = R.top_k(R.bm25(docs, queries), 3).join(docs, "doc_id")
+    best = R.with_documents(bm25_top(index(spark, sf_dir), queries, 3), docs, "title", "text")
     grouped = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("rank", "title", "text", "doc_id", "score"))).alias("chunks"))
     return queries.select(F.col("item_id"), F.col("text").alias("question")).join(grouped, F.col("item_id") == F.col("q"), "left").withColumn("chunks", F.coalesce("chunks", F.array().cast("array<struct<rank:int,title:string,text:string,doc_id:bigint,score:double>>")))
 
@@ -119,10 +120,27 @@ def chat_export_json(spark, sf_dir):
 
 def comparison_report(spark, sf_dir):
     sources = F.transform("chunks", lambda c: F.struct(c["title"].alias("title"), c["doc_id"].cast("string").alias("origin"), c["rank"].alias("score")))
-    return ranked_chunks(spark, sf_dir).select("item_id", C.comparison(F.col("question"), F.lit("direct"), F.lit("grounded"), sources).alias("report"))
+    made = {k: C.comparison(F.col("question"), F.lit("direct"), F.lit("grounded"), sources, k, stamp=STAMP) for k in ("md", "txt", "json", "odd")}
+    return ranked_chunks(spark, sf_dir).select("item_id", *(c.alias(k) for k, c in made.items()))
 
 
-QUERIES = {f.__name__: f for f in (qa_quality, qa_dedup, ngram_decontam, contaminated, resume_antijoin, sft_messages, llm_line_parse, rag_prompt, chat_history_window, feedback_question_lookup, demo_cache_lookup, session_titles, followups, retrieval_confidence, chat_export_md, chat_export_txt, chat_export_json, comparison_report)}
+def query_prompts(spark, sf_dir):
+    """The prompt that asks for queries about each document, and the messages of a question with what was said before."""
+    docs = table(spark, sf_dir, "documents")
+    prompt = Q.query_prompt("Write {n} queries.\nDocument: {doc}\nQueries:", F.col("text"), 2)
+    return docs.select("doc_id", F.sha1(prompt).alias("prompt_sha1"))
+
+
+def messages_with_history(spark, sf_dir):
+    every = turns(spark, sf_dir)
+    last = every.groupBy("conv_id").agg(F.max_by("text", "turn").alias("question"))
+    before = C.recent_history(every).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("h"))
+    history = F.transform(F.coalesce("h", F.array().cast("array<struct<turn:bigint,role:string,content:string>>")), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    rows = last.join(before, "conv_id", "left")
+    return rows.select("conv_id", F.sha1(F.to_json(Q.chat_messages(SYSTEM, history, F.col("question")))).alias("messages_sha1"))
+
+
+QUERIES = {f.__name__: f for f in (qa_quality, qa_dedup, ngram_decontam, contaminated, resume_antijoin, sft_messages, llm_line_parse, rag_prompt, chat_history_window, feedback_question_lookup, demo_cache_lookup, session_titles, followups, retrieval_confidence, chat_export_md, chat_export_txt, chat_export_json, comparison_report, query_prompts, messages_with_history)}
 
 PAIRS = f"""t as (select *, lag(text) over w as q, lag(role) over w as asker from conversations window w as (partition by conv_id order by turn)),
     pairs as (select conv_id, turn, case when conv_id % 2 = 0 then {sql_strip('q')} || '?' else q end as question, case when conv_id % 9 = 0 then text || ' As stated above.' else text end as answer
@@ -173,5 +191,17 @@ ORACLES = {
     "chat_export_md": f"select conv_id, '# Chat Export' || chr(10) || chr(10) || '_Exported: {STAMP}_' || chr(10) || '_Model status: ok_' || chr(10) || chr(10) || string_agg(case when role = 'user' then '### 🧑 User' else '### 🤖 Assistant' end || chr(10) || text || chr(10) || chr(10) || '---' || chr(10), chr(10) order by turn) as document from conversations group by conv_id",
     "chat_export_txt": f"select conv_id, 'CHAT EXPORT' || chr(10) || 'Exported: {STAMP}' || chr(10) || 'Model status: ok' || chr(10) || repeat('=', 60) || chr(10) || chr(10) || string_agg(case when role = 'user' then '[USER]' else '[ASSISTANT]' end || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) order by turn) as document from conversations group by conv_id",
     "chat_export_json": f"select conv_id, to_json({{'exported_at': '{STAMP}', 'model_status': 'ok', 'messages': list({{'role': role, 'content': text}} order by turn)}})::varchar as document from conversations group by conv_id",
-    "comparison_report": f"with {TOP} select item_id, '**Question Analyzed:** \"' || question || '\"' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Direct Response' || chr(10) || chr(10) || 'direct' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Grounded Response' || chr(10) || chr(10) || 'grounded' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### References' || chr(10) || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: x.rank || '. [' || x.title || '](' || x.doc_id || ') - Score: ' || x.rank || chr(10)), '') else 'No reference found.' end as report from chunks",
+    "comparison_report": f"""with {TOP} select item_id,
+        '# Comparison Report' || chr(10) || '**Question Analyzed:** "' || question || '"' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Direct Response' || chr(10) || chr(10) || 'direct'
+        || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Grounded Response' || chr(10) || chr(10) || 'grounded' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### References' || chr(10)
+        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: x.rank || '. [' || x.title || '](' || x.doc_id || ') - Score: ' || x.rank || chr(10)), '') else 'No reference found.' end as md,
+        'COMPARISON REPORT' || chr(10) || 'Question: ' || question || chr(10) || repeat('=', 60) || chr(10) || chr(10) || '[DIRECT RESPONSE]' || chr(10) || 'direct' || chr(10) || chr(10)
+        || '[GROUNDED RESPONSE]' || chr(10) || 'grounded' || chr(10) || chr(10) || '[REFERENCES]' || chr(10)
+        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: '  ' || x.rank || '. ' || x.title || ' - ' || x.doc_id || ' (score: ' || x.rank || ')' || chr(10)), '') else '  No reference found.' || chr(10) end as txt,
+        to_json({{'question': question, 'direct_answer': 'direct', 'rag_answer': 'grounded', 'sources': list_transform(c, lambda x: {{'title': x.title, 'origin': x.doc_id::varchar, 'score': x.rank}}), 'exported_at': '{STAMP}'}})::varchar as json,
+        '' as odd from chunks""",
+    "query_prompts": "select doc_id, sha1('Write 2 queries.' || chr(10) || 'Document: ' || substr(coalesce(text, ''), 1, 1200) || chr(10) || 'Queries:') as prompt_sha1 from documents",
+    "messages_with_history": f"""with h as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn desc) as back from conversations),
+        m as (select conv_id, arg_max(text, turn) as question, coalesce(list({{'role': role, 'content': text}} order by turn) filter (back between 2 and 7), []) as said from h group by conv_id)
+        select conv_id, sha1(to_json(list_concat([{{'role': 'system', 'content': '{SYSTEM}'}}], said, [{{'role': 'user', 'content': question}}]))::varchar) as messages_sha1 from m""",
 }

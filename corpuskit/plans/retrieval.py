@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpuskit.functions import text as T
 from corpuskit.operators import mining as M
 from corpuskit.operators import retrieval as R
+from corpuskit.operators.index import bm25_top, fused_top, kept_index
+from corpuskit.operators.models import judge_score
 from corpuskit.plans.corpus import SQL_SPLIT, sql_tokens, sql_words
 from corpuskit.sources.tables import table
 
@@ -34,48 +36,50 @@ def bm25_stats(spark, sf_dir):
 
 
 def term_document_freq(spark, sf_dir):
-    return R.index_tables(table(spark, sf_dir, "documents"))["terms"].where("df > 1")
+    return R.index_tables(table(spark, sf_dir, "documents"))["terms"]
+
+
+def index(spark, sf_dir):
+    """The index of the documents; queries that need it share it."""
+    return kept_index(titled(spark, sf_dir), "documents")
 
 
 def bm25_topk(spark, sf_dir):
-    scores = R.bm25(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return R.top_k(scores, 3).select(F.col("q").alias("item_id"), "doc_id", "score", "rank")
+    best = bm25_top(index(spark, sf_dir), table(spark, sf_dir, "benchmark"), 3)
+    return best.select(F.col("q").alias("item_id"), "doc_id", "score", "rank")
 
 
 def bm25_split(spark, sf_dir):
-    scores = R.bm25(titled(spark, sf_dir), table(spark, sf_dir, "benchmark"), split="test")
-    return R.top_k(scores, 3).select(F.col("q").alias("item_id"), "doc_id", "score", "rank")
+    best = bm25_top(index(spark, sf_dir), table(spark, sf_dir, "benchmark"), 3, split="test")
+    return best.select(F.col("q").alias("item_id"), "doc_id", "score", "rank")
 
 
 def dense_topk(spark, sf_dir):
     return R.dense_top(asked(spark, sf_dir), vectors(spark, sf_dir), 5).select("q", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
-def query_vectors(spark, sf_dir):
-    """A stand-in for encoded questions: the vector whose id is the question's."""
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id")).join(vectors(spark, sf_dir), "id")
+def with_vectors(spark, sf_dir):
+    """Questions with a stand-in for their encoding: the vector whose id is the question's."""
+    return table(spark, sf_dir, "benchmark").join(vectors(spark, sf_dir).withColumnRenamed("id", "item_id"), "item_id", "left")
 
 
-def all_dense(spark, sf_dir):
-    """Cosines above 0 of every question and document; documents without a vector have none."""
-    found = R.dense_top(query_vectors(spark, sf_dir), vectors(spark, sf_dir), None)
-    return found.join(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", "left_semi")
+def document_vectors(spark, sf_dir):
+    return vectors(spark, sf_dir).withColumnRenamed("id", "doc_id")
 
 
 def rrf_fusion(spark, sf_dir):
-    docs = titled(spark, sf_dir)
-    fused = R.fuse(R.bm25(docs, table(spark, sf_dir, "benchmark")), all_dense(spark, sf_dir), docs.agg(F.count("*").alias("n_docs")))
-    best = R.top_k(fused.withColumn("score", F.round("rrf", 9)), 5)
+    best = fused_top(index(spark, sf_dir), with_vectors(spark, sf_dir), document_vectors(spark, sf_dir), 5, boost=False)
     return best.select("q", "doc_id", "bm_rank", "dense_rank", "score", "rank")
 
 
 def hybrid_retrieve(spark, sf_dir):
-    best = R.hybrid(titled(spark, sf_dir), table(spark, sf_dir, "benchmark"), all_dense(spark, sf_dir))
-    return best.select("q", "doc_id", "score", "shown", "rank")
+    best = R.hybrid(index(spark, sf_dir), with_vectors(spark, sf_dir), document_vectors(spark, sf_dir))
+    hits = R.with_documents(best, titled(spark, sf_dir), "title")
+    return hits.select("q", "doc_id", F.sha1("title").alias("title_sha1"), "score", "shown", "rank")
 
 
 def hybrid_split(spark, sf_dir):
-    best = R.hybrid(titled(spark, sf_dir), table(spark, sf_dir, "benchmark"), all_dense(spark, sf_dir), split="train")
+    best = R.hybrid(index(spark, sf_dir), with_vectors(spark, sf_dir), document_vectors(spark, sf_dir), split="train")
     return best.select("q", "doc_id", "score", "shown", "rank")
 
 
@@ -98,6 +102,28 @@ def qrel_pairs(spark, sf_dir):
     return M.qrels(M.hard_negatives(*ranked_with_positives(spark, sf_dir), negs_per_pair=2))
 
 
+def triplets(spark, sf_dir):
+    """Texts and counts of triplets; a document's text stands twice in the corpus, and the last one counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    corpus = docs.withColumn("place", F.lit(1)).union(docs.where("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("again "), "text"), F.lit(2)))
+    mined = M.hard_negatives(*ranked_with_positives(spark, sf_dir), negs_per_pair=2)
+    return M.triplet_texts(mined, docs.select(F.col("doc_id").alias("q"), "text"), corpus)
+
+
+def triplet_texts(spark, sf_dir):
+    return triplets(spark, sf_dir).select("q", "positive_id", "negative_id", *(F.sha1(c).alias(f"{c}_sha1") for c in ("anchor", "positive", "negative")))
+
+
+def triplet_counts(spark, sf_dir):
+    return M.triplet_counts(M.split_by_anchor(M.hard_negatives(*ranked_with_positives(spark, sf_dir), negs_per_pair=2)))
+
+
+def judge_mean(spark, sf_dir):
+    """The mean of judges' scores where there is one."""
+    score = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit('```json\n{"score": '), (F.col("turn") % 5 + 1).cast("string"), F.lit("}\n```"))).otherwise("no idea")
+    return M.mean_scores(answered(spark, sf_dir).select(judge_score(score).alias("judge"), F.round(T.token_f1(F.col("text"), F.col("question")), 4).alias("f1")), "judge", "f1")
+
+
 def train_val_split(spark, sf_dir):
     convs = table(spark, sf_dir, "conversations").select("conv_id").distinct()
     return M.split_validation(convs, "conv_id")
@@ -111,8 +137,7 @@ def eval_rank_metrics(spark, sf_dir):
 def eval_keyword_recall(spark, sf_dir):
     docs, queries = titled(spark, sf_dir), table(spark, sf_dir, "benchmark")
     words = queries.select(F.col("item_id").alias("q"), F.slice(F.filter(T.tokens(F.col("text")), lambda t: F.length(t) >= 6), 1, 3).alias("keywords")).where(F.size("keywords") > 0)
-    top = R.top_k(R.bm25(docs, queries), 5)
-    hits = top.join(docs, "doc_id").join(words, "q").select("q", "rank", M.relevant(F.col("title"), F.col("text"), F.col("keywords")).alias("relevant"))
+    hits = R.with_documents(bm25_top(index(spark, sf_dir), queries, 5), docs, "title", "text").join(words, "q").select("q", "rank", M.relevant(F.col("title"), F.col("text"), F.col("keywords")).alias("relevant"))
     return M.keyword_recall(hits, words)
 
 
@@ -130,7 +155,7 @@ def token_f1_mean(spark, sf_dir):
     return token_f1(spark, sf_dir).agg(F.count("*").alias("n"), F.round(F.avg("f1"), 3).alias("mean_f1"))
 
 
-QUERIES = {f.__name__: f for f in (bm25_stats, term_document_freq, bm25_topk, bm25_split, dense_topk, rrf_fusion, hybrid_retrieve, hybrid_split, hard_negatives, anchor_split, qrel_pairs, train_val_split, eval_rank_metrics, eval_keyword_recall, token_f1, token_f1_mean)}
+QUERIES = {f.__name__: f for f in (bm25_stats, term_document_freq, bm25_topk, bm25_split, dense_topk, rrf_fusion, hybrid_retrieve, hybrid_split, hard_negatives, anchor_split, qrel_pairs, train_val_split, eval_rank_metrics, eval_keyword_recall, token_f1, token_f1_mean, triplet_texts, triplet_counts, judge_mean)}
 
 BM25 = f"""
     dt as (select doc_id, text, {sql_tokens('text')} as tokens, {SQL_SPLIT} as split, substr(split_part(coalesce(text, ''), chr(10), 1), 1, 60) as title from documents),
@@ -157,8 +182,8 @@ def _distinct_words(c: str) -> str:
 
 
 HYBRID = """with {fused},
-    scored as (select f.*, round(rrf + 0.02::double * len(list_intersect({a}, {b})), 9) as score from fused f join dt using (doc_id) join benchmark k on k.item_id = f.q)
-    select q, doc_id, score, round(coalesce(sim, bm, rrf), 4) as shown, (row_number() over (partition by q order by score desc, doc_id))::int as rank
+    scored as (select f.*, title, round(rrf + 0.02::double * len(list_intersect({a}, {b})), 9) as score from fused f join dt using (doc_id) join benchmark k on k.item_id = f.q)
+    select q, doc_id, {more}score, round(coalesce(sim, bm, rrf), 4) as shown, (row_number() over (partition by q order by score desc, doc_id))::int as rank
     from scored qualify rank <= 3"""
 POSITIVES = "with " + DENSE.format(where="where q.id % 50 = 0") + """,
     pos as (select q, doc_id as positive_id, rank - 1 as at from ranked where rank - 1 = q // 50 % 4 * 6 + 2),
@@ -173,13 +198,13 @@ PAIRS = """turns as (select *, lag(text) over w as question, lag(role) over w as
 
 ORACLES = {
     "bm25_stats": f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents), terms as (select term, count(distinct doc_id) as df from (select doc_id, unnest(tokens) as term from dt) group by term) select (select count(*) from dt) as n_docs, (select round(avg(len(tokens)), 6) from dt) as avg_len, count(*) as n_terms, sum(df)::bigint as n_postings from terms",
-    "term_document_freq": f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents) select term, count(distinct doc_id) as df from (select doc_id, unnest(tokens) as term from dt) group by term having count(distinct doc_id) > 1",
+    "term_document_freq": f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents) select term, count(distinct doc_id) as df from (select doc_id, unnest(tokens) as term from dt) group by term",
     "bm25_topk": f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank from bm qualify rank <= 3",
     "bm25_split": f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank from bm where split = 'test' qualify rank <= 3",
     "dense_topk": "with " + DENSE.format(where="where q.id % 50 = 0") + " select q, doc_id, round(score, 6) as score, rank from ranked where rank <= 5 and score > 0",
     "rrf_fusion": "with " + FUSED.replace("{split}", "").replace("{more}", "") + " select q, doc_id, bm_rank, dense_rank, round(rrf, 9) as score, (row_number() over (partition by q order by round(rrf, 9) desc, doc_id))::int as rank from fused qualify rank <= 5",
-    "hybrid_retrieve": HYBRID.format(fused=FUSED.replace("{split}", "").replace("{more}", ""), a=_distinct_words("k.text"), b=_distinct_words("dt.title")),
-    "hybrid_split": HYBRID.format(fused=FUSED.replace("{split}", "where split = 'train'").replace("{more}", "and d.id in (select doc_id from dt where split = 'train')"), a=_distinct_words("k.text"), b=_distinct_words("dt.title")),
+    "hybrid_retrieve": HYBRID.format(more="sha1(title) as title_sha1, ", fused=FUSED.replace("{split}", "").replace("{more}", ""), a=_distinct_words("k.text"), b=_distinct_words("dt.title")),
+    "hybrid_split": HYBRID.format(more="", fused=FUSED.replace("{split}", "where split = 'train'").replace("{more}", "and d.id in (select doc_id from dt where split = 'train')"), a=_distinct_words("k.text"), b=_distinct_words("dt.title")),
     "hard_negatives": POSITIVES + " select q, positive_id, negative_id, place::int as place from mined where n <= 30",
     "anchor_split": POSITIVES + """, anchors as (select q, row_number() over (order by sha1('13' || q), q) as n, count(*) over () as total from (select distinct q from mined))
         select q, positive_id, negative_id, case when a.n <= greatest(1, floor(total * 0.2::double)) then 'eval' else 'train' end as part from mined m join anchors a using (q) where m.n <= 2""",
@@ -197,4 +222,11 @@ ORACLES = {
                round(avg(case when first <= 5 then 1 else 0 end), 6) as recall_5, round(avg(coalesce(1 / first::double, 0)), 6) as mrr from firsts""",
     "token_f1": f"with {PAIRS} select conv_id, turn, f1 from scored",
     "token_f1_mean": f"with {PAIRS} select count(*) as n, round(avg(f1), 3) as mean_f1 from scored",
+    "triplet_texts": POSITIVES + """, c as (select doc_id, case when doc_id % 3 = 0 then 'again ' else '' end || coalesce(text, '') as text from documents)
+        select q, positive_id, negative_id, sha1(coalesce(a.text, '')) as anchor_sha1, sha1(p.text) as positive_sha1, sha1(n.text) as negative_sha1
+        from mined m join documents a on a.doc_id = m.q join c p on p.doc_id = m.positive_id join c n on n.doc_id = m.negative_id where m.n <= 2""",
+    "triplet_counts": POSITIVES + """, anchors as (select q, row_number() over (order by sha1('13' || q), q) as n, count(*) over () as total from (select distinct q from mined))
+        select case when a.n <= greatest(1, floor(total * 0.2::double)) then 'eval' else 'train' end as part, count(*) as triplets, count(distinct q) as anchors
+        from mined m join anchors a using (q) where m.n <= 2 group by 1""",
+    "judge_mean": f"with {PAIRS} select count(*) filter (conv_id % 3 = 0) as n_judge, round(avg(case when conv_id % 3 = 0 then turn % 5 + 1 end), 3) as mean_judge, count(f1) as n_f1, round(avg(f1), 3) as mean_f1 from scored",
 }

@@ -76,7 +76,7 @@ def report_join(spark, sf_dir):
 def url_and_origin(spark, sf_dir):
     stem = F.regexp_replace(T.safe_name(F.col("url"), F.col("page_id")), r"\.", "_")
     paper = F.concat(F.lit("x_"), F.format_string("%04d.%05d", F.col("page_id").cast("int"), F.col("page_id").cast("int")))
-    site = F.concat(F.lit("02_lbnf_"), F.col("page_id").cast("string"), F.lit("_gov_about_x"))
+    site = F.concat(F.lit("02_ring_"), F.col("page_id").cast("string"), F.lit("_gov_about_x"))
     return pages(spark, sf_dir).select("page_id", T.url_from_stem(stem).alias("url"), T.origin_from_name(paper, F.lit(True)).alias("paper"), T.origin_from_name(site, F.lit(False)).alias("site"), T.origin_from_name(stem, F.lit(False)).alias("none"), T.slug(F.col("url")).alias("slug"), F.concat(F.lit("web/"), stem, F.lit("#c"), F.lpad((F.col("page_id") % 12).cast("string"), 3, "0")).alias("chunk_id"))
 
 
@@ -94,18 +94,49 @@ def corpus_map(spark, sf_dir):
 
 
 def records(spark, sf_dir):
-    """Documents as JSON records of the three kinds, and some that are none."""
+    """Documents, whole, as JSON records of the three kinds, and some that are none; titles are first lines."""
     c, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
-    name = F.concat(F.lit("r"), c.cast("string"))
-    patent = F.struct(F.substring(text, 1, 50).alias("title"), F.concat(F.lit("In one embodiment, FLT3.sup.ITD "), F.substring(text, 1, 400)).alias("abstract"), F.concat(F.lit("1. "), F.substring(text, 1, 900), F.lit("\n2 . "), F.substring(text, 1, 700), F.lit("\n3. third\n4. fourth")).alias("claims"), F.array(F.lit("A61K31/00"), F.lit("A61K9/00"), F.lit("zz"), F.lit("C12N1/00")).alias("cpc_codes"), F.when(c % 2 == 0, name).alias("document_id"))
-    trial = F.struct(F.struct(F.struct(F.when(c % 5 != 0, name).alias("nctId"), F.substring(text, 1, 60).alias("briefTitle")).alias("identificationModule"), F.struct(F.substring(text, 1, 300).alias("briefSummary")).alias("descriptionModule"), F.struct(F.array(F.lit("a"), F.lit("b")).alias("conditions")).alias("conditionsModule"), F.struct(F.array(F.struct(F.lit("DIETARY_SUPPLEMENT").alias("type"), name.alias("name")), F.struct(F.lit("DRUG").alias("type"), F.lit("").alias("name"))).alias("interventions")).alias("armsInterventionsModule")).alias("protocolSection"))
-    listing = F.struct(F.substring(text, 1, 30).alias("title"), F.lit("As used herein, x").alias("excerpt"), text.alias("body"), F.concat(F.lit("https://x/"), name).alias("url"), F.lit("s").alias("site"), (c % 10).cast("double").alias("topic_score"))
-    json = F.when(c % 4 == 0, F.to_json(patent)).when(c % 4 == 1, F.to_json(trial)).when(c % 4 == 2, F.to_json(listing)).when(c % 8 == 3, "[1, 2]").otherwise('{"x": ')
+    first, name = F.substring_index(text, "\n", 1), F.concat(F.lit("r"), c.cast("string"))
+    patent = F.struct(
+        first.alias("title"),
+        F.concat(F.lit("In one embodiment, FLT3.sup.ITD "), text).alias("abstract"),
+        F.concat(F.lit("1. "), text, F.lit("\n2 . "), first, F.lit("\n3. third\n4. fourth")).alias("claims"),
+        F.array(F.lit("A61K31/00"), F.lit("A61K9/00"), F.lit("zz"), F.lit("C12N1/00")).alias("cpc_codes"),
+        F.when(c % 2 == 0, name).alias("document_id"),
+        F.array(name, F.lit("b")).alias("assignees"),
+    )
+    made = (("DIETARY_SUPPLEMENT", name), ("DRUG-ELUTING", F.lit("x")), ("DRUG", F.lit("")))
+    arms = F.array(*(F.struct(F.lit(kind).alias("type"), called.alias("name")) for kind, called in made))
+    trial = F.struct(
+        F.struct(
+            F.struct(F.when(c % 5 != 0, name).alias("nctId"), first.alias("briefTitle")).alias("identificationModule"),
+            F.struct(text.alias("briefSummary")).alias("descriptionModule"),
+            F.struct(F.array(F.lit("a"), F.lit("b")).alias("conditions")).alias("conditionsModule"),
+            F.struct(arms.alias("interventions")).alias("armsInterventionsModule"),
+            F.struct(F.array(F.lit("PHASE2")).alias("phases")).alias("designModule"),
+        ).alias("protocolSection")
+    )
+    listing = F.struct(
+        first.alias("title"),
+        F.lit("As used herein, x").alias("excerpt"),
+        text.alias("body"),
+        F.concat(F.lit("https://x/"), name).alias("url"),
+        F.lit("s").alias("site"),
+        F.lit("page").alias("content_type"),
+        (c % 10).cast("double").alias("topic_score"),
+    )
+    kinds = F.when(c % 4 == 0, F.to_json(patent)).when(c % 4 == 1, F.to_json(trial)).when(c % 4 == 2, F.to_json(listing))
+    json = kinds.when(c % 8 == 3, "[1, 2]").otherwise('{"x": ')
     return table(spark, sf_dir, "documents").select(json.alias("json"))
 
 
 def discovery_normalise(spark, sf_dir):
-    return D.parse_records(records(spark, sf_dir)).select("doc_id", "source", "side", F.sha1("title").alias("title_sha1"), "embedding_text", "source_url", F.coalesce("topic_score", F.lit(-1.0)).alias("topic_score"))
+    found = D.parse_records(records(spark, sf_dir))
+    lists = [F.array_join(c, ",") for c in ("cpc_codes", "assignees", "conditions", "phases")]
+    return found.select(
+        "doc_id", "source", "side", F.sha1("title").alias("title_sha1"), "embedding_text", "source_url",
+        F.coalesce("topic_score", F.lit(-1.0)).alias("topic_score"), F.concat_ws("|", *lists, "content_type").alias("extra"),
+    )
 
 
 def discovery_for_queries(spark, sf_dir):
@@ -113,7 +144,8 @@ def discovery_for_queries(spark, sf_dir):
 
 
 def discovery_summary(spark, sf_dir):
-    return D.summary(table(spark, sf_dir, "documents"), "lang", "text", "doc_id")
+    first = F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)
+    return D.summary(table(spark, sf_dir, "documents").withColumn("title", first), "lang", "text", "doc_id", "title")
 
 
 QUERIES = {f.__name__: f for f in (crawl_safe_name, crawl_extract_title, crawl_text, crawl_links, crawl_frontier, crawl_kpis, crawl_domains, crawl_status, crawl_milestones, report_join, url_and_origin, nfkc_normalise, latin1_safe, corpus_map, discovery_normalise, discovery_for_queries, discovery_summary)}
@@ -127,8 +159,28 @@ def sql_host(url: str) -> str:
     return rf"lower(regexp_extract({url}, '^[A-Za-z]+://([^/?#:]*)', 1))"
 
 
-LINKS = rf"""hrefs as (select page_id, url, regexp_replace(regexp_replace(unnest(regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)), '#.*$', '', 's'), '\?.*$', '', 's') as href from pages),
-    joined as (select page_id, url, regexp_replace(case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href else href end, '/+$', '/') as link from hrefs where href <> '')"""
+def sql_shown(c: str) -> str:
+    """Without comments, scripts, styles and templates."""
+    shown = f"regexp_replace(coalesce({c}, ''), '<!--.*?(-->|$)', ' ', 'gs')"
+    for tag in ("script", "style", "template"):
+        shown = rf"regexp_replace({shown}, '(?i)<{tag}\b[^>]*>.*?(</{tag}\s*>|$)', ' ', 'gs')"
+    return shown
+
+
+def sql_decode(c: str) -> str:
+    """Character references by the common names; the pages have none by number."""
+    for name, character in H.ENTITIES:
+        c = f"replace({c}, '&{name};', '{character.replace(chr(39), chr(39) * 2)}')"
+    return f"replace({c}, '&amp;', '&')"
+
+
+SQL_HREF = r"""'(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>][^\s>]*)'"""
+SQL_UNQUOTED = """case when left(href, 1) in ('"', '''') then substr(href, 2, length(href) - 2) else href end"""
+LINKS = rf"""raw as (select page_id, url, unnest(regexp_extract_all({sql_shown('html')}, {SQL_HREF}, 1)) as href from pages),
+    plain as (select page_id, url, {sql_decode(SQL_UNQUOTED)} as href from raw),
+    hrefs as (select page_id, url, regexp_replace(regexp_replace(href, '#.*$', '', 's'), '\?.*$', '', 's') as href from plain),
+    joined as (select page_id, url, regexp_replace(case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href else href end, '/+$', '/') as link
+               from hrefs where href <> '')"""
 REPORT = r"""report as (select page_id as page_number, url, case when page_id % 11 = 0 then null when page_id % 10 = 0 then 404 else 200 end as http_status_code,
     case when page_id % 11 <> 0 and page_id % 10 <> 0 then len(regexp_extract_all(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '[^""" + WS + r"""]+')) else 0 end as word_count from pages)"""
 
@@ -141,28 +193,41 @@ def sql_paragraphs(*parts: str) -> str:
     return f"array_to_string(list_filter([{', '.join(sql_strip(p) for p in parts)}], lambda x: x <> ''), chr(10) || chr(10))"
 
 
-RECORDS = f"""d as (select doc_id as n, 'r' || doc_id as name, coalesce(text, '') as t from documents),
+#: The first three claims of the records' text.
+SQL_CLAIMS = "'1. ' || t || chr(10) || '2 . ' || line || chr(10) || '3. third' || chr(10) || '4. fourth'"
+SQL_CLAIMS = rf"list_transform(regexp_split_to_array({SQL_CLAIMS}, '(?m)^\s*\d+\s*\.\s*'), lambda x: {sql_strip('x')})"
+SQL_CLAIMS = f"(select array_to_string(list_filter({SQL_CLAIMS}, lambda x: x <> '')[1:3], ' '))"
+SQL_GLOSS = "'Technical field: preparations for medical purposes; microorganisms, enzymes, mutation, genetic engineering.'"
+SQL_ABSTRACT = "'In one embodiment, FLT3.sup.ITD ' || t"
+SQL_ARMS = "'Interventions: Dietary_Supplement: ' || name || '; Drug-Eluting: x'"
+RECORDS = f"""d as (select doc_id as n, 'r' || doc_id as name, coalesce(text, '') as t, split_part(coalesce(text, ''), chr(10), 1) as line from documents),
     parsed as (
-        select case when n % 2 = 0 then name end as doc_id, 'uspto_patent' as source, 'document' as side, {sql_strip('substr(t, 1, 50)')} as title,
-               {sql_paragraphs('substr(t, 1, 50)', sql_clean("'In one embodiment, FLT3.sup.ITD ' || substr(t, 1, 400)"), "substr(" + sql_clean("(select array_to_string(list_filter(list_transform(regexp_split_to_array('1. ' || substr(t, 1, 900) || chr(10) || '2 . ' || substr(t, 1, 700) || chr(10) || '3. third' || chr(10) || '4. fourth', '(?m)^\\s*\\d+\\s*\\.\\s*'), lambda x: " + sql_strip('x') + "), lambda x: x <> '')[1:3], ' '))") + ", 1, 1800)", "'Technical field: preparations for medical purposes; microorganisms, enzymes, mutation, genetic engineering.'")} as embedding_text,
-               '' as source_url, null::double as topic_score from d where n % 4 = 0
+        select case when n % 2 = 0 then name end as doc_id, 'uspto_patent' as source, 'document' as side, {sql_strip('line')} as title,
+               {sql_paragraphs('line', sql_clean(SQL_ABSTRACT), "substr(" + sql_clean(SQL_CLAIMS) + ", 1, 1800)", SQL_GLOSS)} as embedding_text,
+               '' as source_url, null::double as topic_score, 'A61K31/00,A61K9/00,zz,C12N1/00|' || name || ',b' as extra from d where n % 4 = 0
         union all
-        select case when n % 5 <> 0 then name else substr({sql_strip('substr(t, 1, 60)')}, 1, 40) end, 'clinicaltrials', 'query', {sql_strip('substr(t, 1, 60)')},
-               {sql_paragraphs('substr(t, 1, 60)', sql_clean('substr(t, 1, 300)'), "'Conditions: a, b'", "'Interventions: Dietary_Supplement: ' || name")},
-               case when n % 5 <> 0 then 'https://clinicaltrials.gov/study/' || name else '' end, null from d where n % 4 = 1
+        select case when n % 5 <> 0 then name else substr({sql_strip('line')}, 1, 40) end, 'clinicaltrials', 'query', {sql_strip('line')},
+               {sql_paragraphs('line', sql_clean('t'), "'Conditions: a, b'", SQL_ARMS)},
+               case when n % 5 <> 0 then 'https://clinicaltrials.gov/study/' || name else '' end, null, 'a,b|PHASE2' from d where n % 4 = 1
         union all
-        select substr('https://x/' || name, 1, 80), 'listing', 'document', {sql_strip('substr(t, 1, 30)')}, {sql_paragraphs('substr(t, 1, 30)', sql_clean("'As used herein, x'"), "substr(" + sql_clean('t') + ", 1, 1500)")},
-               'https://x/' || name, (n % 10)::double from d where n % 4 = 2)"""
+        select substr('https://x/' || name, 1, 80), 'listing', 'document', {sql_strip('line')},
+               {sql_paragraphs('line', sql_clean("'As used herein, x'"), "substr(" + sql_clean('t') + ", 1, 1500)")},
+               'https://x/' || name, (n % 10)::double, 'page' from d where n % 4 = 2)"""
 
 ORACLES = {
     "crawl_safe_name": f"select page_id, {sql_name('url', 'page_id')} as name from pages",
-    "crawl_extract_title": f"select page_id, case when t = '' then '(no title)' else t end as title from (select page_id, {sql_strip(r'''regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1)''')} as t from pages)",
+    "crawl_extract_title": "select page_id, case when t = '' then '(no title)' else t end as title from (select page_id, "
+    + sql_strip(sql_decode(f"regexp_extract({sql_shown('html')}, '(?is)<title[^>]*>(.*?)</title>', 1)"))
+    + " as t from pages)",
     "crawl_links": f"with {LINKS} select distinct page_id, link from joined where starts_with(link, 'http') and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org)$')",
     "crawl_frontier": f"""with recursive {LINKS},
         edges as (select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as source, regexp_replace(link, '/+$', '') as target from joined where starts_with(link, 'http') and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org|net)$')),
-        walk as (select regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as key, 0 as level from pages where page_id % 50 = 0
-                 union select e.target, w.level + 1 from walk w join edges e on e.source = w.key where w.level < 60)
-        select key, min(level) as level from walk group by key""",
+        walk(key, level) using key (key) as (
+            select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), 0 from pages where page_id % 50 = 0
+            union
+            select e.target, min(w.level + 1) from walk w join edges e on e.source = w.key
+            where e.target not in (select key from recurring.walk) group by e.target)
+        select key, level from walk""",
     "crawl_kpis": f"with {REPORT} select count(*) as total, count(*) filter (http_status_code = 200) as success, round(count(*) filter (http_status_code = 200) * 100::double / count(*), 1) as rate, floor(avg(word_count))::bigint as mean_words from report",
     "crawl_domains": f"select coalesce(nullif({sql_host('url')}, ''), 'Unknown') as domain, count(*) as pages from pages group by 1",
     "crawl_status": f"with {REPORT} select http_status_code, count(*) as pages from report where http_status_code is not null group by 1",
@@ -170,11 +235,11 @@ ORACLES = {
     "report_join": "with s as (select doc_id, case when doc_id % 7 = 0 then 'FAILED' when quality = 1 then 'SUCCESS' when toxic = 1 then '' else 'FAILED' end as status from labels) select d.doc_id, s.status from documents d left join s using (doc_id) where s.status is null or s.status <> 'FAILED'",
     "url_and_origin": rf"""with s as (select page_id, url, replace({sql_name('url', 'page_id')}, '.', '_') as stem from pages)
         select page_id, 'https://' || replace(regexp_replace(stem, '^\d+_', ''), '_', '/') as url, 'https://arxiv.org/abs/' || printf('%04d.%05d', page_id, page_id) as paper,
-               'https://lbnf.' || page_id || '.gov/about/x' as site, null::varchar as none,
+               'https://ring.' || page_id || '.gov/about/x' as site, null::varchar as none,
                coalesce(nullif(regexp_replace(replace(substr(url, 1, 20), ' ', '_'), '[^A-Za-z0-9_-]', '', 'g'), ''), 'query') as slug,
                'web/' || stem || '#c' || lpad((page_id % 12)::varchar, 3, '0') as chunk_id from s""",
     "latin1_safe": r"select doc_id, sha1(regexp_replace(replace(replace(replace(replace(replace(replace(replace('“' || text || '”… — 🙂', '—', '-'), '–', '-'), '‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '…', '...'), '[^\x{00}-\x{FF}]', '', 'g')) as sha1 from documents".replace('\\"', '"'),
-    "discovery_normalise": f"with {RECORDS} select coalesce(doc_id, substr(title, 1, 40)) as doc_id, source, side, sha1(title) as title_sha1, embedding_text, source_url, coalesce(topic_score, -1) as topic_score from parsed where embedding_text <> ''",
+    "discovery_normalise": f"with {RECORDS} select coalesce(doc_id, substr(title, 1, 40)) as doc_id, source, side, sha1(title) as title_sha1, embedding_text, source_url, coalesce(topic_score, -1) as topic_score, extra from parsed where embedding_text <> ''",
     "discovery_for_queries": f"with {RECORDS} select source, side, count(*) as docs from parsed where embedding_text <> '' and side = 'document' and (source <> 'listing' or topic_score >= 5) group by source, side",
-    "discovery_summary": "select lang, count(*) as docs, min(length(text)) as least, (list(length(text) order by length(text)))[count(*) // 2 + 1] as median, max(length(text)) as most, min(doc_id) as first_id from documents group by lang",
+    "discovery_summary": "select lang, count(*) as docs, min(length(text)) as least, (list(length(text) order by length(text)))[count(*) // 2 + 1] as median, max(length(text)) as most, min(doc_id) as first_id, arg_min(split_part(coalesce(text, ''), chr(10), 1), doc_id) as first_title from documents group by lang",
 }

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskit.sources.shared import drop, exists
+
 REPORT = "page_number int, url string, http_status_code int, page_title string, html_filename string, txt_filename string, html_size_bytes bigint, word_count int, timestamp timestamp, status string"
 CHUNK = "id string, source string, source_type string, title string, origin string, split string, chunk_index int, n_words int, content_hash string, tags array<string>, text string"
 PAIR = "anchor string, positive_id string, positive string, source string"
@@ -19,12 +23,6 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     return raw.withColumn("stem", F.regexp_extract("path", r"([^/]*)\.txt$", 1))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A crawl report in CSV; a missing file is an empty report."""
     if not exists(spark, path):
@@ -50,6 +48,22 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path)
 
 
+def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """One split of a corpus that was written in a folder for each; the others' files are not read."""
+    return spark.read.parquet(path).where(F.col("split") == split)
+
+
+def read_attachments(spark: SparkSession, folder: str, kinds: str = "*.{txt,md}") -> DataFrame:
+    """Files that a user attached, as (name, text); bytes that are no UTF-8 become replacement characters."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", kinds).load(folder)
+    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+
+
+def lines_of_blocks(blocks: DataFrame) -> DataFrame:
+    """(doc, page, block_no, line_no, line): the lines of each block of each page."""
+    return blocks.select("doc", "page", "block_no", F.posexplode(F.split("text", "\r\n|[\n\r]")).alias("line_no", "line"))
+
+
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Addresses, one a line; blank lines and lines after ``#`` are left out."""
     line = F.trim("value")
@@ -57,7 +71,26 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_or_compute(spark: SparkSession, path: str, make) -> DataFrame:
-    """A table kept at ``path``, made and written there if it is missing."""
-    if not exists(spark, path):
-        make().write.parquet(path)
+    """A table kept at ``path``, made and written there if it is missing or can't be read."""
+    if exists(spark, path):
+        try:
+            kept = spark.read.parquet(path)
+            kept.limit(1).collect()
+            return kept
+        except (AnalysisException, SparkRuntimeException, Py4JJavaError):
+            drop(spark, path)
+    make().write.parquet(path)
     return spark.read.parquet(path)
+
+
+def documents_of_blocks(blocks: DataFrame, name: Column | None = None) -> DataFrame:
+    """(doc, pages, title, text) of documents from their text blocks, in the order of page and block.
+
+    The title is the first block, 120 characters at most; of a document without
+    any text it is ``name`` (by default the document's).
+    """
+    filled = F.trim(F.coalesce("text", F.lit(""))) != ""
+    ordered = F.sort_array(F.collect_list(F.when(filled, F.struct("page", "block_no", "text"))))
+    rows = blocks.groupBy("doc").agg(F.count_distinct("page").alias("pages"), ordered.alias("b"))
+    text = F.array_join("b.text", "\n")
+    return rows.select("doc", "pages", F.coalesce(F.substring(F.get("b.text", F.lit(0)), 1, 120), F.col("doc") if name is None else name).alias("title"), text.alias("text"))

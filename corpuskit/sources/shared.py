@@ -2,23 +2,69 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables that this process wrote and has not dropped.
+_written: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, as in tests, a temporary one that is then set."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Only in local mode, as in tests, can it be unset: then a temporary folder is
+    set, and removed at the end. A cluster's machines would each write to a
+    folder of their own, so there it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpuskit-"))
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        folder = tempfile.mkdtemp(prefix="corpuskit-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/corpuskit/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str) -> str:
+    path = f"{shared_dir(spark)}/corpuskit/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def write(df: DataFrame, name: str) -> str:
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    return path
+
+
+def read_back(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back."""
+    return read_back(df, write(df, name))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this process wrote here; for when results that read them are done with."""
+    while _written:
+        drop(spark, _written.pop())

@@ -28,12 +28,13 @@ def page_file(url: Column, title: Column, text: Column) -> Column:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Pages (url, title, text) in the form of text files, one row each, in Parquet."""
-    pages.select("url", page_file(F.col("url"), F.col("title"), F.col("text")).alias("file")).write.parquet(path)
+    """Pages (url, title, text and, as it came, html) in Parquet: the page as a text file, and the raw page, one row each."""
+    raw = [F.col("html")] if "html" in pages.columns else []
+    pages.select("url", page_file(F.col("url"), F.col("title"), F.col("text")).alias("file"), *raw).write.parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    report.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    report.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("escape", '"').csv(path)
 
 
 def audit_text(audit: DataFrame) -> DataFrame:
@@ -52,13 +53,30 @@ def milestones_json(milestones: DataFrame, kpis: DataFrame) -> DataFrame:
     return one.join(F.broadcast(kpis)).select(F.to_json(F.struct("milestones", F.col("success").alias("total_success"), F.col("total").alias("total_attempted"))).alias("value"))
 
 
-def submission_text(kpis: DataFrame) -> DataFrame:
-    return kpis.select(F.format_string("Pages attempted : %d\nPages downloaded: %d\nSuccess rate    : %.1f %%\nMean words      : %d", F.col("total"), F.col("success"), F.col("rate"), F.coalesce("mean_words", F.lit(0))).alias("value"))
+def submission_text(kpis: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """The one row of key figures as text; with ``files`` (one row: html, txt), how many files were kept of each form."""
+    lines = [
+        F.format_string("Pages attempted : %d", F.col("total")),
+        F.format_string("Pages downloaded: %d", F.col("success")),
+        F.format_string("Success rate    : %.1f %%", F.col("rate")),
+        F.format_string("Mean words      : %d", F.coalesce("mean_words", F.lit(0))),
+    ]
+    if files is not None:
+        kpis = kpis.join(F.broadcast(files.select("html", "txt")))  # one row
+        lines += [F.format_string("HTML files      : %d", F.col("html")), F.format_string("Text files      : %d", F.col("txt"))]
+    return kpis.select(F.array_join(F.array(*lines), "\n").alias("value"))
 
 
-def evaluation_json(rows: DataFrame) -> DataFrame:
-    """One row of JSON with the number of rows and the rows; for evaluation sets, which are small."""
-    return rows.agg(F.to_json(F.struct(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct(*rows.columns))).alias("rows"))).alias("value"))
+def file_counts(report: DataFrame) -> DataFrame:
+    """How many pages of a crawl report have a file of each form; one row."""
+    named = lambda c: F.count_if(F.trim(F.coalesce(c, F.lit(""))) != "")
+    return report.agg(named("html_filename").alias("html"), named("txt_filename").alias("txt"))
+
+
+def write_evaluation(rows: DataFrame, path: str) -> None:
+    """The rows of an evaluation as JSON lines in ``rows``, and their number, alone, in ``summary``."""
+    rows.write.json(f"{path}/rows")
+    rows.agg(F.count("*").alias("n")).write.json(f"{path}/summary")
 
 
 def cache_json(answers: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from corpuskit.functions import html as H
 from corpuskit.functions import text as T
 from corpuskit.operators import chat, corpus, crawl, discovery, mining, models, qa, retrieval
 from corpuskit.operators.ranking import place_by_hash, rank_within
-from corpuskit.sources import files, sinks
+from corpuskit.sources import files, shared, sinks
 from corpuskit.streaming import feedback
 
 
@@ -21,7 +22,7 @@ def one(spark, expression, **values):
 
 
 MINI = [
-    ("d1", "The dune experiment studies neutrino oscillations at depth.", "dune neutrino", "test"),
+    ("d1", "The reef experiment studies neutrino oscillations at depth.", "reef neutrino", "test"),
     ("d2", "The muon experiment measures the muon magnetic moment.", "muon", "test"),
     ("d3", "A ring is a superconducting linear accelerator at lab.", "ring accelerator", "train"),
 ]
@@ -33,7 +34,7 @@ def mini(spark):
 
 
 def test_tokens(spark):
-    assert one(spark, T.tokens(F.col("t")), t="DUNE, neutrino! oscillations?") == ["dune", "neutrino", "oscillations"]
+    assert one(spark, T.tokens(F.col("t")), t="REEF, neutrino! oscillations?") == ["reef", "neutrino", "oscillations"]
     assert "a" not in one(spark, T.tokens(F.col("t")), t="a big accelerator")
     assert one(spark, T.tokens(F.col("t")), t="café x_y é1b ab") == ["ab"]
 
@@ -86,7 +87,7 @@ def test_first_copy_wins_and_boilerplate(spark):
 
 
 def test_bm25_by_hand(spark, mini):
-    q = spark.createDataFrame([(1, "neutrino oscillations dune"), (2, "accelerator"), (3, "accelerator accelerator")], "item_id long, text string")
+    q = spark.createDataFrame([(1, "neutrino oscillations reef"), (2, "accelerator"), (3, "accelerator accelerator")], "item_id long, text string")
     got = {(r["q"], r["doc_id"]): r["score"] for r in retrieval.bm25(mini.withColumn("text", F.col("text")), q).collect()}
     n, avg = 3, (8 + 8 + 7) / 3
     part = lambda df, tf, length: math.log((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / avg))
@@ -123,7 +124,7 @@ def test_dense_and_fusion(spark):
 
 
 def test_title_boost_keeps_punctuation(spark):
-    assert one(spark, retrieval.title_boost(F.col("q"), F.col("t")), q="What does it measure? DUNE dune", t="dune measure") == pytest.approx(0.02)
+    assert one(spark, retrieval.title_boost(F.col("q"), F.col("t")), q="What does it measure? REEF reef", t="reef measure") == pytest.approx(0.02)
 
 
 @pytest.mark.parametrize("positive, places", [(0, list(range(2, 21))), (2, list(range(3, 21))), (20, [*range(2, 20), 21]), (21, list(range(2, 21)))])
@@ -153,7 +154,7 @@ def test_metrics(spark):
     assert (k["recall_1"], k["recall_3"], k["mrr"]) == (pytest.approx(1 / 3, abs=1e-6), pytest.approx(2 / 3, abs=1e-6), 0.5)
 
 
-@pytest.mark.parametrize("a, b, f1", [("neutrino oscillation dune", "dune neutrino oscillation", 1.0), ("cat dog bird", "quantum accelerator physics", 0.0), ("dune neutrino beam", "dune neutrino oscillation", 2 / 3), ("", "x", 0.0), ("the of", "the of", 0.0)])
+@pytest.mark.parametrize("a, b, f1", [("neutrino oscillation reef", "reef neutrino oscillation", 1.0), ("cat dog bird", "quantum accelerator physics", 0.0), ("reef neutrino beam", "reef neutrino oscillation", 2 / 3), ("", "x", 0.0), ("the of", "the of", 0.0)])
 def test_token_f1(spark, a, b, f1):
     assert one(spark, T.token_f1(F.col("a"), F.col("b")), a=a, b=b) == pytest.approx(f1)
 
@@ -197,9 +198,36 @@ def test_names(spark):
 def test_html(spark):
     assert H.visible_text("<title>T</title><script>x</script><p>a &amp; b<br>c</p><!-- no -->") == "T\na & b\nc"
     page = '<a href="/x/#f">1</a><A class=k href=\'y?q\'>2</A><a href="#top">3</a><a href="https://o.org/z//">4</a><a href="//c.org/q">5</a>'
-    df = spark.createDataFrame([(1, "https://a.com/d/e?f", page)], "page_id long, url string, html string")
-    assert {r["link"] for r in crawl.links(df, ("a.com", "o.org")).collect()} == {"https://a.com/x/", "https://a.com/d/y", "https://o.org/z/"}
-    assert one(spark, H.normalise_block(F.col("t")), t="ﬁne sof­t hy-\n phen\n x  y") == "fine soft hyphen x y"
+    page += '<!-- <a href="/hidden"> --><script>"<a href=/hidden>"</script><a href=/bare>6</a><a href="../up">7</a><a href="./here/../there/.">8</a><a href="/p&amp;r&#47;s">9</a>'
+    page += '<a data-href="/no" href = "/yes">10</a><a href="">11</a><abbr href="/abbr">12</abbr>'
+    df = spark.createDataFrame([(1, "https://a.com/d/e?f", page), (2, "https://a.com", None)], "page_id long, url string, html string")
+    own = {"/x/", "/d/y", "/bare", "/up", "/d/there/", "/p&r/s", "/yes"}
+    assert {r["link"] for r in crawl.links(df, ("a.com", "o.org")).collect()} == {f"https://a.com{p}" for p in own} | {"https://o.org/z/"}
+    assert one(spark, H.title(F.col("t")), t="<!--<title>no</title>--><TITLE x=y> a &lt;b&gt; &amp;amp; &#233;&#x1F642; &bad; </TITLE>") == "a <b> &amp; é🙂 &bad;"
+    assert one(spark, H.title(F.col("t")), t="<title> </title>") == "(no title)"
+    assert one(spark, H.normalise_block(F.col("t")), t="ﬁne sof\u00adt hy-\n phen\n x  y") == "fine soft hyphen x y"
+
+
+def test_links_against_the_standard_library(spark):
+    rng = random.Random(21)
+    bases = ["http://h.org", "http://h.org/", "https://h.org/a/b/c", "https://h.org/a/b/", "http://h.org/a?x=/y", "http://h.org/a/./b/../c"]
+    pieces = ["a", "b.c", ".", "..", "", "x y", "...", ".d"]
+    hrefs = ["/".join(rng.choice(pieces) for _ in range(rng.randint(1, 6))) for _ in range(400)] + ["mailto:x@y", "http://o.org/../z", "//o.org/a/../b", "/", "/..", "../../../.."]
+    rows = [(rng.choice(bases), h) for h in hrefs if h and "://" not in h[:0] and not (h.startswith("//") and len(h.strip("/.")) == 0)]
+    got = spark.createDataFrame(rows, "base string, href string").select("base", "href", H.resolve(F.col("base"), F.col("href")).alias("x")).collect()
+    wrong = [(r["base"], r["href"], r["x"], urljoin(r["base"], r["href"])) for r in got if r["x"] != urljoin(r["base"], r["href"])]
+    assert not wrong, wrong[:5]
+
+
+def test_long_chains_are_followed_to_the_end(spark):
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(150)] + [(f"n{i}", "n3") for i in range(0, 150, 7)] + [("n150", "n0"), ("other", "n5"), (None, "x"), ("n4", None)]
+    table = spark.createDataFrame(edges, "source string, target string")
+    got = {r["key"]: r["level"] for r in crawl.reachable(spark.createDataFrame([("n0",), ("n0",), (None,)], "key string"), table).collect()}
+    assert got == {f"n{i}": i if i < 3 else (1 if i == 3 else i - 2) for i in range(151)}
+    short = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(12)], "source string, target string")
+    for options in ({"narrow": 0}, {"deep": 0, "hops": 5}):
+        assert {(r["key"], r["level"]) for r in crawl.reachable(spark.createDataFrame([("n0",)], "key string"), short, **options).collect()} == {(f"n{i}", i) for i in range(13)}
+    assert crawl.reachable(spark.createDataFrame([], "key string"), table).count() == 0
 
 
 def test_frontier_and_reports(spark):
@@ -233,6 +261,13 @@ def test_discovery(spark):
     assert {r["source"] for r in discovery.for_queries(docs).collect()} == {"uspto_patent"}
 
 
+def test_titles_of_words(spark):
+    for word in ("DRUG-ELUTING", "DIETARY_SUPPLEMENT", "2nd phase/3b", "it's", "", "émile ZOLA"):
+        assert one(spark, discovery.title_case(F.col("t")), t=word) == word.title()
+    docs = spark.createDataFrame([(2, "g", "ab", "second"), (1, "g", "a", "first"), (3, "h", None, None)], "id long, g string, text string, title string")
+    assert {tuple(r) for r in discovery.summary(docs, "g", "text", "id", "title").collect()} == {("g", 2, 1, 2, 2, 1, "first"), ("h", 1, None, None, None, 3, None)}
+
+
 def test_chat(spark):
     turns = spark.createDataFrame([(1, i, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(9)], "conv_id long, turn long, role string, text string")
     assert sorted(r["turn"] for r in chat.recent_history(turns).collect()) == [2, 3, 4, 5, 6, 7]
@@ -262,6 +297,43 @@ def test_files(spark, tmp_path):
     for _ in range(2):
         files.read_or_compute(spark, str(tmp_path / "kept"), lambda: calls.append(1) or spark.range(3))
     assert len(calls) == 1
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"no table")
+    assert files.read_or_compute(spark, str(broken), lambda: spark.range(2)).count() == 2
+    (tmp_path / "up").mkdir()
+    (tmp_path / "up/a.md").write_bytes(b"x \xff y")
+    (tmp_path / "up/b.bin").write_bytes(b"z")
+    assert spark_rows(files.read_attachments(spark, str(tmp_path / "up"))) == [("a.md", "x \ufffd y")]
+    blocks = spark.createDataFrame([("d", 0, 0, " "), ("d", 0, 1, "T\nu"), ("d", 2, 0, "v"), ("e", 0, 0, None)], files.BLOCKS)
+    assert sorted(spark_rows(files.documents_of_blocks(blocks))) == [("d", 2, "T\nu", "T\nu\nv"), ("e", 1, "e", "")]
+    assert [(r["line_no"], r["line"]) for r in files.lines_of_blocks(blocks.where("block_no = 1")).collect()] == [(0, "T"), (1, "u")]
+
+
+def test_shared_folder_of_a_cluster_must_be_named(spark, monkeypatch):
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(Cluster)
+    table = shared.materialise(spark.range(3), "cleared")
+    path = table.inputFiles()[0]
+    kept, shared._written[:] = shared._written[:-1], shared._written[-1:]
+    shared.clear(spark)
+    shared._written[:] = kept
+    assert not shared.exists(spark, path)
+
+
+def test_repeated_and_refused_lines_go(spark):
+    rows = [(1, p, t) for p in range(5) for t in ("Running Head", "Home", f"text {p}", "now we bring the world together", "Page 3", "| |")]
+    lines = spark.createDataFrame(rows, "doc_id long, page int, line string")
+    assert sorted(r["line"] for r in corpus.filter_lines(lines).collect()) == [f"text {p}" for p in range(5)]
+    assert corpus.filter_lines(lines, navigation=("x",), footer="text").count() == 0
+    files_ = spark.createDataFrame([(1, 3, "train"), (2, 1, "test")], "doc_id long, pages int, split string")
+    made = spark.createDataFrame([(1,), (1,), (1,)], "doc_id long")
+    audit = {r["doc_id"]: (r["kept"], r["dups"], r["line"]) for r in corpus.file_audit(made, made.limit(2), files_).collect()}
+    assert audit == {1: (2, 1, "[ OK ] 1: 3p -> 2 chunks (1 dups dropped) [train]"), 2: (0, 0, "[ OK ] 2: 1p -> 0 chunks (0 dups dropped) [test]")}
 
 
 def spark_rows(df):
@@ -270,7 +342,7 @@ def spark_rows(df):
 
 def test_models(spark):
     asked = spark.createDataFrame([(1, "a"), (2, "bad")], "id long, prompt string")
-    got = models.generate(asked, lambda prompts: [None if p == "bad" else p.upper() for p in prompts], "id")
+    got = models.generate(asked, lambda prompts: [None if p == "bad" else p.upper() for p in prompts], "id", wait=0.0)
     assert spark_rows(got) == [(1, "A")]
     assert one(spark, models.judge_score(F.col("r")), r='```json\n{"score": 4, "why": "x"}```') == 4
     assert one(spark, models.judge_score(F.col("r")), r="no") is None
@@ -301,7 +373,7 @@ def test_corpus_map_against_a_full_decomposition(spark):
     from corpuskit.operators.corpus_map import corpus_map
 
     rng = random.Random(3)
-    docs = [(i, " ".join(rng.choices(["ring", "beam", "muon", "dune"] if i % 2 else ["fish", "tree", "bird", "beam"], k=rng.randint(3, 12)))) for i in range(40)] + [(40, None), (41, "the of")]
+    docs = [(i, " ".join(rng.choices(["ring", "beam", "muon", "reef"] if i % 2 else ["fish", "tree", "bird", "beam"], k=rng.randint(3, 12)))) for i in range(40)] + [(40, None), (41, "the of")]
     got = {r["doc_id"]: (r["x"], r["y"]) for r in corpus_map(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     stop = set(StopWordsRemover.loadDefaultStopWords("english"))
     said = [[t for t in (d or "").split() if t not in stop] for _, d in docs]
