@@ -103,12 +103,13 @@ def without_dots(path: Column) -> Column:
     parts = F.split(path, "/")
 
     def step(done: Column, part: Column) -> Column:
-        up = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
         return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
 
     kept = F.aggregate(parts, F.array().cast("array<string>"), step)
     ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
-    return F.when(path.contains("/."), F.array_join(ends, "/")).otherwise(path)
+    joined = F.array_join(ends, "/")
+    return F.when(~path.contains("/."), path).when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
 def resolve(base: Column, href: Column) -> Column:
