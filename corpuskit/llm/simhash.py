@@ -9,6 +9,12 @@ the covering radius plus its share of the threshold in each block (68 anchors at
 threshold 2, fewer for some), and each anchor compares its residents with its
 visitors. A pair meets exactly once so: at the home of the smaller fingerprint.
 
+With very many fingerprints an anchor has many residents. Then 15 of the other
+18 bits are a third block, covered by the Hamming code of radius 1: 2048 times
+as many anchors for some 2.5 times as many visits. The links are the same.
+Anchors that still have many residents are split: their residents are dealt to
+parts, and visitors go to each part.
+
 Copies share a fingerprint and are compared once. What is emitted are links
 between different fingerprints only, of which a fingerprint has at most
 64 + 2016 at threshold 2, however large a group of near copies is.
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -35,6 +42,12 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: The generator polynomial of the binary Golay code (fixed value): x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
 BLOCK, MASK = 23, (1 << 23) - 1
+#: The third block: 15 bits and the generator polynomial of the Hamming code (fixed value): x^4 + x + 1.
+THIRD, HAMMING = 15, 0b10011
+#: From so many different fingerprints on, the third block pays.
+MANY = 1 << 29
+#: Anchors with more residents are split into parts of about so many.
+RESIDENTS = 1 << 16
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42, at_once: int = 65_280) -> int:
@@ -97,58 +110,106 @@ def golay() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return upper, leader, *near
 
 
-def _nearest(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest codeword of each 23-bit word, and its syndrome."""
-    upper, leader, *_ = golay()
-    syndrome = upper[y >> 11] ^ (y & 2047)
-    return y ^ leader[syndrome], syndrome
-
+@lru_cache(maxsize=1)
+def hamming() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Syndromes of all 15-bit words; the coset leader of each syndrome; codewords at distance 2 or 3 from words with each syndrome.
 
-def home(fps: np.ndarray) -> np.ndarray:
+    As with ``golay``, the last two are those that one, and two, more bits of
+    distance reach: within radius 2, and exactly at 3. Padded with -1.
+    """
+    words = np.arange(1 << THIRD, dtype=np.int64)
+    syndrome = words.copy()
+    for bit in range(THIRD - 1, 3, -1):
+        syndrome ^= np.where(syndrome >> bit & 1, HAMMING << (bit - 4), 0)
+    leader = np.zeros(16, np.int64)
+    for bit in range(THIRD):
+        leader[syndrome[1 << bit]] = 1 << bit
+    code = words[syndrome == 0]
+    near = []
+    for distance in (2, 3):
+        at = np.bitwise_count(code[None, :] ^ leader[:, None]) == distance
+        table = np.full((16, at.sum(1).max()), -1, np.int64)
+        for s in range(16):
+            table[s, : at[s].sum()] = code[at[s]]
+        near.append(table)
+    return syndrome, leader, *near
+
+
+def _blocks(fps: np.ndarray, blocks: int) -> list[tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...], int]]:
+    """For each block the nearest codewords, the syndromes, the tables of the code, and the place of its bits."""
+    u, out = fps.astype(np.uint64), []
+    upper, leader, *tables = golay()
+    for k in (0, 1):
+        y = (u >> np.uint64(BLOCK * k) & np.uint64(MASK)).astype(np.int64)
+        syndrome = upper[y >> 11] ^ (y & 2047)
+        out.append((y ^ leader[syndrome], syndrome, tuple(tables), BLOCK * k))
+    if blocks == 3:
+        every, leader, *tables = hamming()
+        y = (u >> np.uint64(2 * BLOCK) & np.uint64((1 << THIRD) - 1)).astype(np.int64)
+        syndrome = every[y]
+        out.append((y ^ leader[syndrome], syndrome, tuple(tables), 2 * BLOCK))
+    return out
+
+
+def home(fps: np.ndarray, blocks: int = 2) -> np.ndarray:
     """The nearest anchor of each fingerprint (as int64)."""
-    u = fps.astype(np.uint64)
-    first, second = (_nearest((u >> np.uint64(BLOCK * k) & np.uint64(MASK)).astype(np.int64))[0] for k in (0, 1))
-    return first | second << BLOCK
+    anchor = np.zeros(len(fps), np.int64)
+    for word, _, _, place in _blocks(fps, blocks):
+        anchor |= word << place
+    return anchor
 
 
-def visits(fps: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def visits(fps: np.ndarray, threshold: int, blocks: int = 2) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of (index, anchor) for all anchors within the covering radius plus the threshold, shared between the blocks."""
     if not 0 <= threshold <= 2:
         raise ValueError("the anchors serve thresholds up to 2")
-    u = fps.astype(np.uint64)
-    blocks = [_nearest((u >> np.uint64(BLOCK * k) & np.uint64(MASK)).astype(np.int64)) for k in (0, 1)]
-    tables = golay()[2:]
     options = []
-    for word, syndrome in blocks:
-        options.append([word[:, None]] + [np.where((t := table[syndrome]) >= 0, t ^ word[:, None], -1) for table in tables[:threshold]])
-    for i, one in enumerate(options[0]):
-        for j, two in enumerate(options[1]):
-            if i + j <= threshold:
-                both = np.where((one[:, :, None] >= 0) & (two[:, None, :] >= 0), one[:, :, None] | two[:, None, :] << BLOCK, -1).reshape(len(u), -1)
-                row, col = np.nonzero(both >= 0)
-                yield row, both[row, col]
-
-
-def link_fingerprints(distinct: DataFrame, threshold: int = 2) -> DataFrame:
-    """Links (a, b) between different fingerprints (column ``fp``, distinct) at ``threshold`` or fewer bits."""
+    for word, syndrome, tables, place in _blocks(fps, blocks):
+        far = [np.where((t := table[syndrome]) >= 0, t ^ word[:, None], -1) for table in tables[:threshold]]
+        options.append([np.where(x >= 0, x << place, -1) for x in (word[:, None], *far)])
+    for share in product(range(threshold + 1), repeat=blocks):
+        if sum(share) <= threshold:
+            both = options[0][share[0]]
+            for option, n in zip(options[1:], share[1:]):
+                two = option[n]
+                both = np.where((both[:, :, None] >= 0) & (two[:, None, :] >= 0), both[:, :, None] | two[:, None, :], -1).reshape(len(fps), -1)
+            row, col = np.nonzero(both >= 0)
+            yield row, both[row, col]
+
+
+def link_fingerprints(distinct: DataFrame, threshold: int = 2, blocks: int | None = None, residents_at_once: int = RESIDENTS) -> DataFrame:
+    """Links (a, b) between different fingerprints (column ``fp``, distinct) at ``threshold`` or fewer bits.
+
+    ``blocks`` is 2 or 3, by default by the number of fingerprints; the links are the same.
+    """
+    if blocks is None:
+        blocks = 3 if distinct.count() > MANY else 2
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(home(fps)), pa.array(fps)], names=["anchor", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(home(fps, blocks)), pa.array(fps)], names=["anchor", "fp"])
 
     def travel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
             for start in range(0, len(fps), 4096):
                 part = fps[start : start + 4096]
-                for row, anchor in visits(part, threshold):
+                for row, anchor in visits(part, threshold, blocks):
                     yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[row])], names=["anchor", "fp"])
 
     residents = distinct.select("fp").mapInArrow(settle, "anchor bigint, fp bigint").select("anchor", F.col("fp").alias("a"))
     visitors = distinct.select("fp").mapInArrow(travel, "anchor bigint, fp bigint").select("anchor", F.col("fp").alias("b"))
+    counts = residents.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > residents_at_once)
+    full = scratch.materialise(counts.select("anchor", F.ceil(F.col("n") / residents_at_once).cast("int").alias("parts")), "full")
+    keys = ["anchor"]
+    if not full.isEmpty():
+        keys = ["anchor", "part"]
+        parts = F.coalesce("parts", F.lit(1))
+        residents = residents.join(full, "anchor", "left").select("anchor", F.pmod(F.xxhash64("a"), parts).cast("int").alias("part"), "a")
+        visitors = visitors.join(full, "anchor", "left").select("anchor", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    return residents.join(visitors, "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
+    return residents.join(visitors, keys).where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def find_near_copies(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -169,13 +230,17 @@ def find_near_copies(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id"
         return pd.Series(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))
 
     hashed = scratch.materialise(docs.select(F.col(id_col).alias("id"), prints(text_col).alias("fp")), "prints")
-    classes = scratch.materialise(hashed.groupBy("fp").agg(F.min("id").alias("low")), "classes")
+    classes = scratch.materialise(hashed.groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("n")), "classes")
     links = connected_components(link_fingerprints(classes, threshold), "a", "b")
-    rooted = classes.join(links, classes.fp == links.node, "left").select("fp", F.coalesce("component", "fp").alias("root"), "low")
+    rooted = classes.join(links, classes.fp == links.node, "left").select("fp", F.coalesce("component", "fp").alias("root"), "low", "n")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.select("fp", "root").join(lows, "root").select(F.col("fp").alias("print"), "component_id")
-    # A fingerprint that very many documents have makes one skewed join key, which adaptive execution splits.
-    return hashed.join(named, hashed.fp == named.print).select(F.col("id").alias(id_col), "fp", "component_id")
+    named = scratch.materialise(rooted.select("fp", "root", "n").join(lows, "root").select(F.col("fp").alias("print"), "component_id", "n"), "named")
+    # Fingerprints that more than a thousandth of all rows have are fewer than a thousand; their rows stay where they are.
+    common = named.where(F.col("n") > F.lit(max(1000, hashed.count() // 1000))).select(F.col("print").alias("common"), F.col("component_id").alias("its"))
+    marked = hashed.join(F.broadcast(common), F.col("fp") == F.col("common"), "left")
+    here = marked.where("common is not null").select("id", "fp", F.col("its").alias("component_id"))
+    rest = marked.where("common is null").select("id", "fp").join(named, F.col("fp") == F.col("print")).select("id", "fp", "component_id")
+    return here.union(rest).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
