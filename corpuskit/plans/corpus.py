@@ -158,7 +158,8 @@ BOILER_CTE = f"""{LINES_CTE},
 def sql_walk(source: str, low: int, high: int) -> str:
     """A recursive walk over lines that numbers greedy chunks: ``walked`` (doc_id, rn, line, w, chunk)."""
     return rf"""
-    numbered as (select doc_id, rn, lines[rn] as line, {sql_words('lines[rn]')} as w from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as rn from {source})),
+    numbered as (select doc_id, rn, lines[rn] as line, {sql_words('lines[rn]')} as w
+        from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as rn from {source})),
     walked as (
         select doc_id, rn, line, w, 0 as chunk, w as total from numbered where rn = 1
         union all
@@ -196,13 +197,20 @@ QUERIES = {f.__name__: f for f in (token_counts, word_counts, clean_lines, heade
 ORACLES = {
     "token_counts": f"select doc_id, len({sql_tokens('text')}) as n_tokens, len(list_distinct({sql_tokens('text')})) as n_distinct from documents",
     "word_counts": f"select doc_id, {sql_words('text')} as n_words, substr(text, 1, 40) as head from documents",
-    "clean_lines": f"select doc_id, len({sql_lines('text')}) as n_lines, sha1(array_to_string({sql_lines('text')}, chr(10))) as lines_sha1, sha1(array_to_string({sql_lines('h')}, chr(10))) as hyphen_sha1 from (select *, regexp_replace(text, '([\\p{{L}}]) ([\\p{{L}}])', '\\1-' || chr(10) || '\\2', 'g') as h from documents)",
+    "clean_lines": (
+        f"select doc_id, len({sql_lines('text')}) as n_lines, sha1(array_to_string({sql_lines('text')}, chr(10))) "
+        f"as lines_sha1, sha1(array_to_string({sql_lines('h')}, chr(10))) as hyphen_sha1 "
+        f"from (select *, regexp_replace(text, '([\\p{{L}}]) ([\\p{{L}}])', '\\1-' || chr(10) || '\\2', 'g') as h from documents)"
+    ),
     "header_strip": rf"""
-        with raw as (select doc_id, 'URL: https://x/' || doc_id || chr(10) || 'Title: t' || chr(10) || case when doc_id % 3 = 0 then chr(10) else '' end
+        with raw as (select doc_id, 'URL: https://x/' || doc_id || chr(10) || 'Title: t' || chr(10) ||
+            case when doc_id % 3 = 0 then chr(10) else '' end
                             || repeat('─', (doc_id % 8 + 3)::int) || chr(10) || coalesce(text, '') as raw from documents),
         every as (select doc_id, {sql_every_line('raw')} as e from raw),
-        places as (select doc_id, e, coalesce(list_min(list_filter(range(1, len(e) + 1), lambda i: not starts_with(e[i], 'URL:') and not starts_with(e[i], 'Title:'))), len(e) + 1) as p from every),
-        bodies as (select doc_id, list_filter(e[(p + case when regexp_full_match(coalesce(e[p], ''), '[\x{{2500}}-\x{{257f}}\-_=]{{6,}}') then 1 else 0 end)::bigint:], lambda x: x <> '') as body from places)
+        places as (select doc_id, e, coalesce(list_min(list_filter(range(1, len(e) + 1), lambda i: not starts_with(e[i], 'URL:')
+            and not starts_with(e[i], 'Title:'))), len(e) + 1) as p from every),
+        bodies as (select doc_id, list_filter(e[(p + case when regexp_full_match(coalesce(e[p], ''), '[\x{{2500}}-\x{{257f}}\-_=]{{6,}}') then 1
+            else 0 end)::bigint:], lambda x: x <> '') as body from places)
         select doc_id, len(body) as n_lines, sha1(array_to_string(body, chr(10))) as body_sha1 from bodies
     """,
     "line_doc_freq": f"with {LINES_CTE} select line, count(*) as df from (select distinct doc_id, unnest(lines) as line from lined) group by line",
@@ -212,28 +220,46 @@ ORACLES = {
                    from usable u left join (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as rn from usable) l
                    on u.doc_id = l.doc_id and l.line not in (select line from boiler) group by u.doc_id)
         select doc_id, len(lines) as n_lines, sha1(coalesce(array_to_string(lines, chr(10)), '')) as body_sha1 from bodies""",
-    "chunk_greedy": f"with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)} select doc_id, chunk_index, n_words, sha1(text) as text_sha1 from packed where n_words >= 50",
+    "chunk_greedy": (
+        f"with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)} select doc_id, chunk_index, n_words, sha1(text) as text_sha1 "
+        f"from packed where n_words >= 50"
+    ),
     "chunk_merge_tail": f"""with recursive {LINES_CTE}, {sql_walk('lined', 120, 420)},
         tails as (select doc_id, max(chunk_index) as last from packed group by doc_id),
-        moved as (select w.doc_id, w.rn, w.line, w.w, case when w.chunk = t.last and t.last > 0 and p.n_words < 120 then w.chunk - 1 else w.chunk end as chunk
+        moved as (select w.doc_id, w.rn, w.line, w.w, case when w.chunk = t.last and t.last > 0
+            and p.n_words < 120 then w.chunk - 1 else w.chunk end as chunk
                   from walked w join tails t on w.doc_id = t.doc_id join packed p on p.doc_id = w.doc_id and p.chunk_index = w.chunk),
-        merged as (select doc_id, chunk::int as chunk_index, sum(w)::int as n_words, string_agg(line, ' ' order by rn) as text from moved group by doc_id, chunk)
+        merged as (select doc_id, chunk::int as chunk_index, sum(w)::int as n_words, string_agg(line, ' ' order by rn) as text from moved
+            group by doc_id, chunk)
         select doc_id, chunk_index, n_words, sha1(text) as text_sha1 from merged where not {sql_junk('text')}""",
-    "dedup_exact": "select doc_id, substr(sha1(coalesce(text, '')), 1, 16) as content_hash, length(text)::int as n from documents qualify row_number() over (partition by coalesce(text, '') order by doc_id) = 1",
+    "dedup_exact": (
+        "select doc_id, substr(sha1(coalesce(text, '')), 1, 16) as content_hash, length(text)::int as n from documents "
+        "qualify row_number() over (partition by coalesce(text, '') order by doc_id) = 1"
+    ),
     "split_sha1": f"select doc_id, {SQL_SPLIT} as split from documents",
-    "split_sha256": "select doc_id, case when list_sum(list_transform(string_split(sha256(doc_id::varchar), ''), lambda x: ('0x' || x)::bigint)) % 5 = 0 then 'test' else 'train' end as split from documents",
+    "split_sha256": (
+        "select doc_id, case when list_sum(list_transform(string_split(sha256(doc_id::varchar), ''), lambda x: ('0x' "
+        "|| x)::bigint)) % 5 = 0 then 'test' else 'train' end as split from documents"
+    ),
     "corpus_build": f"""{SQL_BUILD}
-        select 'web/' || doc_id || '#c' || lpad(chunk_index::varchar, 3, '0') as id, 'web' as source, 'webpage_text' as source_type, doc_id::varchar as title,
+        select 'web/' || doc_id || '#c' || lpad(chunk_index::varchar, 3, '0') as id, 'web' as source, 'webpage_text' as source_type, doc_id::varchar
+            as title,
                'https://' || replace(regexp_replace(doc_id::varchar, '^\\d+_', ''), '_', '/') as origin, {SQL_SPLIT} as split, chunk_index, n_words, content_hash, 'webpage_text,web' as tags, text from chosen""",
     "corpus_audit": f"""{SQL_BUILD}
-        select (select count(*) from lined) as files, (select count(*) from usable) as usable, (select count(*) from lined) - (select count(*) from usable) as skipped,
+        select (select count(*) from lined) as files, (select count(*) from usable) as usable, (select count(*) from lined) - (select count(*)
+            from usable) as skipped,
                (select count(*) from boiler) as boilerplate, count(*) as chunks, count(*) filter ({SQL_SPLIT} = 'train') as train, count(*) filter ({SQL_SPLIT} = 'test') as test from chosen""",
-    "alpha_ratio_filter": f"select doc_id, round({sql_alpha('text')}, 9) as alpha, length(text) >= 3 and not ({sql_alpha('text')} < 0.45 and length(text) > 60) as keep_block, {sql_junk('text')} as junk_chunk from documents",
+    "alpha_ratio_filter": (
+        f"select doc_id, round({sql_alpha('text')}, 9) as alpha, length(text) >= 3 and not ({sql_alpha('text')} < 0.45 "
+        f"and length(text) > 60) as keep_block, {sql_junk('text')} as junk_chunk from documents"
+    ),
     "reference_cut": rf"""with {LINES_CTE},
         raw as (select doc_id, (generate_subscripts(lines, 1) - 1)::int as pos, unnest(lines) as line from lined),
-        blocks as (select doc_id, pos, case when doc_id % 5 = 0 and pos = 4 then 'References' when doc_id % 5 = 1 and pos = 7 then line || ' References x'
+        blocks as (select doc_id, pos, case when doc_id % 5 = 0 and pos = 4 then 'References' when doc_id % 5 = 1 and pos = 7 then line
+            || ' References x'
                           when doc_id % 5 = 2 then line || ' [1] [2] [3] end' else line end as block from raw),
-        marked as (select *, count(*) over (partition by doc_id) as n, regexp_matches(block, '{C.REFERENCE_HEAD}') as head, regexp_matches(block, '{C.REFERENCE_INLINE}') as inl from blocks),
+        marked as (select *, count(*) over (partition by doc_id) as n, regexp_matches(block, '{C.REFERENCE_HEAD}')
+            as head, regexp_matches(block, '{C.REFERENCE_INLINE}') as inl from blocks),
         stops as (select *, min(pos) filter (head or (inl and pos > n * 0.4::double)) over (partition by doc_id) as stop from marked),
         heads as (select *, {sql_strip(rf"regexp_replace(block, '(?s){C.REFERENCE_INLINE}.*$', chr(92) || '1')")} as before from stops)
         select doc_id, pos, sha1(case when pos = stop then before else block end) as block_sha1 from heads
@@ -242,27 +268,36 @@ ORACLES = {
     """.replace("chr(92) || '1'", r"'\1'"),
     "repeated_page_lines": f"""with {LINES_CTE},
         raw as (select doc_id, ((generate_subscripts(lines, 1) - 1) // 4)::int as page, unnest(lines) as line from lined),
-        every as (select * from raw union all select distinct doc_id, page, case when page % 2 = 0 then 'Running Head' else 'running head' end from raw),
+        every as (select * from raw union all select distinct doc_id, page, case when page % 2 = 0 then 'Running Head' else 'running head' end
+            from raw),
         pages as (select doc_id, count(distinct page) as pages from every group by doc_id having count(distinct page) > 1),
-        counts as (select doc_id, lower(line) as key, count(*) as df from (select distinct doc_id, page, line from every) group by doc_id, lower(line))
+        counts as (select doc_id, lower(line) as key, count(*) as df from (select distinct doc_id, page, line from every)
+            group by doc_id, lower(line))
         select doc_id, key, df from counts join pages using (doc_id) where df >= greatest(2, round_even(pages * 0.4::double, 0)) and length(key) > 2""",
     "line_filter": rf"""with {LINES_CTE},
         raw as (select doc_id, generate_subscripts(lines, 1) - 1 as pos, unnest(lines) as line from lined),
-        made as (select doc_id, pos // 5 as page, case when pos % 5 = 0 then 'About' when pos % 5 = 1 then 'Page ' || pos when pos % 5 = 2 then ' | | '
+        made as (select doc_id, pos // 5 as page, case when pos % 5 = 0 then 'About' when pos % 5 = 1 then 'Page '
+            || pos when pos % 5 = 2 then ' | | '
                         when pos % 10 = 3 then 'Running Head' when pos % 10 = 8 then 'so we bring the world together' else line end as line from raw),
         pages as (select doc_id, count(distinct page) as pages from made group by doc_id having count(distinct page) > 1),
-        heads as (select doc_id, lower({sql_strip('line')}) as key from (select distinct doc_id, page, line from made where {sql_strip('line')} <> '') join pages using (doc_id)
-                  group by doc_id, lower({sql_strip('line')}), pages having count(*) >= greatest(2, round_even(pages * 0.4::double, 0)) and length(lower({sql_strip('line')})) > 2)
+        heads as (select doc_id, lower({sql_strip('line')}) as key from (select distinct doc_id, page, line from made
+            where {sql_strip('line')} <> '') join pages using (doc_id)
+                  group by doc_id, lower({sql_strip('line')}), pages having count(*) >= greatest(2, round_even(pages * 0.4::double, 0))
+                      and length(lower({sql_strip('line')})) > 2)
         select doc_id, count(*) as kept from made
-        where {sql_strip('line')} <> '' and lower({sql_strip('line')}) not in ({', '.join(f"'{x}'" for x in C.NAVIGATION)}) and not regexp_matches(line, '{C.FOOTER}')
-          and not regexp_matches(line, '{C.PAGE_NUMBER}') and {sql_strip("replace(line, '|', '')")} <> '' and (doc_id, lower({sql_strip('line')})) not in (select (doc_id, key) from heads)
+        where {sql_strip('line')} <> '' and lower({sql_strip('line')}) not in ({', '.join(f"'{x}'" for x in C.NAVIGATION)})
+            and not regexp_matches(line, '{C.FOOTER}')
+          and not regexp_matches(line, '{C.PAGE_NUMBER}') and {sql_strip("replace(line, '|', '')")} <> ''
+              and (doc_id, lower({sql_strip('line')})) not in (select (doc_id, key) from heads)
         group by doc_id""",
     "file_audit": f"""with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)},
         made as (select *, row_number() over (partition by text order by doc_id, chunk_index) as n from packed where n_words >= 50),
         sums as (select doc_id, count(*) filter (n = 1) as kept, count(*) filter (n > 1) as dups from made group by doc_id),
         files as (select doc_id, ceil(len(lines) / 5::double)::int as pages,
-                         case when list_sum(list_transform(string_split(sha256(doc_id::varchar), ''), lambda x: ('0x' || x)::bigint)) % 5 = 0 then 'test' else 'train' end as split
+                         case when list_sum(list_transform(string_split(sha256(doc_id::varchar), ''), lambda x: ('0x'
+                             || x)::bigint)) % 5 = 0 then 'test' else 'train' end as split
                   from lined where len(lines) > 0)
-        select doc_id, printf('[ OK ] %s: %dp -> %d chunks (%d dups dropped) [%s]', doc_id::varchar, pages, coalesce(kept, 0), coalesce(dups, 0), split) as line
+        select doc_id, printf('[ OK ] %s: %dp -> %d chunks (%d dups dropped) [%s]', doc_id::varchar, pages, coalesce(kept, 0), coalesce(dups, 0),
+            split) as line
         from files left join sums using (doc_id)""",
 }

@@ -143,16 +143,20 @@ def messages_with_history(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (qa_quality, qa_dedup, ngram_decontam, contaminated, resume_antijoin, sft_messages, llm_line_parse, rag_prompt, chat_history_window, feedback_question_lookup, demo_cache_lookup, session_titles, followups, retrieval_confidence, chat_export_md, chat_export_txt, chat_export_json, comparison_report, query_prompts, messages_with_history)}
 
 PAIRS = f"""t as (select *, lag(text) over w as q, lag(role) over w as asker from conversations window w as (partition by conv_id order by turn)),
-    pairs as (select conv_id, turn, case when conv_id % 2 = 0 then {sql_strip('q')} || '?' else q end as question, case when conv_id % 9 = 0 then text || ' As stated above.' else text end as answer
+    pairs as (select conv_id, turn, case when conv_id % 2 = 0 then {sql_strip('q')} || '?' else q end as question,
+        case when conv_id % 9 = 0 then text || ' As stated above.' else text end as answer
               from t where role = 'assistant' and asker = 'user'),
-    rules as (select *, coalesce(question, '') <> '' and coalesce(answer, '') <> '' as filled, {sql_words("coalesce(question, '')")} >= 5 and {sql_words("coalesce(answer, '')")} >= 3 as long_enough,
+    rules as (select *, coalesce(question, '') <> '' and coalesce(answer, '') <> '' as filled, {sql_words("coalesce(question, '')")} >= 5
+        and {sql_words("coalesce(answer, '')")} >= 3 as long_enough,
                      not regexp_matches(coalesce(question, ''), '{Q.META}') and not regexp_matches(coalesce(answer, ''), '{Q.META}') as no_meta, ends_with({sql_strip("coalesce(question, '')")}, '?') as asks from pairs)"""
 GRAMS = """toks as (select id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') as t from (select doc_id as id, text from documents)),
-    gold as (select distinct array_to_string(t[i:i + 7], ' ') as gram from (select t, unnest(range(1, len(t) - 6)) as i from (select regexp_extract_all(lower(text), '[a-z0-9]+') as t from benchmark))),
+    gold as (select distinct array_to_string(t[i:i + 7], ' ') as gram from (select t, unnest(range(1, len(t) - 6)) as i
+        from (select regexp_extract_all(lower(text), '[a-z0-9]+') as t from benchmark))),
     hit as (select distinct id from (select id, array_to_string(t[i:i + 7], ' ') as gram from (select id, t, unnest(range(1, len(t) - 6)) as i from toks)) where gram in (select gram from gold))"""
 TOP = f"""{BM25},
     top as (select q, doc_id, score, row_number() over (partition by q order by score desc, doc_id)::int as rank from bm qualify rank <= 3),
-    chunks as (select item_id, b.text as question, coalesce(list({{'rank': rank, 'title': dt.title, 'text': dt.text, 'doc_id': dt.doc_id, 'score': score}} order by rank) filter (rank is not null), []) as c
+    chunks as (select item_id, b.text as question, coalesce(list({{'rank': rank, 'title': dt.title, 'text': dt.text, 'doc_id': dt.doc_id,
+        'score': score}} order by rank) filter (rank is not null), []) as c
                from benchmark b left join top on top.q = b.item_id left join dt using (doc_id) group by item_id, b.text)"""
 WANTED = f"case when {sql_words('answer')} < 200 then 2 when {sql_words('answer')} < 350 then 3 else 4 end"
 
@@ -166,42 +170,96 @@ def _prompt(context: str) -> str:
 
 
 ORACLES = {
-    "qa_quality": f"with {PAIRS} select conv_id, turn, filled, long_enough, no_meta, asks, filled and long_enough and no_meta and asks as ok from rules",
-    "qa_dedup": f"with {PAIRS} select sha256(lower(question)) as question_hash, conv_id, turn from rules where filled and long_enough and no_meta and asks qualify row_number() over (partition by lower(question) order by conv_id, turn) = 1",
+    "qa_quality": (
+        f"with {PAIRS} select conv_id, turn, filled, long_enough, no_meta, asks, filled and long_enough and no_meta and asks as ok "
+        f"from rules"
+    ),
+    "qa_dedup": (
+        f"with {PAIRS} select sha256(lower(question)) as question_hash, conv_id, turn from rules where filled and long_enough "
+        f"and no_meta and asks qualify row_number() over (partition by lower(question) order by conv_id, turn) = 1"
+    ),
     "ngram_decontam": f"with {GRAMS} select doc_id from documents where doc_id not in (select id from hit)",
     "contaminated": f"with {GRAMS} select id as doc_id from hit",
     "resume_antijoin": "select doc_id, source from documents where doc_id not in (select doc_id from labels)",
     "sft_messages": f"""with {PAIRS} select conv_id, turn, to_json([{{'role': 'system', 'content': '{SYSTEM}'}}, {{'role': 'user', 'content': question}}, {{'role': 'assistant', 'content': answer}}])::varchar as messages, {WANTED} as wanted,
         sha1('R' || chr(10) || chr(10) || 'Passage (from ' || substr(question, 1, 90) || '):' || chr(10) || '\"\"\"' || chr(10) || answer || chr(10) || '\"\"\"' || chr(10) || chr(10) || 'Produce exactly ' || {WANTED} || ' pairs.') as prompt_sha1 from rules""",
     "llm_line_parse": rf"""with r as (select conv_id, turn, 'Queries:' || chr(10) || '- 1. ' || regexp_replace(text, '\. ', '.' || chr(10) || '* "', 'g') as reply from conversations where role = 'assistant'),
-        l as (select conv_id, turn, list_transform(regexp_split_to_array(reply, '{LINE_END}'), lambda x: {sql_strip("regexp_replace(" + sql_strip('x') + ", '^[-*0-9. ]+', '')")}) as x from r),
-        k as (select conv_id, turn, list_transform(list_filter(x, lambda y: y <> '' and not starts_with(lower(y), 'queries') and not starts_with(lower(y), 'document') and {sql_words('y')} between 3 and 30), lambda y: {sql_strip("regexp_replace(y, '^" + chr(34) + "+|" + chr(34) + "+$', '', 'g')")})[1:3] as x from l)
+        l as (select conv_id, turn, list_transform(regexp_split_to_array(reply, '{LINE_END}'), lambda x:
+            {sql_strip("regexp_replace(" + sql_strip('x') + ", '^[-*0-9. ]+', '')")}) as x from r),
+        k as (select conv_id, turn, list_transform(list_filter(x, lambda y: y <> '' and not starts_with(lower(y), 'queries')
+            and not starts_with(lower(y), 'document') and {sql_words('y')} between 3 and 30), lambda y:
+            {sql_strip("regexp_replace(y, '^" + chr(34) + "+|" + chr(34) + "+$', '', 'g')")})[1:3] as x from l)
         select conv_id, turn, (generate_subscripts(x, 1) - 1)::int as pos, unnest(x) as query from k""",
-    "rag_prompt": f"with {TOP} select item_id, sha1({_prompt(_context('substr(x.text, 1, (6000 // len(c))::int)'))}) as shared_sha1, sha1({_prompt('substr(' + _context('x.text') + ', 1, 6000)')}) as cut_sha1, question as bare from chunks",
-    "chat_history_window": "select conv_id, turn, role, text from conversations qualify row_number() over (partition by conv_id order by turn desc) between 2 and 7",
-    "feedback_question_lookup": f"select conv_id, turn, '{STAMP}' as stamp, coalesce(case when asker = 'user' then q end, '') as question, text as answer, case when turn % 3 = 0 then 'down' else 'up' end as rating, 0 as num_sources from (select *, lag(text) over w as q, lag(role) over w as asker from conversations window w as (partition by conv_id order by turn)) where role = 'assistant'",
-    "demo_cache_lookup": f"with u as (select conv_id, turn, lower({sql_strip('text')}) as key, lower(upper({sql_strip('text')})) as asked from conversations where role = 'user'), c as (select key, arg_min(conv_id || ':' || turn, (conv_id, turn)) as answer from u group by key having count(*) > 1) select u.conv_id, u.turn, c.answer from u left join c on u.asked = c.key",
-    "session_titles": f"select conv_id, substr(t, 1, 40) || case when length(t) > 40 then '…' else '' end as title from (select conv_id, {sql_strip('arg_min(text, turn)')} as t from conversations where role = 'user' group by conv_id)",
+    "rag_prompt": (
+        f"with {TOP} select item_id, sha1({_prompt(_context('substr(x.text, 1, (6000 // len(c))::int)'))}) "
+        f"as shared_sha1, sha1({_prompt('substr(' + _context('x.text') + ', 1, 6000)')}) as cut_sha1, question as bare from chunks"
+    ),
+    "chat_history_window": (
+        "select conv_id, turn, role, text from conversations qualify row_number() over (partition by conv_id "
+        "order by turn desc) between 2 and 7"
+    ),
+    "feedback_question_lookup": (
+        f"select conv_id, turn, '{STAMP}' as stamp, coalesce(case when asker = 'user' then q end, '') as question, text as answer, "
+        f"case when turn % 3 = 0 then 'down' else 'up' end as rating, 0 as num_sources from (select *, lag(text) over w "
+        f"as q, lag(role) over w as asker from conversations window w as (partition by conv_id order by turn)) where role = 'assistant'"
+    ),
+    "demo_cache_lookup": (
+        f"with u as (select conv_id, turn, lower({sql_strip('text')}) as key, lower(upper({sql_strip('text')})) as asked "
+        f"from conversations where role = 'user'), c as (select key, arg_min(conv_id || ':' || turn, (conv_id, turn)) as answer from u "
+        f"group by key having count(*) > 1) select u.conv_id, u.turn, c.answer from u left join c on u.asked = c.key"
+    ),
+    "session_titles": (
+        f"select conv_id, substr(t, 1, 40) || case when length(t) > 40 then '…' else '' end as title "
+        f"from (select conv_id, {sql_strip('arg_min(text, turn)')} as t from conversations where role = 'user' group by conv_id)"
+    ),
     "followups": f"""with {TOP},
-        named as (select item_id, x.rank as rank, {sql_strip('x.title')} as title, {sql_strip('c[2].title')} as second from (select item_id, c, unnest(c) as x from chunks)),
-        firsts as (select item_id, title, rank, second from named where title <> '' qualify row_number() over (partition by item_id, lower(title) order by rank) = 1),
-        kept as (select item_id, 'Tell me more about "' || substr(title, 1, 60) || '"' as suggestion, rank from firsts where second is null or lower(substr(title, 1, 60)) <> lower(substr(second, 1, 60)))
+        named as (select item_id, x.rank as rank, {sql_strip('x.title')} as title, {sql_strip('c[2].title')} as second
+            from (select item_id, c, unnest(c) as x from chunks)),
+        firsts as (select item_id, title, rank, second from named where title <> '' qualify row_number() over (partition by item_id, lower(title)
+            order by rank) = 1),
+        kept as (select item_id, 'Tell me more about "' || substr(title, 1, 60) || '"' as suggestion, rank from firsts
+            where second is null or lower(substr(title, 1, 60)) <> lower(substr(second, 1, 60)))
         select item_id, suggestion from kept qualify row_number() over (partition by item_id order by rank) <= 3""",
-    "retrieval_confidence": f"with {TOP} select item_id, case when len(c) < 2 then null when c[1].score / list_avg(list_transform(c[2:], lambda x: x.score)) >= 1.5 then 'focused' else 'close' end as confidence from chunks",
-    "chat_export_md": f"select conv_id, '# Chat Export' || chr(10) || chr(10) || '_Exported: {STAMP}_' || chr(10) || '_Model status: ok_' || chr(10) || chr(10) || string_agg(case when role = 'user' then '### 🧑 User' else '### 🤖 Assistant' end || chr(10) || text || chr(10) || chr(10) || '---' || chr(10), chr(10) order by turn) as document from conversations group by conv_id",
-    "chat_export_txt": f"select conv_id, 'CHAT EXPORT' || chr(10) || 'Exported: {STAMP}' || chr(10) || 'Model status: ok' || chr(10) || repeat('=', 60) || chr(10) || chr(10) || string_agg(case when role = 'user' then '[USER]' else '[ASSISTANT]' end || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) order by turn) as document from conversations group by conv_id",
-    "chat_export_json": f"select conv_id, to_json({{'exported_at': '{STAMP}', 'model_status': 'ok', 'messages': list({{'role': role, 'content': text}} order by turn)}})::varchar as document from conversations group by conv_id",
+    "retrieval_confidence": (
+        f"with {TOP} select item_id, case when len(c) < 2 then null when c[1].score / list_avg(list_transform(c[2:], lambda x: "
+        f"x.score)) >= 1.5 then 'focused' else 'close' end as confidence from chunks"
+    ),
+    "chat_export_md": (
+        f"select conv_id, '# Chat Export' || chr(10) || chr(10) || '_Exported: {STAMP}_' || chr(10) || '_Model status: ok_' || chr(10) "
+        f"|| chr(10) || string_agg(case when role = 'user' then '### 🧑 User' else '### 🤖 Assistant' end || chr(10) || text || chr(10) "
+        f"|| chr(10) || '---' || chr(10), chr(10) order by turn) as document from conversations group by conv_id"
+    ),
+    "chat_export_txt": (
+        f"select conv_id, 'CHAT EXPORT' || chr(10) || 'Exported: {STAMP}' || chr(10) || 'Model status: ok' || chr(10) "
+        f"|| repeat('=', 60) || chr(10) || chr(10) || string_agg(case when role = 'user' then '[USER]' else '[ASSISTANT]' end "
+        f"|| chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) order by turn) as document from conversations "
+        f"group by conv_id"
+    ),
+    "chat_export_json": (
+        f"select conv_id, to_json({{'exported_at': '{STAMP}', 'model_status': 'ok', 'messages': list({{'role': role, 'content': text}} "
+        f"order by turn)}})::varchar as document from conversations group by conv_id"
+    ),
     "comparison_report": f"""with {TOP} select item_id,
-        '# Comparison Report' || chr(10) || '**Question Analyzed:** "' || question || '"' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Direct Response' || chr(10) || chr(10) || 'direct'
-        || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Grounded Response' || chr(10) || chr(10) || 'grounded' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### References' || chr(10)
-        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: x.rank || '. [' || x.title || '](' || x.doc_id || ') - Score: ' || x.rank || chr(10)), '') else 'No reference found.' end as md,
-        'COMPARISON REPORT' || chr(10) || 'Question: ' || question || chr(10) || repeat('=', 60) || chr(10) || chr(10) || '[DIRECT RESPONSE]' || chr(10) || 'direct' || chr(10) || chr(10)
+        '# Comparison Report' || chr(10) || '**Question Analyzed:** "' || question || '"' || chr(10) || chr(10) || '---' || chr(10) || chr(10)
+            || '### Direct Response' || chr(10) || chr(10) || 'direct'
+        || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '### Grounded Response' || chr(10) || chr(10) || 'grounded' || chr(10) || chr(10)
+            || '---' || chr(10) || chr(10) || '### References' || chr(10)
+        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: x.rank || '. [' || x.title || '](' || x.doc_id || ') - Score: '
+            || x.rank || chr(10)), '') else 'No reference found.' end as md,
+        'COMPARISON REPORT' || chr(10) || 'Question: ' || question || chr(10) || repeat('=', 60) || chr(10) || chr(10) || '[DIRECT RESPONSE]'
+            || chr(10) || 'direct' || chr(10) || chr(10)
         || '[GROUNDED RESPONSE]' || chr(10) || 'grounded' || chr(10) || chr(10) || '[REFERENCES]' || chr(10)
-        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: '  ' || x.rank || '. ' || x.title || ' - ' || x.doc_id || ' (score: ' || x.rank || ')' || chr(10)), '') else '  No reference found.' || chr(10) end as txt,
-        to_json({{'question': question, 'direct_answer': 'direct', 'rag_answer': 'grounded', 'sources': list_transform(c, lambda x: {{'title': x.title, 'origin': x.doc_id::varchar, 'score': x.rank}}), 'exported_at': '{STAMP}'}})::varchar as json,
+        || case when len(c) > 0 then array_to_string(list_transform(c, lambda x: '  ' || x.rank || '. ' || x.title || ' - ' || x.doc_id
+            || ' (score: ' || x.rank || ')' || chr(10)), '') else '  No reference found.' || chr(10) end as txt,
+        to_json({{'question': question, 'direct_answer': 'direct', 'rag_answer': 'grounded', 'sources': list_transform(c, lambda x: {{'title':
+            x.title, 'origin': x.doc_id::varchar, 'score': x.rank}}), 'exported_at': '{STAMP}'}})::varchar as json,
         '' as odd from chunks""",
-    "query_prompts": "select doc_id, sha1('Write 2 queries.' || chr(10) || 'Document: ' || substr(coalesce(text, ''), 1, 1200) || chr(10) || 'Queries:') as prompt_sha1 from documents",
+    "query_prompts": (
+        "select doc_id, sha1('Write 2 queries.' || chr(10) || 'Document: ' || substr(coalesce(text, ''), 1, 1200) || chr(10) "
+        "|| 'Queries:') as prompt_sha1 from documents"
+    ),
     "messages_with_history": f"""with h as (select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn desc) as back from conversations),
-        m as (select conv_id, arg_max(text, turn) as question, coalesce(list({{'role': role, 'content': text}} order by turn) filter (back between 2 and 7), []) as said from h group by conv_id)
+        m as (select conv_id, arg_max(text, turn) as question, coalesce(list({{'role': role, 'content': text}} order by turn) filter (back between 2
+            and 7), []) as said from h group by conv_id)
         select conv_id, sha1(to_json(list_concat([{{'role': 'system', 'content': '{SYSTEM}'}}], said, [{{'role': 'user', 'content': question}}]))::varchar) as messages_sha1 from m""",
 }

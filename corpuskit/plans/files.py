@@ -155,9 +155,13 @@ QUERIES = {f.__name__: f for f in (text_files, jsonl, corpus_split, report_csv,
 ORACLES = {
     "text_files": "select page_id, 'first line|' || url as body from pages",
     "jsonl": "select doc_id::varchar as chunk_id, source, sha1(coalesce(text, '')) as text_sha1 from documents",
-    "corpus_split": f"with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)} select doc_id, chunk_index, n_words from packed where n_words >= 50 and {SQL_SPLIT} = 'train'",
+    "corpus_split": (
+        f"with recursive {LINES_CTE}, {sql_walk('lined', 350, 450)} select doc_id, chunk_index, n_words from packed where n_words >= 50 "
+        f"and {SQL_SPLIT} = 'train'"
+    ),
     "report_csv": """with r as (select count(*) as total, count(*) filter (page_id % 7 <> 0) as ok, floor(avg(page_id % 100))::bigint as words from pages)
-        select 'Pages attempted : ' || total || chr(10) || 'Pages downloaded: ' || ok || chr(10) || 'Success rate    : ' || printf('%.1f', round(ok * 100::double / total, 1)) || ' %' || chr(10)
+        select 'Pages attempted : ' || total || chr(10) || 'Pages downloaded: ' || ok || chr(10) || 'Success rate    : '
+            || printf('%.1f', round(ok * 100::double / total, 1)) || ' %' || chr(10)
                || 'Mean words      : ' || words || chr(10) || 'HTML files      : ' || ok || chr(10) || 'Text files      : ' || ok as value from r""",
     "json_tree": "select doc_id, quality from labels where doc_id % 4 <> 0",
     "seeds": "select url from pages where page_id % 5 > 1",

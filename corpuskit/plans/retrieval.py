@@ -158,12 +158,15 @@ def token_f1_mean(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (bm25_stats, term_document_freq, bm25_topk, bm25_split, dense_topk, rrf_fusion, hybrid_retrieve, hybrid_split, hard_negatives, anchor_split, qrel_pairs, train_val_split, eval_rank_metrics, eval_keyword_recall, token_f1, token_f1_mean, triplet_texts, triplet_counts, judge_mean)}
 
 BM25 = f"""
-    dt as (select doc_id, text, {sql_tokens('text')} as tokens, {SQL_SPLIT} as split, substr(split_part(coalesce(text, ''), chr(10), 1), 1, 60) as title from documents),
+    dt as (select doc_id, text, {sql_tokens('text')} as tokens, {SQL_SPLIT} as split, substr(split_part(coalesce(text, ''), chr(10), 1), 1, 60)
+        as title from documents),
     stats as (select count(*) as n_docs, coalesce(avg(len(tokens)), 1.0) as avg_len from dt),
     qt as (select item_id as q, unnest({sql_tokens('text')}) as term from benchmark),
-    tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(tokens) as term from dt) where term in (select term from qt) group by doc_id, term),
+    tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(tokens) as term from dt) where term in (select term from qt)
+        group by doc_id, term),
     freq as (select term, count(*) as df from tf group by term),
-    bm as (select q, doc_id, split, round(sum(ln((n_docs - df + 0.5::double) / (df + 0.5::double) + 1) * tf * 2.5::double / (tf + 1.5::double * (0.25::double + 0.75::double * len(tokens) / avg_len))), 6) as score
+    bm as (select q, doc_id, split, round(sum(ln((n_docs - df + 0.5::double) / (df + 0.5::double) + 1) * tf * 2.5::double / (tf + 1.5::double *
+        (0.25::double + 0.75::double * len(tokens) / avg_len))), 6) as score
            from qt join tf using (term) join freq using (term) join dt using (doc_id) cross join stats group by q, doc_id, split having score > 0)"""
 DENSE = """
     vec as (select vec_id as id, embedding::double[] as v from embeddings),
@@ -182,8 +185,10 @@ def _distinct_words(c: str) -> str:
 
 
 HYBRID = """with {fused},
-    scored as (select f.*, title, round(rrf + 0.02::double * len(list_intersect({a}, {b})), 9) as score from fused f join dt using (doc_id) join benchmark k on k.item_id = f.q)
-    select q, doc_id, {more}score, round(coalesce(sim, bm, rrf), 4) as shown, (row_number() over (partition by q order by score desc, doc_id))::int as rank
+    scored as (select f.*, title, round(rrf + 0.02::double * len(list_intersect({a}, {b})), 9) as score from fused f join dt using (doc_id)
+        join benchmark k on k.item_id = f.q)
+    select q, doc_id, {more}score, round(coalesce(sim, bm, rrf), 4) as shown, (row_number() over (partition by q
+        order by score desc, doc_id))::int as rank
     from scored qualify rank <= 3"""
 POSITIVES = "with " + DENSE.format(where="where q.id % 50 = 0") + """,
     pos as (select q, doc_id as positive_id, rank - 1 as at from ranked where rank - 1 = q // 50 % 4 * 6 + 2),
@@ -191,16 +196,31 @@ POSITIVES = "with " + DENSE.format(where="where q.id % 50 = 0") + """,
                where r.rank - 1 >= 2 and r.rank - 1 <= case when p.at = 20 then 21 else 20 end and r.doc_id <> p.positive_id),
     mined as (select *, row_number() over (partition by q order by place) as n from usable)"""
 PAIRS = """turns as (select *, lag(text) over w as question, lag(role) over w as asker from conversations window w as (partition by conv_id order by turn)),
-    sets as (select conv_id, turn, list_distinct(list_filter({p}, lambda x: x not in ({stop}))) as p, list_distinct(list_filter({r}, lambda x: x not in ({stop}))) as r
+    sets as (select conv_id, turn, list_distinct(list_filter({p}, lambda x: x not in ({stop})))
+        as p, list_distinct(list_filter({r}, lambda x: x not in ({stop}))) as r
              from turns where role = 'assistant' and asker = 'user'),
     f as (select conv_id, turn, len(list_intersect(p, r)) as c, len(p) as np, len(r) as nr from sets),
     scored as (select conv_id, turn, round(case when c > 0 then 2 * (c / np::double) * (c / nr::double) / ((c / np::double) + (c / nr::double)) else 0 end, 4) as f1 from f)""".format(p=sql_tokens("text"), r=sql_tokens("question"), stop=", ".join(f"'{w}'" for w in T.STOP_WORDS))
 
 ORACLES = {
-    "bm25_stats": f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents), terms as (select term, count(distinct doc_id) as df from (select doc_id, unnest(tokens) as term from dt) group by term) select (select count(*) from dt) as n_docs, (select round(avg(len(tokens)), 6) from dt) as avg_len, count(*) as n_terms, sum(df)::bigint as n_postings from terms",
-    "term_document_freq": f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents) select term, count(distinct doc_id) as df from (select doc_id, unnest(tokens) as term from dt) group by term",
-    "bm25_topk": f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank from bm qualify rank <= 3",
-    "bm25_split": f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank from bm where split = 'test' qualify rank <= 3",
+    "bm25_stats": (
+        f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents), terms as (select term, count(distinct doc_id) "
+        f"as df from (select doc_id, unnest(tokens) as term from dt) group by term) select (select count(*) from dt) "
+        f"as n_docs, (select round(avg(len(tokens)), 6) from dt) as avg_len, count(*) as n_terms, sum(df)::bigint as n_postings "
+        f"from terms"
+    ),
+    "term_document_freq": (
+        f"with dt as (select doc_id, {sql_tokens('text')} as tokens from documents) select term, count(distinct doc_id) as df "
+        f"from (select doc_id, unnest(tokens) as term from dt) group by term"
+    ),
+    "bm25_topk": (
+        f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank "
+        f"from bm qualify rank <= 3"
+    ),
+    "bm25_split": (
+        f"with {BM25} select q as item_id, doc_id, score, (row_number() over (partition by q order by score desc, doc_id))::int as rank "
+        f"from bm where split = 'test' qualify rank <= 3"
+    ),
     "dense_topk": "with " + DENSE.format(where="where q.id % 50 = 0") + " select q, doc_id, round(score, 6) as score, rank from ranked where rank <= 5 and score > 0",
     "rrf_fusion": "with " + FUSED.replace("{split}", "").replace("{more}", "") + " select q, doc_id, bm_rank, dense_rank, round(rrf, 9) as score, (row_number() over (partition by q order by round(rrf, 9) desc, doc_id))::int as rank from fused qualify rank <= 5",
     "hybrid_retrieve": HYBRID.format(more="sha1(title) as title_sha1, ", fused=FUSED.replace("{split}", "").replace("{more}", ""), a=_distinct_words("k.text"), b=_distinct_words("dt.title")),
@@ -209,16 +229,22 @@ ORACLES = {
     "anchor_split": POSITIVES + """, anchors as (select q, row_number() over (order by sha1('13' || q), q) as n, count(*) over () as total from (select distinct q from mined))
         select q, positive_id, negative_id, case when a.n <= greatest(1, floor(total * 0.2::double)) then 'eval' else 'train' end as part from mined m join anchors a using (q) where m.n <= 2""",
     "qrel_pairs": POSITIVES + " select distinct q, positive_id from mined where n <= 2",
-    "train_val_split": "select conv_id, case when row_number() over (order by sha1('13' || conv_id), conv_id) <= greatest(8, floor(count(*) over () * 0.05::double)) then 'val' else 'train' end as part from (select distinct conv_id from conversations)",
+    "train_val_split": (
+        "select conv_id, case when row_number() over (order by sha1('13' || conv_id), conv_id) <= greatest(8, floor(count(*) over () * "
+        "0.05::double)) then 'val' else 'train' end as part from (select distinct conv_id from conversations)"
+    ),
     "eval_rank_metrics": "with " + DENSE.format(where="where q.id % 50 = 0") + """, g as (select rank from ranked where doc_id = q + 1)
-        select count(*) as n, round(avg((rank <= 1)::int), 6) as recall_1, round(avg((rank <= 5)::int), 6) as recall_5, round(avg((rank <= 10)::int), 6) as recall_10,
+        select count(*) as n, round(avg((rank <= 1)::int), 6) as recall_1, round(avg((rank <= 5)::int), 6)
+            as recall_5, round(avg((rank <= 10)::int), 6) as recall_10,
                round(avg(case when rank <= 10 then 1 / rank::double else 0 end), 6) as mrr_10, floor(quantile_cont(rank, 0.5))::bigint as median_rank from g""",
     "eval_keyword_recall": f"""with {BM25},
         kw as (select item_id as q, list_filter({sql_tokens('text')}, lambda x: length(x) >= 6)[1:3] as keywords from benchmark),
         top as (select q, doc_id, row_number() over (partition by q order by score desc, doc_id) as rank from bm qualify rank <= 5),
-        firsts as (select k.q, min(rank) filter (len(list_filter(k.keywords, lambda x: contains(lower(title || ' ' || coalesce(text, '')), lower(x)))) > 0) as first
+        firsts as (select k.q, min(rank) filter (len(list_filter(k.keywords, lambda x: contains(lower(title || ' '
+            || coalesce(text, '')), lower(x)))) > 0) as first
                    from kw k left join (select top.*, title, text from top join dt using (doc_id)) t on k.q = t.q where len(k.keywords) > 0 group by k.q)
-        select count(*) as n, round(avg(case when first <= 1 then 1 else 0 end), 6) as recall_1, round(avg(case when first <= 3 then 1 else 0 end), 6) as recall_3,
+        select count(*) as n, round(avg(case when first <= 1 then 1 else 0 end), 6) as recall_1, round(avg(case when first <= 3 then 1 else 0 end),
+            6) as recall_3,
                round(avg(case when first <= 5 then 1 else 0 end), 6) as recall_5, round(avg(coalesce(1 / first::double, 0)), 6) as mrr from firsts""",
     "token_f1": f"with {PAIRS} select conv_id, turn, f1 from scored",
     "token_f1_mean": f"with {PAIRS} select count(*) as n, round(avg(f1), 3) as mean_f1 from scored",
@@ -226,7 +252,11 @@ ORACLES = {
         select q, positive_id, negative_id, sha1(coalesce(a.text, '')) as anchor_sha1, sha1(p.text) as positive_sha1, sha1(n.text) as negative_sha1
         from mined m join documents a on a.doc_id = m.q join c p on p.doc_id = m.positive_id join c n on n.doc_id = m.negative_id where m.n <= 2""",
     "triplet_counts": POSITIVES + """, anchors as (select q, row_number() over (order by sha1('13' || q), q) as n, count(*) over () as total from (select distinct q from mined))
-        select case when a.n <= greatest(1, floor(total * 0.2::double)) then 'eval' else 'train' end as part, count(*) as triplets, count(distinct q) as anchors
+        select case when a.n <= greatest(1, floor(total * 0.2::double)) then 'eval' else 'train' end as part, count(*)
+            as triplets, count(distinct q) as anchors
         from mined m join anchors a using (q) where m.n <= 2 group by 1""",
-    "judge_mean": f"with {PAIRS} select count(*) filter (conv_id % 3 = 0) as n_judge, round(avg(case when conv_id % 3 = 0 then turn % 5 + 1 end), 3) as mean_judge, count(f1) as n_f1, round(avg(f1), 3) as mean_f1 from scored",
+    "judge_mean": (
+        f"with {PAIRS} select count(*) filter (conv_id % 3 = 0) as n_judge, round(avg(case when conv_id % 3 = 0 then turn % 5 + 1 end), "
+        f"3) as mean_judge, count(f1) as n_f1, round(avg(f1), 3) as mean_f1 from scored"
+    ),
 }

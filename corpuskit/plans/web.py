@@ -179,7 +179,8 @@ SQL_UNQUOTED = """case when left(href, 1) in ('"', '''') then substr(href, 2, le
 LINKS = rf"""raw as (select page_id, url, unnest(regexp_extract_all({sql_shown('html')}, {SQL_HREF}, 1)) as href from pages),
     plain as (select page_id, url, {sql_decode(SQL_UNQUOTED)} as href from raw),
     hrefs as (select page_id, url, regexp_replace(regexp_replace(href, '#.*$', '', 's'), '\?.*$', '', 's') as href from plain),
-    joined as (select page_id, url, regexp_replace(case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href else href end, '/+$', '/') as link
+    joined as (select page_id, url, regexp_replace(case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1)
+        || href else href end, '/+$', '/') as link
                from hrefs where href <> '')"""
 REPORT = r"""report as (select page_id as page_number, url, case when page_id % 11 = 0 then null when page_id % 10 = 0 then 404 else 200 end as http_status_code,
     case when page_id % 11 <> 0 and page_id % 10 <> 0 then len(regexp_extract_all(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '[^""" + WS + r"""]+')) else 0 end as word_count from pages)"""
@@ -219,27 +220,55 @@ ORACLES = {
     "crawl_extract_title": "select page_id, case when t = '' then '(no title)' else t end as title from (select page_id, "
     + sql_strip(sql_decode(f"regexp_extract({sql_shown('html')}, '(?is)<title[^>]*>(.*?)</title>', 1)"))
     + " as t from pages)",
-    "crawl_links": f"with {LINKS} select distinct page_id, link from joined where starts_with(link, 'http') and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org)$')",
+    "crawl_links": (
+        f"with {LINKS} select distinct page_id, link from joined where starts_with(link, 'http') "
+        f"and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org)$')"
+    ),
     "crawl_frontier": f"""with recursive {LINKS},
-        edges as (select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as source, regexp_replace(link, '/+$', '') as target from joined where starts_with(link, 'http') and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org|net)$')),
+        edges as (select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as source, regexp_replace(link, '/+$', '') as target
+            from joined where starts_with(link, 'http') and regexp_matches({sql_host('link')}, '(^|\\.)example\\.(com|org|net)$')),
         walk(key, level) using key (key) as (
             select distinct regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), 0 from pages where page_id % 50 = 0
             union
             select e.target, min(w.level + 1) from walk w join edges e on e.source = w.key
             where e.target not in (select key from recurring.walk) group by e.target)
         select key, level from walk""",
-    "crawl_kpis": f"with {REPORT} select count(*) as total, count(*) filter (http_status_code = 200) as success, round(count(*) filter (http_status_code = 200) * 100::double / count(*), 1) as rate, floor(avg(word_count))::bigint as mean_words from report",
+    "crawl_kpis": (
+        f"with {REPORT} select count(*) as total, count(*) filter (http_status_code = 200) "
+        f"as success, round(count(*) filter (http_status_code = 200) * 100::double / count(*), 1) "
+        f"as rate, floor(avg(word_count))::bigint as mean_words from report"
+    ),
     "crawl_domains": f"select coalesce(nullif({sql_host('url')}, ''), 'Unknown') as domain, count(*) as pages from pages group by 1",
     "crawl_status": f"with {REPORT} select http_status_code, count(*) as pages from report where http_status_code is not null group by 1",
-    "crawl_milestones": f"with {REPORT} select m.m as milestone, count(*) filter (page_number <= m.m and http_status_code = 200) as success from report, (select unnest([50, 100, 333, 1000])::bigint as m) m where m.m <= (select max(page_number) from report) group by m.m",
-    "report_join": "with s as (select doc_id, case when doc_id % 7 = 0 then 'FAILED' when quality = 1 then 'SUCCESS' when toxic = 1 then '' else 'FAILED' end as status from labels) select d.doc_id, s.status from documents d left join s using (doc_id) where s.status is null or s.status <> 'FAILED'",
+    "crawl_milestones": (
+        f"with {REPORT} select m.m as milestone, count(*) filter (page_number <= m.m and http_status_code = 200) as success "
+        f"from report, (select unnest([50, 100, 333, 1000])::bigint as m) m where m.m <= (select max(page_number) from report) "
+        f"group by m.m"
+    ),
+    "report_join": (
+        "with s as (select doc_id, case when doc_id % 7 = 0 then 'FAILED' when quality = 1 then 'SUCCESS' when toxic = 1 then '' else "
+        "'FAILED' end as status from labels) select d.doc_id, s.status from documents d left join s using (doc_id) "
+        "where s.status is null or s.status <> 'FAILED'"
+    ),
     "url_and_origin": rf"""with s as (select page_id, url, replace({sql_name('url', 'page_id')}, '.', '_') as stem from pages)
-        select page_id, 'https://' || replace(regexp_replace(stem, '^\d+_', ''), '_', '/') as url, 'https://arxiv.org/abs/' || printf('%04d.%05d', page_id, page_id) as paper,
+        select page_id, 'https://' || replace(regexp_replace(stem, '^\d+_', ''), '_', '/') as url, 'https://arxiv.org/abs/'
+            || printf('%04d.%05d', page_id, page_id) as paper,
                'https://ring.' || page_id || '.gov/about/x' as site, null::varchar as none,
                coalesce(nullif(regexp_replace(replace(substr(url, 1, 20), ' ', '_'), '[^A-Za-z0-9_-]', '', 'g'), ''), 'query') as slug,
                'web/' || stem || '#c' || lpad((page_id % 12)::varchar, 3, '0') as chunk_id from s""",
     "latin1_safe": r"select doc_id, sha1(regexp_replace(replace(replace(replace(replace(replace(replace(replace('“' || text || '”… — 🙂', '—', '-'), '–', '-'), '‘', ''''), '’', ''''), '“', '\"'), '”', '\"'), '…', '...'), '[^\x{00}-\x{FF}]', '', 'g')) as sha1 from documents".replace('\\"', '"'),
-    "discovery_normalise": f"with {RECORDS} select coalesce(doc_id, substr(title, 1, 40)) as doc_id, source, side, sha1(title) as title_sha1, embedding_text, source_url, coalesce(topic_score, -1) as topic_score, extra from parsed where embedding_text <> ''",
-    "discovery_for_queries": f"with {RECORDS} select source, side, count(*) as docs from parsed where embedding_text <> '' and side = 'document' and (source <> 'listing' or topic_score >= 5) group by source, side",
-    "discovery_summary": "select lang, count(*) as docs, min(length(text)) as least, (list(length(text) order by length(text)))[count(*) // 2 + 1] as median, max(length(text)) as most, min(doc_id) as first_id, arg_min(split_part(coalesce(text, ''), chr(10), 1), doc_id) as first_title from documents group by lang",
+    "discovery_normalise": (
+        f"with {RECORDS} select coalesce(doc_id, substr(title, 1, 40)) as doc_id, source, side, sha1(title) "
+        f"as title_sha1, embedding_text, source_url, coalesce(topic_score, -1) as topic_score, extra from parsed "
+        f"where embedding_text <> ''"
+    ),
+    "discovery_for_queries": (
+        f"with {RECORDS} select source, side, count(*) as docs from parsed where embedding_text <> '' and side = 'document' "
+        f"and (source <> 'listing' or topic_score >= 5) group by source, side"
+    ),
+    "discovery_summary": (
+        "select lang, count(*) as docs, min(length(text)) as least, (list(length(text) order by length(text)))[count(*) // 2 + 1] "
+        "as median, max(length(text)) as most, min(doc_id) as first_id, arg_min(split_part(coalesce(text, ''), chr(10), 1), doc_id) "
+        "as first_title from documents group by lang"
+    ),
 }
