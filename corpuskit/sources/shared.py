@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,16 @@ def drop(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def dropping(spark: SparkSession) -> Iterator[list[str]]:
+    """Afterwards, delete the tables written inside, but for the paths that are put into the list."""
+    start, kept = len(_written), []
+    yield kept
+    for path in [p for p in _written[start:] if p not in kept]:
+        drop(spark, path)
+    _written[start:] = kept
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all tables that this process wrote here; for when results that read them are done with."""
     while _written:

@@ -323,6 +323,10 @@ def test_shared_folder_of_a_cluster_must_be_named(spark, monkeypatch):
     shared.clear(spark)
     shared._written[:] = kept
     assert not shared.exists(spark, path)
+    with shared.dropping(spark) as keep:
+        paths = [shared.write(spark.range(2), n) for n in ("kept", "gone")]
+        keep.append(paths[0])
+    assert [shared.exists(spark, p) for p in paths] == [True, False] and shared._written[-1] == paths[0]
 
 
 def test_repeated_and_refused_lines_go(spark):
