@@ -1,35 +1,5 @@
 """Tables written to the cluster's shared folder, to cut lineage and to survive lost executors."""
 
-from __future__ import annotations
+from corpuskit.sources.shared import drop, dropping, materialise, new_path, read_back, write
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-from corpuskit.sources.shared import shared_dir
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/corpuskit/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    return read_back(df, write(df, name))
-
-
-def write(df: DataFrame, name: str) -> str:
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return path
-
-
-def read_back(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["drop", "dropping", "materialise", "new_path", "read_back", "write"]
