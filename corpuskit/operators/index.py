@@ -115,19 +115,21 @@ def _lists(column: pa.ChunkedArray, *fields: str) -> tuple[np.ndarray, list[np.n
     return np.concatenate(([0], np.cumsum(sizes))), [flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
 
 
-def bm25_matrix(table: pa.Table, ids: np.ndarray, qs: np.ndarray, k1: float, b: float, avg_len: float, digits: int) -> np.ndarray:
-    """Scores (query, document) of the postings in ``table`` (term, at, asked); ``ids`` and ``qs`` are sorted."""
+def bm25_matrix(table: pa.Table, ids: np.ndarray, qs: np.ndarray, k1: float, b: float, avg_len: float, digits: int, at_once: int = 2048) -> np.ndarray:
+    """Scores (query, document) of the postings in ``table`` (term, at, asked), as products of matrices; ``ids`` and ``qs`` are sorted."""
     scores = np.zeros((len(qs), len(ids)))
-    if not table.num_rows:
-        return scores
-    table = table.sort_by("term")  # so that sums don't depend on the order of rows
-    ends, (docs, lengths) = _lists(table.column("at"), "doc_id", "n")
-    q_ends, (asked, weights) = _lists(table.column("asked"), "q", "weight")
-    docs, asked = np.searchsorted(ids, docs), np.searchsorted(qs, asked)
-    for a, z, c, e in zip(ends, ends[1:], q_ends, q_ends[1:]):
-        at, first, tf = np.unique(docs[a:z], return_index=True, return_counts=True)
-        part = tf / (tf + k1 * (1 - b + b * lengths[a:z][first] / avg_len))
-        scores[np.ix_(asked[c:e], at)] += weights[c:e, None] * part[None, :]
+    if table.num_rows:
+        table = table.sort_by("term")  # so that sums don't depend on the order of rows
+    for start in range(0, table.num_rows, at_once):
+        some = table.slice(start, at_once)
+        ends, (docs, lengths) = _lists(some.column("at"), "doc_id", "n")
+        q_ends, (asked, weights) = _lists(some.column("asked"), "q", "weight")
+        term, q_term = (np.repeat(np.arange(some.num_rows), np.diff(e)) for e in (ends, q_ends))
+        places, first, tf = np.unique(term * len(ids) + np.searchsorted(ids, docs), return_index=True, return_counts=True)
+        parts, wanted = np.zeros((some.num_rows, len(ids))), np.zeros((len(qs), some.num_rows))
+        parts.ravel()[places] = tf / (tf + k1 * (1 - b + b * lengths[first] / avg_len))
+        wanted[np.searchsorted(qs, asked), q_term] = weights
+        scores += wanted @ parts
     return np.round(scores, digits)
 
 
