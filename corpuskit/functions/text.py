@@ -66,7 +66,8 @@ def _body(every: Column) -> Column:
 
 def tokens(c: Column) -> Column:
     """Lower-case tokens of two or more ASCII letters and digits, bounded by anything but a word character."""
-    return F.regexp_extract_all(F.lower(blank_if_null(c)), F.lit(r"((?<![\p{L}\p{N}_])[a-z0-9]{2,}+(?![\p{L}\p{N}_]))"), F.lit(1))
+    words = F.split(F.lower(blank_if_null(c)), r"[^\p{L}\p{N}_]+")
+    return F.filter(words, lambda w: w.rlike("^[a-z0-9]{2,}$"))
 
 
 def grams(c: Column, n: int = 8) -> Column:

@@ -39,7 +39,7 @@ SLACK = 1e-8
 
 @dataclass
 class Index:
-    """``postings`` (part, block, term, at: doc_id and length for each time), ``terms`` (term, df), ``docs`` (part, block, doc_id, n, title words), ``corpus``."""
+    """``postings`` (part, block, term, at: doc_id, length, times), ``terms`` (term, df), ``docs`` (part, block, doc_id, n, words of the title)."""
 
     postings: DataFrame
     terms: DataFrame
@@ -51,7 +51,8 @@ class Index:
 def build_index(docs: DataFrame, root: str, block_docs: int = 1024) -> Index:
     """Index ``docs`` (doc_id, text and, if there, title and split) in tables below ``root``.
 
-    Null texts have no terms. A null id is left out, as it can't be found.
+    Null texts have no terms. A null id is left out, as it can't be found; ids
+    must differ. A block's terms are inverted in one task: ``block_docs`` texts.
     """
     spark = docs.sparkSession
     docs = docs.where("doc_id is not null")
@@ -62,12 +63,27 @@ def build_index(docs: DataFrame, root: str, block_docs: int = 1024) -> Index:
     forward = docs.select(part.alias("part"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), "doc_id", T.tokens(F.col("text")).alias("tokens"), words.alias("words"))
     forward.write.parquet(f"{root}/forward")
     forward = spark.read.parquet(f"{root}/forward")
-    listed = forward.select("part", "block", "doc_id", F.size("tokens").alias("n"), F.explode("tokens").alias("term"))
-    # A list is as long as its block's documents are, whatever the corpus.
-    postings = listed.groupBy("part", "block", "term").agg(F.collect_list(F.struct("doc_id", "n")).alias("at"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def invert(key: tuple, table: pa.Table) -> pa.Table:
+        """The lists of a block's terms."""
+        tokens, n = table.column("tokens").combine_chunks(), table.num_rows
+        sizes = np.array(tokens.value_lengths().to_numpy(zero_copy_only=False), np.int64)
+        words = tokens.flatten().dictionary_encode()
+        pairs, times = np.unique(words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), sizes), return_counts=True)
+        codes, rows = np.divmod(pairs, max(n, 1))
+        used, starts = np.unique(codes, return_index=True)
+        ids = table.column("doc_id").combine_chunks().take(pa.array(rows))
+        at = pa.StructArray.from_arrays([ids, pa.array(sizes[rows], pa.int32()), pa.array(times, pa.int32())], names=["doc_id", "n", "tf"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(codes)), pa.int32()), at)
+        parts = [pa.array([x.as_py()] * len(used), t) for x, t in zip(key, (pa.string(), pa.int32()))]
+        return pa.Table.from_arrays([*parts, words.dictionary.take(pa.array(used)), lists], names=["part", "block", "term", "at"])
+
+    postings = forward.select("part", "block", "doc_id", "tokens").groupBy("part", "block")
+    postings = postings.applyInArrow(invert, f"part string, block int, term string, at array<struct<doc_id:{kind},n:int,tf:int>>")
     postings.sortWithinPartitions("term").write.parquet(f"{root}/postings")
     postings = spark.read.parquet(f"{root}/postings")
-    terms = postings.groupBy("term").agg(F.sum(F.size(F.array_distinct("at.doc_id"))).alias("df"))
+    terms = postings.groupBy("term").agg(F.sum(F.size("at")).alias("df"))
     terms.write.parquet(f"{root}/terms")
     lengths = forward.agg(F.count("*").alias("n_docs"), F.coalesce(F.avg(F.size("tokens")), F.lit(1.0)).alias("avg_len")).first()
     shown = forward.select("part", "block", "doc_id", F.size("tokens").alias("n"), "words")
@@ -122,12 +138,11 @@ def bm25_matrix(table: pa.Table, ids: np.ndarray, qs: np.ndarray, k1: float, b:
         table = table.sort_by("term")  # so that sums don't depend on the order of rows
     for start in range(0, table.num_rows, at_once):
         some = table.slice(start, at_once)
-        ends, (docs, lengths) = _lists(some.column("at"), "doc_id", "n")
+        ends, (docs, lengths, tf) = _lists(some.column("at"), "doc_id", "n", "tf")
         q_ends, (asked, weights) = _lists(some.column("asked"), "q", "weight")
         term, q_term = (np.repeat(np.arange(some.num_rows), np.diff(e)) for e in (ends, q_ends))
-        places, first, tf = np.unique(term * len(ids) + np.searchsorted(ids, docs), return_index=True, return_counts=True)
         parts, wanted = np.zeros((some.num_rows, len(ids))), np.zeros((len(qs), some.num_rows))
-        parts.ravel()[places] = tf / (tf + k1 * (1 - b + b * lengths[first] / avg_len))
+        parts[term, np.searchsorted(ids, docs)] = tf / (tf + k1 * (1 - b + b * lengths / avg_len))
         wanted[np.searchsorted(qs, asked), q_term] = weights
         scores += wanted @ parts
     return np.round(scores, digits)
