@@ -51,19 +51,19 @@ def large(deltas: bytes) -> np.ndarray:
 class PrefixCounter:
     """Differences of the token count from one prefix of a text to the next, a signed byte a character."""
 
-    def __init__(self, path: str, kept: int = 200_000):
+    def __init__(self, path: str, kept: int = 400_000):
         self.tokenizer = unit_tokenizer(path)
         self.split = regex.compile(SPLIT)
         self.lead = regex.compile(rf"[{SPACE}]*")
-        self.apart: dict[tuple[bytes, bytes], bool] = {}
+        self.apart: dict[int, bool] = {}
         specials = self.tokenizer.specials
         # A special string inside another one would end in the middle of it.
         self.exact = self.tokenizer.core is not None and not any(a != b and a in b for a in specials for b in specials)
-        self.longest = max(map(len, self.tokenizer.ranks)) if self.exact else 0
-        self.before: tuple[bytes, list[int], list[bytes]] = (b"", [0], [b""])
-        self.pieces = Recent(self._piece, kept)
-        self.cache = Recent(self._unit, kept)
-        self.words = Recent(lambda word: (self._unit if word.split() == [word] else self._units)(" " + word), kept)
+        self.tokens = {i: t for t, i in self.tokenizer.ranks.items()} if self.exact else {}
+        self.before: tuple[bytes, list[int], list[int], list[int]] = (b"", [0], [0], [0])
+        self.pieces = Recent(self._piece, kept // 4)
+        self.cache = Recent(self._unit, kept // 4)
+        self.words = Recent(self._word, kept)
         self._automaton = None
 
     @property
@@ -76,15 +76,16 @@ class PrefixCounter:
             self._automaton.make_automaton()
         return self._automaton
 
-    def _stays_apart(self, a: bytes, b: bytes) -> bool:
-        found = self.apart.get((a, b))
+    def _stays_apart(self, pair: int) -> bool:
+        """Whether two tokens (the first one's id in the upper bits) are two when they are encoded together."""
+        found = self.apart.get(pair)
         if found is None:
-            core = self.tokenizer.core._core_bpe
-            joined = core._encode_bytes(a + b) if (a + b) not in self.tokenizer.ranks else ()
-            found = len(joined) == 2 and joined[0] == self.tokenizer.ranks[a] and joined[1] == self.tokenizer.ranks[b]
-            if len(self.apart) >= 500_000:
+            first, second = pair >> 32, pair & 0xFFFFFFFF
+            joined = self.tokens[first] + self.tokens[second]
+            found = joined not in self.tokenizer.ranks and self.tokenizer.core._core_bpe._encode_bytes(joined) == [first, second]
+            if len(self.apart) >= 1_000_000:
                 self.apart.clear()
-            self.apart[a, b] = found
+            self.apart[pair] = found
         return found
 
     def piece_counts(self, piece: str) -> list[int]:
@@ -99,34 +100,35 @@ class PrefixCounter:
         return counts[1:] if len(raw) == len(piece) else [counts[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
 
     def _short(self, raw: bytes) -> list[int]:
-        ranks, apart = self.tokenizer.ranks, self.apart
-        before, counts, last = self.before
+        rank, apart, stays = self.tokenizer.ranks.get, self.apart.get, self._stays_apart
+        before, counts, last, sizes = self.before  # of each prefix: tokens, and the id and the length of the last one
         shared, most = 0, min(len(raw), len(before))
         while shared < most and raw[shared] == before[shared]:
             shared += 1
-        del counts[shared + 1 :], last[shared + 1 :]
+        del counts[shared + 1 :], last[shared + 1 :], sizes[shared + 1 :]
         for i in range(shared + 1, len(raw) + 1):
             # There is but one token that fits, so the order is free. Most often it is the last one grown by a byte, or a short one.
-            start = i - 1 - len(last[-1])
-            token = raw[start:i]
-            if token not in ranks or start and not (apart[pair] if (pair := (last[start], token)) in apart else self._stays_apart(*pair)):
+            start = i - 1 - sizes[-1]
+            token = rank(raw[start:i])
+            if token is None or start and not ((known := apart(pair := last[start] << 32 | token)) or known is None and stays(pair)):
                 for start in range(i - 1, -1, -1):
-                    token = raw[start:i]
-                    if token in ranks and (not start or (apart[pair] if (pair := (last[start], token)) in apart else self._stays_apart(*pair))):
+                    token = rank(raw[start:i])
+                    if token is not None and (not start or (known := apart(pair := last[start] << 32 | token)) or known is None and stays(pair)):
                         break
             counts.append(counts[start] + 1)
             last.append(token)
-        self.before = raw, counts, last
+            sizes.append(i - start)
+        self.before = raw, counts, last, sizes
         return counts
 
     def _long(self, raw: bytes) -> list[int]:
-        counts, last = [0], [b""]
+        counts, last, ranks = [0], [0], self.tokenizer.ranks
         for end, size in self.automaton.iter(raw.decode("latin-1")):
             if end + 2 == len(counts):
                 continue  # the token that ends here is known
             start = end + 1 - size
-            token = raw[start : end + 1]
-            if not start or self._stays_apart(last[start], token):
+            token = ranks[raw[start : end + 1]]
+            if not start or self._stays_apart(last[start] << 32 | token):
                 counts.append(counts[start] + 1)
                 last.append(token)
         return counts
@@ -146,6 +148,12 @@ class PrefixCounter:
         counts[:spaces] = large(self.pieces[unit[:spaces]]).cumsum(dtype=np.int64)
         return small(np.diff(counts, prepend=0))
 
+    def _word(self, word: str) -> bytes:
+        """Of a word with the blank before it."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        return (self._unit if word.split() == [word] else self._units)(" " + word)
+
     def _units(self, text: str) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.tokenizer.units.findall(text)))
 
