@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import chat, embedding_dedup, exact_dedup, mixing, packing, pii, quality, scratch, simhash, token_counts, url_filter
+from corpuskit.llm import centroids, chat, embedding_dedup, exact_dedup, mixing, packing, pii, quality, scratch, simhash, spelling, token_counts, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -86,6 +86,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's cluster among 8 after 10 rounds, with distances, inertia and the digest of its centroid."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of toxicity for each whole text, by its highest window."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with the frequent word at one edit that each leads to."""
+    return spelling.find_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -97,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_token_counts": op10_token_counts,
+    "op11_centroids": op11_centroids,
+    "op12_toxicity": op12_toxicity,
+    "op13_spelling": op13_spelling,
 }
 
 #: The method's own patterns, written down again so that the SQL can find a fault in them.
@@ -104,7 +122,65 @@ _PATTERN_SQL = r"""regexp_matches(host, '(^|[.-])(pills|viagra|cialis|pharmacy|c
     or regexp_full_match(host, '\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(:\d+)?') or length(host) - length(replace(host, '-', '')) >= 5 or regexp_matches(host, '\d{9}')"""
 _RULE_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 
+
+def _lloyd_sql(k: int = 8, rounds: int = 10, dimension: int = 64, scale: int = 1024) -> str:
+    """Lloyd's rounds over all pairs, one after the other."""
+    steps = [
+        f"""v as materialized (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as v from embeddings
+            where len(embedding) = {dimension} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        c0 as materialized (select row_number() over (order by sha256('3:' || vec_id), v) - 1 as c, v as m from v where vec_id is not null order by 1 limit {k})"""
+    ]
+    far = "list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint"
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} as materialized (select r, any_value(vec_id) as vec_id, any_value(v) as v, min({{'d': d, 'c': c}}).d as d, min({{'d': d, 'c': c}}).c as c
+            from (select r, vec_id, v, c, {far} as d from v, c{i}) group by r)"""
+        )
+        if i < rounds:
+            moved = f"""select c, list((s - ((s % n) + n) % n) // n order by j) as m
+                from (select c, j, sum(v[j])::bigint as s, count(*) as n from a{i}, range(1, {dimension + 1}) as t(j) group by c, j) group by c"""
+            steps.append(f"c{i + 1} as materialized (select c, coalesce(b.m, o.m) as m from c{i} o left join ({moved}) b using (c))")
+    return f"""with {", ".join(steps)}
+        select vec_id, c::int as cluster, d as distance, (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+               sha256(array_to_string(m, ',')) as centroid_sha256
+        from a{rounds} join c{rounds} using (c)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroids": _lloyd_sql(),
+    "op13_spelling": r"""
+        with bits as (select i, list_reduce(list_prepend(i, range(8)), lambda x, s: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) as entry from range(256) as t(i)),
+        polynomial as (select list(entry order by i) as entries from bits),
+        runs as (
+            select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+            from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents) where length(run) >= 6 group by all
+        ),
+        raw as (select run, n, hex(encode(doc_id || ':' || run)) as bytes from runs),
+        hashed as (
+            select run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(bytes), 2), lambda i: ('0x' || substr(bytes, i, 2))::bigint)),
+                                                       lambda s, b: xor(s >> 8, entries[(xor(s, b) & 255) + 1]))) as h
+            from raw, polynomial
+        ),
+        words as materialized (
+            select word, sum(n)::bigint as n
+            from (select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n from hashed)
+            group by word having sum(n) >= 5 and length(word) >= 6
+        ),
+        holes as materialized (select word, n, i, substr(word, 1, i::int) as head, substr(word, i::int + 2) as tail from words, range(0, (select max(length(word)) from words)) as t(i) where i < length(word)),
+        pairs as (
+            select a.word, b.word as near, b.n as near_n from holes a join holes b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+            union select h.word, w.word, w.n from holes h join words w on w.word = h.head || h.tail
+            union select w.word, h.word, h.n from holes h join words w on w.word = h.head || h.tail
+        ),
+        best as (select word, count(*) as n_near, max(near_n) as most, arg_min(near, {'n': -near_n, 'w': near}) as near from pairs group by word),
+        forms as materialized (
+            select w.word, w.n, coalesce(n_near, 0)::bigint as n_near, case when most >= 5 * w.n then near end as form, case when most >= 5 * w.n then most end as form_n
+            from words w left join best using (word)
+        )
+        select a.word, a.form, coalesce(i.form, h.form, g.form, f.form, e.form, d.form, c.form, b.form, a.form, a.word) as root, a.n, a.n_near, a.form_n
+        from forms a left join forms b on b.word = a.form left join forms c on c.word = b.form left join forms d on d.word = c.form left join forms e on e.word = d.form
+        left join forms f on f.word = e.form left join forms g on g.word = f.form left join forms h on h.word = g.form left join forms i on i.word = h.form
+    """,
     "op1_mixing": r"""
         with d as (
             select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
