@@ -45,8 +45,8 @@ LONGEST = 8
 SPAN, STRIDE = 32, 24
 #: Longer runs of letters and digits are cut, so that no word is long.
 WORD = re.compile(r"\w{1,32}")
-#: Windows that are read in one step, and words whose inputs a process keeps.
-AT_ONCE, KEPT = 1024, 200_000
+#: Windows, and new words, that are read in one step, and words whose inputs a process keeps.
+AT_ONCE, SOME, KEPT = 1024, 4096, 200_000
 
 
 @dataclass
@@ -63,6 +63,12 @@ class Places:
         at = np.repeat((np.cumsum(self.sizes) - self.sizes)[words], self.sizes[words]) + within(self.sizes[words])
         return Places(self.own[words], self.parts[at], self.sizes[words], self.weights[at])
 
+    @classmethod
+    def of_many(cls, words: list[str]) -> Places:
+        """As ``places``, some words at a time, so that nothing but the result is large."""
+        some = [places(words[i : i + SOME]) for i in range(0, max(len(words), 1), SOME)]
+        return cls(*(np.concatenate([getattr(x, name) for x in some]) for name in ("own", "parts", "sizes", "weights")))
+
 
 def places(words: list[str]) -> Places:
     """Parts are character n-grams of 3 to 5, with both ends marked, and beginnings of 3 to 8; each kind weighs 1 together."""
@@ -87,7 +93,7 @@ def places(words: list[str]) -> Places:
     group = owner * 2 + kind
     weights = 1 / np.bincount(group, minlength=2 * len(words))[group]
     own = np.array([zlib.crc32(m.encode("utf-8", "surrogatepass")) % WORDS for m in marked], np.int64)
-    return Places(own, found[order], np.bincount(owner, minlength=len(words)), weights[order].astype(np.float32))
+    return Places(own.astype(np.int32), found[order].astype(np.int32), np.bincount(owner, minlength=len(words)), weights[order].astype(np.float32))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -138,6 +144,9 @@ class Network:
         parts = np.add.reduceat(self.p["part"][at.parts] * at.weights[:, None], np.cumsum(at.sizes) - at.sizes)
         return self.p["word"][at.own] + parts
 
+    def embed_all(self, at: Places) -> np.ndarray:
+        return np.concatenate([self.embed(at.of(np.arange(i, min(i + SOME, len(at.own))))) for i in range(0, len(at.own), SOME)])
+
     def project(self, x: np.ndarray) -> np.ndarray:
         """What the inputs add to the gates, for both directions: (direction, word, gates)."""
         return np.matmul(x, self.p["input"]) + self.p["gate"]
@@ -242,8 +251,8 @@ class Reader:
             grown = np.empty((2, 2 * len(self.known), 3 * STATES), np.float32)
             grown[:, :have] = self.gates[:, :have]
             self.gates = grown
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
+        for i in range(0, len(fresh), SOME):
+            part = fresh[i : i + SOME]
             self.gates[:, have + i : have + i + len(part)] = self.network.project(self.network.embed(places(part)))
         return found
 
@@ -294,7 +303,7 @@ def descend(network: Network, texts: list[np.ndarray], y: np.ndarray, found: Pla
         return
     span, clean, step = np.bincount(text), np.flatnonzero(~y), 0
     for turn in range(rounds):
-        best = network.highest(text, start, length, flat[:-1], network.project(network.embed(found)))[1] if turn else richest(network.embed(found)[:, 0], flat, text, start, length)
+        best = network.highest(text, start, length, flat[:-1], network.project(network.embed_all(found)))[1] if turn else richest(network.embed_all(found)[:, 0], flat, text, start, length)
         other = np.searchsorted(text, clean) + (rng.random(len(clean)) * span[clean]).astype(int)
         chosen = np.concatenate((best, other))
         each = len(chosen) / 2 / np.maximum(np.bincount(y[text[chosen]].astype(int), minlength=2), 1)
@@ -347,7 +356,7 @@ def fit(texts: list[str | None], labels: list[int], rounds: int = 2, passes: int
     early = np.flatnonzero(~late)
     known = _Numbers()
     rows = [np.fromiter(map(known.__getitem__, words_of(texts[i])), np.int64) for i in early]
-    found = places(list(known))
+    found = Places.of_many(list(known))
     network = Network.start(seed)
     word, part = log_count_ratios(rows, y[early], found, smooth, few)
     network.p["word"][:, 0], network.p["part"][:, 0] = word, part
