@@ -80,20 +80,20 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
 def fit_hinge(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, constant: float = CONSTANT, cost: float = COST, rounds: int = 20, seed: int = 0, enough: float = 1e-3) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the linear hinge loss; rows are scaled to unit length."""
     rng, n = np.random.default_rng(seed), len(rows)
-    values = [ratios[r] for r in rows]
-    scale = [1 / math.sqrt(float(v @ v) + constant**2) for v in values]
-    values = [v * s for v, s in zip(values, scale)]
+    squares = ratios * ratios
+    scale = [1 / math.sqrt(float(squares[r].sum()) + constant**2) for r in rows]
     sign = np.where(y, 1.0, -1.0)
     most = np.full(n, cost)
     alpha, w, bias = np.zeros(n), np.zeros(PLACES), 0.0
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(n):
-            gradient = sign[i] * (w[rows[i]] @ values[i] + bias * constant * scale[i]) - 1
+            value = ratios[rows[i]] * scale[i]  # not kept, as all rows' values are several times as large as the rows
+            gradient = sign[i] * (w[rows[i]] @ value + bias * constant * scale[i]) - 1
             new = min(max(alpha[i] - gradient, 0.0), most[i])  # the rows' squared length is 1
             step = (new - alpha[i]) * sign[i]
             if step:
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * value
                 bias += step * constant * scale[i]
                 alpha[i] = new
                 moved = max(moved, abs(step))
