@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpuskit.functions import html as H
@@ -12,10 +13,11 @@ from corpuskit.operators import crawl as K
 from corpuskit.operators import models as M
 from corpuskit.operators import qa as Q
 from corpuskit.plans.corpus import LINES_CTE, SQL_SPLIT, sql_walk
-from corpuskit.sources import files, sinks
+from corpuskit.sources import files, npy, sinks
+from corpuskit.sources.ledger import Ledger
 from corpuskit.sources.shared import new_path
 from corpuskit.sources.tables import table
-from corpuskit.streaming import feedback
+from corpuskit.streaming import feedback, sensor
 
 
 def docs(spark, sf_dir):
@@ -150,7 +152,109 @@ def evaluation_rows(spark, sf_dir):
     return rows.join(F.broadcast(spark.read.schema("n bigint").json(f"{path}/summary")))  # one row
 
 
-QUERIES = {f.__name__: f for f in (text_files, jsonl, corpus_split, report_csv, json_tree, seeds, pdf_blocks, cached_map, feedback_stream, model_calls, html_pages, evaluation_rows)}
+def ledger_append(spark, sf_dir):
+    """Work on documents in commits; the first run dies in the middle of a chunk, the second does what is left. The number of commits as well."""
+    ledger = Ledger(spark, new_path(spark, "ledger"), "doc_id bigint, text_sha1 string")
+    todo = docs(spark, sf_dir).select("doc_id", "text")
+
+    def make(part):
+        return part.select("doc_id", F.sha1(F.coalesce("text", F.lit(""))).alias("text_sha1"))
+
+    def dies(part):
+        bad = F.pmod(F.xxhash64("doc_id"), F.lit(6)) == 3  # all of the fourth chunk
+        return make(part.withColumn("doc_id", F.when(bad & (F.rand(1) < 0.5), F.raise_error(F.lit("planted"))).otherwise(F.col("doc_id"))))
+
+    try:
+        ledger.resume(todo, "doc_id", dies, chunks=6)
+    except PySparkException as e:
+        if "planted" not in str(e):
+            raise
+    ledger.resume(todo, "doc_id", make, chunks=6)
+    ledger.resume(todo, "doc_id", make, chunks=6)  # nothing is left
+    return ledger.read().withColumn("n_commits", F.lit(len(ledger.commits())).cast("bigint"))
+
+
+def questions_over_runs(spark, sf_dir):
+    """Questions of conversations, each once, from two runs over one output that overlap."""
+    ledger = Ledger(spark, new_path(spark, "questions"), "question_hash string, conv_id bigint, turn bigint")
+    asked = table(spark, sf_dir, "conversations").where("role = 'user' and text is not null")
+    rows = asked.select(F.sha2(F.lower("text"), 256).alias("question_hash"), F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"))
+    ledger.append_new(rows.where("conv_id % 3 <> 0"), "question_hash", ["conv_id", "turn"])
+    ledger.append_new(rows, "question_hash", ["conv_id", "turn"])
+    return ledger.read()
+
+
+def npy_vectors(spark, sf_dir):
+    """Vectors kept in ``.npy`` files: written a file for each range of ids, and read by ranges of rows."""
+    path = new_path(spark, "vectors")
+    made = lambda: table(spark, sf_dir, "embeddings").repartitionByRange(4, "vec_id").sortWithinPartitions("vec_id").select(F.col("embedding").alias("vector"))
+    for _ in range(2):  # the second time they are there
+        read = npy.read_or_compute_npy(spark, path, made, "float")
+    largest = F.array_position("vector", F.array_max("vector"))
+    return read.select("row", F.size("vector").alias("n"), largest.cast("bigint").alias("largest"), F.get("vector", F.lit(0)).cast("double").alias("first"))
+
+
+def block_files(spark, sf_dir):
+    """Files of text blocks, some of them broken, one empty: the blocks, and a row of the audit for each file without any."""
+    path = new_path(spark, "blocks")
+    kind = F.col("page_id") % 10
+    first = F.struct(F.array(F.struct(F.lit(0).alias("type"), F.col("url").alias("text")), F.struct(F.lit(1).alias("type"), F.lit("image").alias("text"))).alias("blocks"))
+    second = F.struct(F.array(F.struct(F.lit(0).alias("type"), F.lit("  ").alias("text")), F.struct(F.lit(0).alias("type"), F.lit("end\nof page").alias("text"))).alias("blocks"))
+    pages = F.when(kind == 4, F.array()).otherwise(F.array(first, second))
+    body = F.when(kind == 3, F.lit("%PDF-1.4 cut off")).otherwise(F.to_json(F.struct(pages.alias("pages"))))
+    named = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), body.alias("value"))
+    named.repartition(8, "name").write.partitionBy("name").text(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    empty = hadoop.Path(f"{path}/name=none/empty.txt")
+    empty.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(empty).close()
+    read = files.read_block_files(spark, path, "*.txt")
+    audit = files.audit_lines(spark, read, path, ["st1"]).select(F.lit(None).cast("string").alias("doc"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("text"), "audit")
+    short = lambda c: F.regexp_replace(c, r"name=(\w+)/[^:]*", "$1")
+    return read.where("audit is null").union(audit).select(short("doc").alias("doc"), "page", "block_no", "text", short("audit").alias("audit"))
+
+
+def file_sensor(spark, sf_dir):
+    """A stream that waits for a file for each nation, of which a third never comes."""
+    path, root = new_path(spark, "arrivals"), new_path(spark, "sensor")
+    nations = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("name"), (F.col("n_nationkey") % 3 != 0).alias("comes"))
+    nations.where("comes").select("name", F.lit("x").alias("value")).repartition(4, "name").write.partitionBy("name").text(path)
+    found = sensor.wait_for_files(spark, nations, f"{path}/*", root, poll=1.0, limit=5.0, named="name=([^/]*)/")
+    return found.select("name", "outcome")
+
+
+def audit_file(spark, sf_dir):
+    """The audit of a corpus as a text file."""
+    path = new_path(spark, "audit")
+    sinks.write_audit(docs(spark, sf_dir).agg(F.count("*").alias("documents"), F.count_if(F.col("text").isNull()).alias("without_text"), F.count_distinct("lang").alias("languages")), path)
+    return spark.read.text(path, wholetext=True).select(F.rtrim(F.translate("value", "\n", "|")).alias("value"))
+
+
+def milestones_file(spark, sf_dir):
+    """Milestones of a crawl, all successes and all attempts, as one row of JSON."""
+    pages = table(spark, sf_dir, "pages").withColumn("ok", F.col("page_id") % 7 != 0)
+    reached = pages.where("ok").groupBy((F.floor(F.col("page_id") / 100) * 100 + 100).alias("milestone")).agg(F.count("*").alias("success"))
+    return sinks.milestones_json(reached, pages.agg(F.count_if(F.col("ok")).alias("success"), F.count("*").alias("total")))
+
+
+def answer_cache(spark, sf_dir):
+    """Answers by question, a JSON object each, written as lines and looked up again."""
+    path = new_path(spark, "answers")
+    made = table(spark, sf_dir, "benchmark").select(F.sha1("text").alias("key"), F.col("text").alias("question"), F.concat("text", F.lit("!")).alias("answer"), F.array(F.lit("a"), F.lit("b")).alias("sources"))
+    sinks.cache_json(made).write.text(path)
+    kept = spark.read.schema("key string, question string, answer string, sources array<string>").json(path)
+    return kept.select("key", F.sha1("answer").alias("answer_sha1"), F.size("sources").cast("bigint").alias("n_sources"))
+
+
+def attachments(spark, sf_dir):
+    """Files that users attach, of two kinds; others are left alone."""
+    path = new_path(spark, "attached")
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.col("url").alias("value"))
+    rows.repartition(8, "name").write.partitionBy("name").text(path)
+    read = files.read_attachments(spark, f"{path}/*", "*.{txt,md}")
+    return read.select(F.trim(F.translate("text", "\n", "")).alias("url"), F.endswith("name", F.lit(".txt")).alias("is_text"))
+
+
+QUERIES = {f.__name__: f for f in (text_files, jsonl, corpus_split, report_csv, json_tree, seeds, pdf_blocks, cached_map, feedback_stream, model_calls, html_pages, evaluation_rows, ledger_append, questions_over_runs, npy_vectors, block_files, file_sensor, audit_file, milestones_file, answer_cache, attachments)}
 
 ORACLES = {
     "text_files": "select page_id, 'first line|' || url as body from pages",
@@ -173,4 +277,21 @@ ORACLES = {
     "model_calls": "select item_id, sha1(text || '?') as reply_sha1, length(text) + 7 as n_chars from benchmark where length(text) % 5 <> 0",
     "html_pages": "select url, sha1(html) as html_sha1, 'body' as body from pages",
     "evaluation_rows": "select item_id, length(text) as n_chars, (select count(*) from benchmark) as n from benchmark",
+    "ledger_append": "select doc_id, sha1(coalesce(text, '')) as text_sha1, 6::bigint as n_commits from documents",
+    "questions_over_runs": """select sha256(lower(text)) as question_hash, conv_id::bigint as conv_id, turn::bigint as turn from conversations
+        where role = 'user' and text is not null qualify row_number() over (partition by lower(text) order by conv_id % 3 = 0, conv_id, turn) = 1""",
+    "npy_vectors": """select row_number() over (order by vec_id) - 1 as row, len(embedding)::int as n, list_position(embedding, list_max(embedding))::bigint as largest, embedding[1]::double as first
+        from embeddings""",
+    "block_files": """select 'p' || page_id as doc, 0 as page, 0 as block_no, url as text, null as audit from pages where page_id % 10 not in (3, 4) and trim(url) <> ''
+        union all select 'p' || page_id, 1, 1, 'end' || chr(10) || 'of page', null from pages where page_id % 10 not in (3, 4)
+        union all select null, null, null, null, '[FAIL] p' || page_id || ': unreadable' from pages where page_id % 10 = 3
+        union all select null, null, null, null, '[WARN] p' || page_id || ': no text extracted' from pages where page_id % 10 = 4
+        union all select null, null, null, null, '[FAIL] none: 0 bytes' union all select null, null, null, null, '[WARN] missing folder: st1'""",
+    "file_sensor": "select 'n' || n_nationkey as name, case when n_nationkey % 3 <> 0 then 'arrived' else 'timeout' end as outcome from nation",
+    "audit_file": """select rpad('documents', 16, ' ') || ': ' || count(*) || '|' || rpad('without_text', 16, ' ') || ': ' || count(*) filter (text is null) || '|'
+        || rpad('languages', 16, ' ') || ': ' || count(distinct lang) || '|' as value from documents""",
+    "milestones_file": """select '{"milestones":{' || (select string_agg('"' || m || '":' || n, ',' order by m) from (select (page_id // 100 * 100 + 100)::varchar as m, count(*) as n from pages
+        where page_id % 7 <> 0 group by 1)) || '},"total_success":' || count(*) filter (page_id % 7 <> 0) || ',"total_attempted":' || count(*) || '}' as value from pages""",
+    "answer_cache": "select sha1(text) as key, sha1(text || '!') as answer_sha1, 2::bigint as n_sources from benchmark",
+    "attachments": "select trim(url) as url, true as is_text from pages",
 }

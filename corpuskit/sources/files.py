@@ -94,3 +94,41 @@ def documents_of_blocks(blocks: DataFrame, name: Column | None = None) -> DataFr
     rows = blocks.groupBy("doc").agg(F.count_distinct("page").alias("pages"), ordered.alias("b"))
     text = F.array_join("b.text", "\n")
     return rows.select("doc", "pages", F.coalesce(F.substring(F.get("b.text", F.lit(0)), 1, 120), F.col("doc") if name is None else name).alias("title"), text.alias("text"))
+
+
+#: A document's file: pages of blocks, of which those of kind 0 hold text.
+PAGES = "pages array<struct<blocks:array<struct<type:int,text:string>>>>"
+
+
+def read_block_files(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
+    """Text blocks of documents' files, and a row for each file that has none, as (doc, page, block_no, text, audit).
+
+    A file holds JSON with ``pages``, each with ``blocks`` of ``type`` and ``text``; blocks
+    of type 0 with text count, numbered from 0 among the blocks of their page. A file
+    without bytes, one that can't be read and one without text are a row with only
+    ``doc`` (folder and name) and ``audit``; they stop nothing. Files are read by Spark, so any
+    store will do; a file is read by one task.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+    doc = lambda path: F.regexp_extract(path, r"([^/]*/[^/]*)$", 1)
+    # Spark lists files without bytes, but hands them to no task.
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string")
+    plain = F.regexp_replace(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    empty = listed.select(plain.alias("path")).join(files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), "path", "left_anti")
+    files = files.select("path", "length", "content").union(empty.select("path", F.lit(0).cast("bigint"), F.lit(None).cast("binary")))
+    parsed = files.select(doc("path").alias("doc"), "length", F.from_json(F.make_valid_utf8(F.col("content").cast("string")), PAGES).alias("d"))
+    blocks = F.flatten(
+        F.transform(F.coalesce("d.pages", F.array()), lambda p, i: F.transform(F.coalesce(p["blocks"], F.array()), lambda b, j: F.struct(i.alias("page"), j.alias("block_no"), b["type"].alias("type"), b["text"].alias("text"))))
+    )
+    filled = F.filter(blocks, lambda b: (b["type"] == 0) & (F.trim(b["text"]) != ""))
+    why = F.when(F.col("length") == 0, F.concat(F.lit("[FAIL] "), "doc", F.lit(": 0 bytes")))
+    why = why.when(F.col("d.pages").isNull(), F.concat(F.lit("[FAIL] "), "doc", F.lit(": unreadable"))).when(F.size("filled") == 0, F.concat(F.lit("[WARN] "), "doc", F.lit(": no text extracted")))
+    rows = parsed.withColumn("filled", filled).select("doc", why.alias("audit"), F.explode_outer("filled").alias("b"))
+    return rows.select("doc", "b.page", "b.block_no", "b.text", "audit")
+
+
+def audit_lines(spark: SparkSession, blocks: DataFrame, root: str, folders: list[str]) -> DataFrame:
+    """The lines of an audit, in order: folders that are missing, and what ``read_block_files`` says of files."""
+    lines = [f"[WARN] missing folder: {f}" for f in folders if not exists(spark, f"{root}/{f}")]
+    missing = spark.createDataFrame([(x,) for x in lines], "audit string")
+    return blocks.where("audit is not null").select("audit").union(missing).orderBy("audit")
