@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuskit.functions import text as T
+from corpuskit.operators.dense import counted_ahead, search, usable
 from corpuskit.operators.index import Index, fused_top
 from corpuskit.operators.ranking import rank_within
 
@@ -60,89 +55,27 @@ def top_k(scores: DataFrame, k: int, group: str = "q", tie: str = "doc_id") -> D
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def usable(v: Column) -> Column:
-    """Whether a vector has numbers only, and any that isn't 0."""
-    return F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
-
-
-def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """Usable rows (id, v) packed, as they lie, into blocks of up to ``rows`` unit vectors of one dimension ``dim``."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, rows):
-                part = batch.slice(a, rows)
-                ids, vs = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for dim in sorted({len(v) for v in vs}):
-                    at = [i for i, v in enumerate(vs) if len(v) == dim]
-                    m = np.array([vs[i] for i in at], np.float64)
-                    m /= np.sqrt((m * m).sum(1, keepdims=True))
-                    yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([[ids[i] for i in at]], pa.list_(id_type)), pa.array([m.tobytes()])], names=["dim", "ids", "m"])
-
-    id_type = to_arrow_type(vectors.schema["id"].dataType)
-    kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.select("id", "v").where(usable(F.col("v"))).mapInArrow(pack, f"dim int, ids array<{kind}>, m binary")
-
-
-def _unpack(ids: list, raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.float64).reshape(len(ids), -1)
-
-
 def dense_top(queries: DataFrame, vectors: DataFrame, k: int | None, positive: bool = True, digits: int = 9) -> DataFrame:
     """The ``k`` most similar vectors of each query, by cosine, as (q, doc_id, score, rank).
 
     Without ``k``, all of them, and no rank.
 
-    Both sides are (id, v). Blocks of queries meet blocks of vectors, one matrix
-    product each, which leaves the block's own best ``k``. Vectors that are null
+    Both sides are (id, v), ids whole numbers; see ``dense.search``. Vectors that are null
     or zero, or hold null or non-finite numbers, are similar to nothing, and so
     are vectors of different dimensions.
     """
-    asked = _blocks(queries, 512).select("dim", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
-    pairs = _blocks(vectors, 4096).join(asked, "dim")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, m, q_ids, q_m in zip(*(c.to_pylist() for c in batch.columns)):
-                sims = np.round(_unpack(q_ids, q_m) @ _unpack(ids, m).T, digits)
-                order = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k]
-                best = np.take_along_axis(sims, order, 1)
-                row, col = np.nonzero(best > 0 if positive else best > -9)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(q_ids)[row]), pa.array(np.array(ids)[order[row, col]]), pa.array(best[row, col])], names=["q", "doc_id", "score"])
-
-    met = pairs.select("ids", "m", "q_ids", "q_m").mapInArrow(meet, "q bigint, doc_id bigint, score double")
+    met = search(queries, vectors, k, positive, digits)
     return top_k(met, k) if k else met
 
 
 def gold_ranks(queries: DataFrame, vectors: DataFrame, digits: int = 9) -> DataFrame:
-    """Rank of each query's gold vector: queries are (id, v, gold). Counted block by block, nothing is sorted."""
+    """Rank of each query's gold vector: queries are (id, v, gold). Counted block by block, see ``dense.counted_ahead``; nothing is sorted."""
     golden = queries.where(usable(F.col("v"))).join(vectors.where(usable(F.col("v"))).select(F.col("id").alias("gold"), F.col("v").alias("g")), "gold")
     golden = golden.where(F.size("v") == F.size("g"))
     dot = F.aggregate(F.zip_with("v", "g", lambda x, y: x.cast("double") * y), F.lit(0.0), lambda a, x: a + x)
     norm = [F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double") * x)) for c in ("v", "g")]
-    golden = golden.select("id", "v", "gold", F.round(dot / norm[0] / norm[1], digits).alias("gold_sim"), F.size("v").alias("dim"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for dim in batch.column(4).unique().to_pylist():
-                part = batch.filter(pc.equal(batch.column(4), dim))
-                m = np.array(part.column(1).to_pylist(), np.float64)
-                m /= np.sqrt((m * m).sum(1, keepdims=True))
-                lists = [pa.array([part.column(k).to_pylist()]) for k in (0, 2, 3)]
-                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), *lists, pa.array([m.tobytes()])], names=["dim", "q_ids", "golds", "sims", "q_m"])
-
-    asked = golden.mapInArrow(pack, "dim int, q_ids array<bigint>, golds array<bigint>, sims array<double>, q_m binary")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, m, q_ids, golds, sims, q_m in zip(*(c.to_pylist() for c in batch.columns)):
-                s = np.round(_unpack(q_ids, q_m) @ _unpack(ids, m).T, digits)
-                g, own = np.array(sims)[:, None], np.array(golds)[:, None]
-                ahead = ((s > g) | (s == g) & (np.array(ids)[None] < own)) & (np.array(ids)[None] != own)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(ahead.sum(1))], names=["q", "ahead"])
-
-    pairs = _blocks(vectors, 4096).join(asked, "dim").select("ids", "m", "q_ids", "golds", "sims", "q_m")
-    return pairs.mapInArrow(count, "q bigint, ahead bigint").groupBy("q").agg((F.sum("ahead") + 1).alias("rank"))
+    golden = golden.select("id", "v", "gold", F.round(dot / norm[0] / norm[1], digits).alias("gold_sim"))
+    return counted_ahead(golden, vectors, digits).groupBy("q").agg((F.sum("ahead") + 1).alias("rank"))
 
 
 def fuse(bm: DataFrame, dense: DataFrame, n_docs: DataFrame, rrf_k: int = 60) -> DataFrame:
