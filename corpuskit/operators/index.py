@@ -5,14 +5,16 @@ asked for and scores them as one matrix for each pair of blocks. What leaves a
 pair of blocks are a few of its best documents or counts, never a row for each
 query and document.
 
-Fusing two rankings needs ranks over all documents. It is exact in three steps,
-as in the threshold algorithm:
-
-1. The best ``depth`` documents of each ranking; ranks among these are exact.
-2. A document's score is bounded from above by the places at which its scores
-   would stand in the two lists. Documents whose bound reaches the k-th best
-   score that is certain so far are left; all others can't be among the best.
-3. Ranks of those left that lie beyond a list are counted, block by block.
+Fusing two rankings needs ranks over all documents. Documents and queries are
+written once and meet in the cells of a grid. It is exact in three steps, as in the
+threshold algorithm:
+
+1. Each cell returns its ``depth`` best documents by either score and by the best
+   fused score that their places in the cell allow, and the best that the others
+   could have. The ``depth`` best of all cells are exact lists.
+2. Places in the lists give scores that are certain. Cells that left out what could
+   reach the k-th of these are visited again, for the queries in question.
+3. Ranks of those that may be among the best and lie beyond a list are counted.
 """
 
 from __future__ import annotations
@@ -24,9 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from corpuskit.functions import text as T
 from corpuskit.sources.shared import drop, materialise, shared_dir
@@ -35,6 +40,8 @@ from corpuskit.sources.shared import drop, materialise, shared_dir
 BOOST, RRF_K = 0.02, 60
 #: Scores that differ by less can be equal after rounding.
 SLACK = 1e-8
+#: Blocks of documents and blocks of queries that meet in one cell.
+CELL_BLOCKS, CELL_QUERIES = 8, 16
 
 
 @dataclass
@@ -143,7 +150,8 @@ def bm25_matrix(table: pa.Table, ids: np.ndarray, qs: np.ndarray, k1: float, b:
         term, q_term = (np.repeat(np.arange(some.num_rows), np.diff(e)) for e in (ends, q_ends))
         parts, wanted = np.zeros((some.num_rows, len(ids))), np.zeros((len(qs), some.num_rows))
         parts[term, np.searchsorted(ids, docs)] = tf / (tf + k1 * (1 - b + b * lengths / avg_len))
-        wanted[np.searchsorted(qs, asked), q_term] = weights
+        here = np.isin(asked, qs)
+        wanted[np.searchsorted(qs, asked[here]), q_term[here]] = weights[here]
         scores += wanted @ parts
     return np.round(scores, digits)
 
@@ -178,38 +186,78 @@ def top_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row, order[row, place]
 
 
+def _units(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By dimension: the places of vectors that can be compared, and their unit vectors; null, zero and non-finite ones are left out."""
+    sizes = np.nan_to_num(vectors.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = np.asarray(vectors.flatten().to_numpy(zero_copy_only=False), np.float64)
+    starts, out = np.cumsum(sizes) - sizes, {}
+    for dim in set(sizes.tolist()) - {0}:
+        at = np.flatnonzero(sizes == dim)
+        m = flat[starts[at, None] + np.arange(dim)]
+        with np.errstate(over="ignore", invalid="ignore"):
+            norm = np.sqrt((m * m).sum(1))
+        good = np.isfinite(norm) & (norm > 0)
+        out[dim] = at[good], m[good] / norm[good, None]
+    return out
+
+
+def cosines(a: dict, b: dict, shape: tuple[int, int]) -> np.ndarray:
+    """Of all pairs of two sides by dimension; 0 where there is none."""
+    out = np.zeros(shape)
+    for dim in a.keys() & b.keys():
+        out[np.ix_(a[dim][0], b[dim][0])] = a[dim][1] @ b[dim][1].T
+    return out
+
+
+def _side(column: pa.ChunkedArray) -> pa.StructArray:
+    """All structs of a column of lists, by their first field."""
+    flat = column.combine_chunks().flatten()
+    return flat.take(pc.sort_indices(flat.field(0)))
+
+
+class Side:
+    """The documents of a cell, made ready once for all blocks of queries that meet them."""
+
+    def __init__(self, table: pa.Table, boost: bool):
+        docs, posts = _side(table.column("docs")), table.column("posts").combine_chunks().flatten()
+        self.ids, self.units = docs.field("doc_id").to_numpy(zero_copy_only=False), _units(docs.field("v"))
+        self.words = docs.field("words").to_pylist() if boost else None
+        self.posts = pa.table({"term": posts.field("term"), "at": posts.field("at")})
+
+
 class Scored:
-    """Both scores, and words shared with the title, of a block of documents for a block of queries."""
-
-    def __init__(self, left: pa.Table, right: pa.Table, k1: float, b: float, avg_len: float, boost: bool):
-        side = right.slice(0, 1).to_pylist()[0]
-        docs, asked = sorted(side["docs"], key=lambda d: d["doc_id"]), sorted(side["queries"], key=lambda q: q["q"])
-        self.ids, self.qs = np.array([d["doc_id"] for d in docs]), np.array([q["q"] for q in asked])
-        self.bm = bm25_matrix(left, self.ids, self.qs, k1, b, avg_len, 6)
-        self.sim = np.round(cosines([q["v"] for q in asked], [d["v"] for d in docs]), 9)
+    """Both scores, and words shared with the title, of a cell's documents for a block of queries (or those ``only``)."""
+
+    def __init__(self, side: Side, row: pa.Table, k1: float, b: float, avg_len: float, only: list | None = None):
+        queries, terms = _side(row.column("queries")), row.column("terms").combine_chunks().flatten()
+        if only is not None:
+            queries = queries.filter(pc.is_in(queries.field("q"), value_set=pa.array(only, queries.field("q").type)))
+        self.ids, self.qs = side.ids, queries.field("q").to_numpy(zero_copy_only=False)
+        place = pc.index_in(side.posts.column("term").combine_chunks(), value_set=terms.field("term"))
+        matched = side.posts.filter(place.is_valid()).append_column("asked", terms.field("asked").take(place.drop_null()))
+        self.bm = bm25_matrix(matched, self.ids, self.qs, k1, b, avg_len, 6, max(64, (1 << 21) // max(1, len(self.ids))))
+        self.sim = np.round(cosines(_units(queries.field("v")), side.units, self.bm.shape), 9)
         self.sim[~(self.sim > 0)] = 0.0
         self.shared = np.zeros(self.bm.shape, np.int64)
-        if boost:
-            words = {w: i for i, w in enumerate({w for q in asked for w in q["words"] or ()})}
-            has = [np.zeros((len(rows), len(words) or 1), np.float32) for rows in (asked, docs)]
-            for matrix, rows in zip(has, (asked, docs)):
+        if side.words is not None:
+            asked = queries.field("words").to_pylist()
+            words = {w: i for i, w in enumerate({w for q in asked for w in q or ()})}
+            has = [np.zeros((len(rows), len(words) or 1), np.float32) for rows in (asked, side.words)]
+            for matrix, rows in zip(has, (asked, side.words)):
                 for i, r in enumerate(rows):
-                    matrix[i, [words[w] for w in r["words"] or () if w in words]] = 1
+                    matrix[i, [words[w] for w in r or () if w in words]] = 1
             self.shared = np.rint(has[0] @ has[1].T).astype(np.int64)
 
 
-def cosines(a: list, b: list) -> np.ndarray:
-    """Of all pairs; 0 where a vector is missing, zero, has null or non-finite parts, or the dimensions differ."""
-    out = np.zeros((len(a), len(b)))
-    for dim in {len(v) for v in a if v}:
-        sides = []
-        for vectors in (a, b):
-            at = [i for i, v in enumerate(vectors) if v and len(v) == dim and None not in v]
-            m = np.array([vectors[i] for i in at], np.float64).reshape(len(at), dim)
-            norm = np.sqrt((m * m).sum(1))
-            good = np.isfinite(norm) & (norm > 0)
-            sides.append((np.array(at, np.int64)[good], m[good] / norm[good, None]))
-        out[np.ix_(sides[0][0], sides[1][0])] = sides[0][1] @ sides[1][1].T
+def gain(rank):
+    return 1 / (RRF_K + rank)
+
+
+def _places(scores: np.ndarray) -> np.ndarray:
+    """Each column's place in its row by falling score, equal ones by column."""
+    order = np.argsort(-scores, axis=1, kind="stable")
+    out = np.empty_like(order)
+    np.put_along_axis(out, order, np.broadcast_to(np.arange(1, scores.shape[1] + 1), scores.shape), 1)
     return out
 
 
@@ -224,6 +272,8 @@ def fused_top(
     k1: float = 1.5,
     b: float = 0.75,
     digits: int = 9,
+    at_once: int = 256,
+    cell: tuple[int, int] = (CELL_BLOCKS, CELL_QUERIES),
 ) -> DataFrame:
     """The ``k`` best documents of each query by reciprocal ranks in BM25 and cosine, and words shared with the title.
 
@@ -231,112 +281,129 @@ def fused_top(
     doc_id, v. A document missing from a ranking has the number of all documents
     as its rank there; documents in neither are no answers. Returns q, doc_id,
     bm, sim, bm_rank, dense_rank (null where missing), ``shared``, ``score`` and
-    ``rank``; ties by document id. Exact for any ``depth``.
+    ``rank``; ties by document id. Exact for any ``depth``, ``at_once`` (queries of
+    a block) and ``cell`` (blocks of documents, and of queries, of a cell).
     """
-    asked, listed = asked_terms(index, queries, k1)
+    asked, listed = asked_terms(index, queries, k1, at_once=at_once)
     listed = listed.join(queries.select(F.col("item_id").alias("q"), "v"), "q")
     postings, docs = index.postings, index.docs
     if split is not None:
         postings, docs = (t.where(F.col("part") == split) for t in (postings, docs))
-    left = postings.join(asked, "term").select("block", "qb", "term", "at", "asked")
-    docs = docs.join(vectors.select("doc_id", "v"), "doc_id", "left")
-    packed = docs.groupBy("block").agg(F.collect_list(F.struct("doc_id", "words", "v")).alias("docs"))
-    words = F.array_distinct(T.words(F.lower("text")))
-    packed_queries = listed.groupBy("qb").agg(F.collect_list(F.struct("q", words.alias("words"), "v")).alias("queries"))
-    # A row for each block of documents and of queries.
-    right = materialise(packed.crossJoin(packed_queries), "sides")
-    left = materialise(left, "asked")
     n_docs, avg_len = index.n_docs, index.avg_len
     q_kind, d_kind = queries.schema["item_id"].dataType.simpleString(), index.docs.schema["doc_id"].dataType.simpleString()
-
-    def each(found: Callable[[Scored, list], dict], schema: str, extra: DataFrame | None = None) -> DataFrame:
-        """What ``found`` makes of every pair of blocks; ``extra``: one row for each block of queries, with ``given``."""
-        sides, more = (right, False) if extra is None else (right.join(extra, "qb", "left"), True)
+    # Documents and queries are written once, however many blocks of the other side they meet.
+    asked = materialise(asked, "asked")
+    posts = postings.join(asked.select("term").distinct(), "term", "left_semi").groupBy("block").agg(F.collect_list(F.struct("term", "at")).alias("posts"))
+    docs = docs.join(vectors.select("doc_id", "v"), "doc_id", "left").groupBy("block").agg(F.collect_list(F.struct("doc_id", "words", "v")).alias("docs"))
+    none = F.array().cast(f"array<struct<term:string,at:array<struct<doc_id:{d_kind},n:int,tf:int>>>>")
+    sides = materialise(docs.join(posts, "block", "left").withColumn("posts", F.coalesce("posts", none)), "documents")
+    words = F.array_distinct(T.words(F.lower("text")))
+    packed = listed.groupBy("qb").agg(F.collect_list(F.struct("q", words.alias("words"), "v")).alias("queries"))
+    terms = asked.groupBy("qb").agg(F.collect_list(F.struct("term", "asked")).alias("terms"))
+    none = F.array().cast(f"array<struct<term:string,asked:array<struct<q:{q_kind},weight:double>>>>")
+    asking = materialise(packed.join(terms, "qb", "left").withColumn("terms", F.coalesce("terms", none)), "queries")
+    last = [t.agg(F.coalesce(F.max(c), F.lit(0))).first()[0] for t, c in ((sides, "block"), (asking, "qb"))]
+    columns, rows = (n // size + 1 for n, size in zip(last, cell))
+
+    def each(found: Callable[[Scored, dict], dict], schema: str, wanted: DataFrame | None = None) -> DataFrame:
+        """What ``found`` makes of every cell; ``wanted``: only for the queries in ``given``, by qb and, if there, col."""
+        left = sides.withColumn("col", F.col("block") % columns).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+        right = asking.withColumn("row", F.col("qb") % rows)
+        if wanted is not None:
+            right = right.join(wanted, "qb")
+        if wanted is None or "col" not in wanted.columns:
+            right = right.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+        if wanted is not None:
+            left = left.join(right.select("col", "row").distinct(), ["col", "row"], "left_semi")
+        kinds = to_arrow_schema(StructType.fromDDL(schema))
+        parts = kinds.names
 
         def run(one: pa.Table, two: pa.Table) -> pa.Table:
-            scored = Scored(one, two, k1, b, avg_len, boost)
-            given = two.column("given")[0].as_py() or [] if more else []
-            return pa.table(found(scored, given))
-
-        return left.groupBy("block", "qb").cogroup(sides.groupBy("block", "qb")).applyInArrow(run, schema)
-
-    def tops(s: Scored, _: list) -> dict:
-        parts = []
-        for kind, scores in enumerate((s.bm, s.sim)):
-            row, col = top_places(scores, depth)
-            parts.append((np.full(len(row), kind, np.int32), s.qs[row], s.ids[col], scores[row, col], s.shared[row, col]))
-        kinds, q, doc, own, shared = (np.concatenate(x) for x in zip(*parts))
-        return {"kind": kinds, "q": q, "doc_id": doc, "own": own, "shared": shared}
-
-    best = each(tops, f"kind int, q {q_kind}, doc_id {d_kind}, own double, shared bigint")
-    place = F.row_number().over(W.partitionBy("q", "kind").orderBy(F.col("own").desc(), "doc_id"))
-    lists = materialise(best.withColumn("place", place).where(F.col("place") <= depth), "lists")
-
-    def gain(rank) -> object:
-        return 1 / (RRF_K + rank)
-
-    ranks = [F.max(F.when(F.col("kind") == kind, F.col("place"))) for kind in (0, 1)]
-    known = lists.groupBy("q", "doc_id").agg(*(r.alias(n) for r, n in zip(ranks, ("b", "d"))), F.max("shared").alias("shared"))
+            out = []
+            if one.num_rows and two.num_rows:
+                side, two = Side(one, boost), two.sort_by("qb")
+                for i in range(two.num_rows):
+                    row = two.slice(i, 1)
+                    given = {g["q"]: g for g in row.column("given")[0].as_py()} if "given" in row.column_names else None
+                    made = found(Scored(side, row, k1, b, avg_len, given and list(given)), given)
+                    made["col"] = np.full(len(made["q"]), one.column("col")[0].as_py(), np.int32)
+                    out.append(pa.Table.from_arrays([pa.array(made[n], kinds.field(n).type) for n in parts], names=parts))
+            return pa.concat_tables(out) if out else pa.Table.from_batches([], kinds)
+
+        return left.groupBy("col", "row").cogroup(right.groupBy("col", "row")).applyInArrow(run, schema)
+
+    def ranked(s: Scored) -> tuple[np.ndarray, ...]:
+        """Places in the cell (without a score: the number of documents), the best score these allow, and which documents a first visit returns."""
+        own = [_places(x) for x in (s.bm, s.sim)]
+        first = ((own[0] <= depth) & (s.bm > 0)) | ((own[1] <= depth) & (s.sim > 0))
+        b_place, d_place = (np.where(x > 0, o, n_docs) for x, o in zip((s.bm, s.sim), own))
+        bound = np.where((s.bm > 0) | (s.sim > 0), gain(b_place) + gain(d_place) + BOOST * s.shared, -1.0)
+        return b_place, d_place, bound, first | ((_places(bound) <= depth) & (bound > 0))
+
+    def shown(s: Scored, at: tuple[np.ndarray, np.ndarray], b_place: np.ndarray, d_place: np.ndarray) -> dict:
+        values = {"bm": s.bm, "sim": s.sim, "shared": s.shared, "b_near": b_place, "d_near": d_place}
+        return {"q": s.qs[at[0]], "doc_id": s.ids[at[1]]} | {n: x[at] for n, x in values.items()}
+
+    def tops(s: Scored, _: dict | None) -> dict:
+        """A cell's best by either score and by bound; a row without a document has the best bound of what was left out."""
+        b_place, d_place, bound, first = ranked(s)
+        out = shown(s, np.nonzero(first), b_place, d_place)
+        cut = np.where(first, -1.0, bound).max(1, initial=-1.0)
+        left_out = np.flatnonzero(cut > 0)
+        n, blank = len(out["q"]), [None] * len(left_out)
+        out = {c: [*x.tolist(), *(s.qs[left_out].tolist() if c == "q" else blank)] for c, x in out.items()}
+        return out | {"cut": [None] * n + cut[left_out].tolist()}
+
+    values = f"q {q_kind}, doc_id {d_kind}, bm double, sim double, shared bigint, b_near bigint, d_near bigint"
+    visited = materialise(each(tops, f"{values}, cut double, col int"), "visited")
+    found = visited.where("doc_id is not null").drop("cut", "col")
+
+    def best(order: str, most: int, name: str | None) -> DataFrame:
+        place = F.row_number().over(W.partitionBy("q").orderBy(F.col(order).desc(), "doc_id"))
+        some = found.where(F.col(order) > 0).withColumn("place", place).where(F.col("place") <= most)
+        return some.select("q", "doc_id", "shared", *(F.when(F.lit(n == name), F.col("place")).alias(n) for n in ("b", "d")))
+
+    # Places in the lists are exact, as every document that belongs there is among a cell's best.
+    lists = best("bm", depth, "b").union(best("sim", depth, "d")).union(best("shared", k, None))
+    known = materialise(lists.groupBy("q", "doc_id").agg(F.max("shared").alias("shared"), F.max("b").alias("b"), F.max("d").alias("d")), "lists")
     sure = gain(F.coalesce("b", F.lit(n_docs))) + gain(F.coalesce("d", F.lit(n_docs))) + BOOST * F.col("shared")
     nth = F.row_number().over(W.partitionBy("q").orderBy(F.col("sure").desc()))
-    least = known.select("q", sure.alias("sure")).withColumn("nth", nth).where(F.col("nth") == k).select("q", F.col("sure").alias("least"))
-    listed_as = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "own", "doc_id"))))
-    two = lists.groupBy("q").agg(listed_as(0).alias("bm"), listed_as(1).alias("sim"))
-    bounds = listed.select("qb", "q").join(two, "q", "left").join(least, "q", "left")
-    bounds = bounds.groupBy("qb").agg(F.collect_list(F.struct("q", "bm", "sim", "least")).alias("given"))
-
-    def places(scores: np.ndarray, ids: np.ndarray, entries: list) -> tuple[np.ndarray, np.ndarray]:
-        """The ranks at which documents would stand in a list, and whether they are theirs; without a score: the number of documents."""
-        own = np.array([e["own"] for e in entries])
-        names = np.array([e["doc_id"] for e in entries], ids.dtype if len(entries) else None)
-        rank = np.searchsorted(-own, -scores, "left") + 1
-        upto = np.searchsorted(-own, -scores, "right")
-        for i in np.flatnonzero((upto >= rank) & (scores > 0)):  # equal scores stand by id
-            rank[i] += np.searchsorted(names[rank[i] - 1 : upto[i]], ids[i])
-        exact = (rank <= len(entries)) | (len(entries) < depth)
-        return np.where(scores > 0, rank, n_docs), np.where(scores > 0, exact, True)
-
-    def survivors(s: Scored, given: list) -> dict:
-        rows = []
-        at = {g["q"]: g for g in given}
-        for i, q in enumerate(s.qs.tolist()):
-            g = at[q]
-            found = [places(scores[i], s.ids, g[name] or []) for scores, name in ((s.bm, "bm"), (s.sim, "sim"))]
-            bound = gain(found[0][0]) + gain(found[1][0]) + BOOST * s.shared[i]
-            left_over = np.flatnonzero(((s.bm[i] > 0) | (s.sim[i] > 0)) & (bound >= (-1.0 if g["least"] is None else g["least"] - SLACK)))
-            rows.append((np.full(len(left_over), i), left_over, *(x[left_over] for pair in found for x in pair)))
-        i, j, b_rank, b_exact, d_rank, d_exact = (np.concatenate(x) for x in zip(*rows))
-        return {
-            "q": s.qs[i], "doc_id": s.ids[j], "bm": s.bm[i, j], "sim": s.sim[i, j], "shared": s.shared[i, j],
-            "b": b_rank.astype(np.int64), "b_exact": b_exact, "d": d_rank.astype(np.int64), "d_exact": d_exact,
-        }
-
-    schema = f"q {q_kind}, doc_id {d_kind}, bm double, sim double, shared bigint, b bigint, b_exact boolean, d bigint, d_exact boolean"
-    left_over = materialise(each(survivors, schema, bounds), "survivors")
-    # Once more, with all that is certain by now.
-    sure = [F.when(F.col(f"{c}_exact"), F.col(c)).otherwise(n_docs) for c in ("b", "d")]
-    scored = left_over.withColumn("sure", gain(sure[0]) + gain(sure[1]) + BOOST * F.col("shared")).withColumn("bound", gain(F.col("b")) + gain(F.col("d")) + BOOST * F.col("shared"))
-    scored = scored.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("sure").desc())))
-    least = F.max(F.when(F.col("nth") == k, F.col("sure"))).over(W.partitionBy("q"))
-    scored = scored.withColumn("least", least).where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - SLACK)).drop("sure", "nth", "least", "bound")
+    least = known.select("q", sure.alias("sure")).withColumn("nth", nth).where(F.col("nth") <= k).where(F.col("nth") == k).select("q", F.col("sure").alias("least"))
+    # Cells that left out what may be among the best are visited again, for those queries only.
+    reaches = lambda bound: F.col("least").isNull() | (bound >= F.col("least") - SLACK)
+    again = visited.where("doc_id is null").join(least, "q", "left").where(reaches(F.col("cut"))).join(listed.select("q", "qb"), "q")
+    again = materialise(again.groupBy("qb", "col").agg(F.collect_list(F.struct("q", "least")).alias("given")), "again")
+
+    def others(s: Scored, given: dict) -> dict:
+        b_place, d_place, bound, first = ranked(s)
+        wanted = np.array([-1.0 if given[q]["least"] is None else given[q]["least"] - SLACK for q in s.qs.tolist()])
+        return shown(s, np.nonzero(~first & (bound > 0) & (bound >= wanted[:, None])), b_place, d_place)
+
+    if not again.isEmpty():
+        found = found.union(each(others, values, again))
+    hopeful = found.join(least, "q", "left").where(reaches(gain(F.col("b_near")) + gain(F.col("d_near")) + BOOST * F.col("shared")))
+    hopeful = hopeful.join(known.drop("shared"), ["q", "doc_id"], "left")
+    # Who has a score and isn't in its list stands behind it.
+    for c, value in (("b", "bm"), ("d", "sim")):
+        hopeful = hopeful.withColumn(f"{c}_exact", F.col(c).isNotNull() | (F.col(value) == 0))
+        hopeful = hopeful.withColumn(c, F.when(F.col(value) == 0, n_docs).otherwise(F.coalesce(c, F.greatest(f"{c}_near", F.lit(depth + 1)))))
+    scored = materialise(hopeful.where(reaches(gain(F.col("b")) + gain(F.col("d")) + BOOST * F.col("shared"))).drop("least", "b_near", "d_near"), "hopeful")
     open_ranks = scored.where("not (b_exact and d_exact)")
     if not open_ranks.isEmpty():
         to_count = F.collect_list(F.struct("doc_id", "bm", "sim"))
         wanted = listed.select("qb", "q").join(open_ranks.groupBy("q").agg(to_count.alias("wanted")), "q")
         wanted = wanted.groupBy("qb").agg(F.collect_list(F.struct("q", "wanted")).alias("given"))
 
-        def ahead(s: Scored, given: list) -> dict:
+        def ahead(s: Scored, given: dict) -> dict:
             q, doc, counts = [], [], []
-            row = {x: i for i, x in enumerate(s.qs.tolist())}
-            for g in given:
-                i = row[g["q"]]
-                for w in g["wanted"]:
+            for i, name in enumerate(s.qs.tolist()):
+                for w in given[name]["wanted"]:
                     before = s.ids < w["doc_id"]
-                    q.append(g["q"])
+                    q.append(name)
                     doc.append(w["doc_id"])
                     counts.append([int(((x > own) | (x == own) & before).sum()) for x, own in ((s.bm[i], w["bm"]), (s.sim[i], w["sim"]))])
             pairs = np.array(counts, np.int64).reshape(-1, 2)
-            return {"q": np.array(q, s.qs.dtype), "doc_id": np.array(doc, s.ids.dtype), "b": pairs[:, 0], "d": pairs[:, 1]}
+            return {"q": q, "doc_id": doc, "b": pairs[:, 0], "d": pairs[:, 1]}
 
         counted = each(ahead, f"q {q_kind}, doc_id {d_kind}, b bigint, d bigint", wanted)
         counted = counted.groupBy("q", "doc_id").agg((F.sum("b") + 1).alias("b_counted"), (F.sum("d") + 1).alias("d_counted"))
