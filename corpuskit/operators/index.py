@@ -20,21 +20,23 @@ threshold algorithm:
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from corpuskit.functions import text as T
-from corpuskit.sources.shared import drop, materialise, shared_dir
+from corpuskit.sources.shared import children, drop, exists, materialise, put_once, shared_dir
 
 #: What is added for each word of the query in the title, and the constant of reciprocal ranks.
 BOOST, RRF_K = 0.02, 60
@@ -93,33 +95,70 @@ def build_index(docs: DataFrame, root: str, block_docs: int = 1024) -> Index:
     terms = postings.groupBy("term").agg(F.sum(F.size("at")).alias("df"))
     terms.write.parquet(f"{root}/terms")
     lengths = forward.agg(F.count("*").alias("n_docs"), F.coalesce(F.avg(F.size("tokens")), F.lit(1.0)).alias("avg_len")).first()
-    shown = forward.select("part", "block", "doc_id", F.size("tokens").alias("n"), "words")
-    return Index(postings, spark.read.parquet(f"{root}/terms"), shown, lengths["n_docs"], lengths["avg_len"] or 1.0)
+    return opened(spark, root, lengths["n_docs"], lengths["avg_len"] or 1.0)
 
 
+CATALOGUE = "state string, root string, n_docs bigint, avg_len double"
+#: To be raised when the tables of an index change.
+LAYOUT = 1
 _kept: dict[tuple[str, str], Index] = {}
 
 
 def kept_index(docs: DataFrame, name: str) -> Index:
-    """The index of documents that come from files: written once, and again when a file's name, size or time changes."""
+    """The index of documents that come from files: written once, and again when a file's name, size or time changes.
+
+    A catalogue in the shared folder, a small file for each state of the files, names
+    the index and is put in place when that is whole; so other sessions find it,
+    and of two that build it at a time one's is kept. The name stands for how the columns are made, which isn't looked
+    at: another way, another name. See ``forget_indexes``.
+    """
     spark = docs.sparkSession
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    state = []
-    for file in sorted(docs.inputFiles()):
-        path = fs.Path(file)
-        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
-        state.append(f"{file}:{status.getLen()}:{status.getModificationTime()}")
-    key = shared_dir(spark), f"{name}-{hashlib.sha256(chr(10).join(state).encode()).hexdigest()[:24]}"
+    files = set(docs.inputFiles())
+    by_path = {_path(a): (a, size, time) for folder in {f.rpartition("/")[0] for f in files} for a, size, time in children(spark, unquote(folder))}
+    state = "\n".join(f"{f}:{by_path[_path(unquote(f))][1]}:{by_path[_path(unquote(f))][2]}" for f in sorted(files))
+    state = hashlib.sha256(f"{LAYOUT}\n{state}\n{docs.schema.simpleString()}".encode()).hexdigest()[:24]
+    key = shared_dir(spark), f"{name}-{state}"
     if key not in _kept:
-        root = f"{key[0]}/corpuskit-index/{key[1]}-{uuid.uuid4().hex[:8]}"
-        try:
-            _kept[key] = build_index(docs, root)
-        except BaseException:
-            drop(spark, root)
-            raise
+        entry = f"{key[0]}/corpuskit-index/catalogue/{key[1]}.json"
+        if not exists(spark, entry):
+            root = f"{key[0]}/corpuskit-index/{key[1]}-{uuid.uuid4().hex[:8]}"
+            try:
+                made = build_index(docs, root)
+            except BaseException:
+                drop(spark, root)
+                raise
+            if not put_once(spark, entry, json.dumps({"state": key[1], "root": root, "n_docs": made.n_docs, "avg_len": made.avg_len})):
+                drop(spark, root)
+        found = spark.read.schema(CATALOGUE).json(entry).first()
+        _kept[key] = opened(spark, found["root"], found["n_docs"], found["avg_len"])
     return _kept[key]
 
 
+def _path(address: str) -> str:
+    """An address without its scheme, as file systems write local ones in more than one way."""
+    return (address.partition(":")[2] or address).lstrip("/")
+
+
+def opened(spark: SparkSession, root: str, n_docs: int, avg_len: float) -> Index:
+    """The index that was written below ``root``."""
+    postings, terms, forward = (spark.read.parquet(f"{root}/{t}") for t in ("postings", "terms", "forward"))
+    return Index(postings, terms, forward.select("part", "block", "doc_id", F.size("tokens").alias("n"), "words"), n_docs, avg_len)
+
+
+def forget_indexes(spark: SparkSession, name: str) -> int:
+    """Delete all indexes of this name from the shared folder, while nothing reads them; returns how many there were."""
+    root, gone = shared_dir(spark), 0
+    for entry, _, _ in children(spark, f"{root}/corpuskit-index/catalogue"):
+        state = entry.rpartition("/")[2].removesuffix(".json")
+        if state.rpartition("-")[0] == name:
+            found = spark.read.schema(CATALOGUE).json(entry).first()
+            drop(spark, entry)
+            drop(spark, found["root"])
+            _kept.pop((root, state), None)
+            gone += 1
+    return gone
+
+
 def asked_terms(index: Index, queries: DataFrame, k1: float, q_id: str = "item_id", q_text: str = "text", at_once: int = 256) -> tuple[DataFrame, DataFrame]:
     """Terms of blocks of queries, (qb, term, asked: q and weight), and the queries by block (qb, q, text)."""
     blocks = max(1, -(-queries.count() // at_once))

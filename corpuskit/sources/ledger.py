@@ -13,11 +13,10 @@ import json
 import uuid
 from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.sources.shared import drop, exists
+from corpuskit.sources.shared import drop, exists, put_once
 
 COMMIT = "batch string, folder string, n bigint"
 
@@ -58,32 +57,11 @@ class Ledger:
         folder = f"data/{batch}-{uuid.uuid4().hex[:8]}"
         rows.write.json(f"{self.path}/{folder}")
         n = self.spark.read.schema(self.schema).json(f"{self.path}/{folder}").count()
-        if self._commit(batch, json.dumps({"batch": batch, "folder": folder, "n": n})):
+        if put_once(self.spark, f"{self.path}/commits/{batch}.json", json.dumps({"batch": batch, "folder": folder, "n": n})):
             return True
         drop(self.spark, f"{self.path}/{folder}")
         return False
 
-    def _commit(self, batch: str, line: str) -> bool:
-        """Put the file in place by a rename that fails where there is one."""
-        sc = self.spark.sparkContext
-        hadoop = sc._jvm.org.apache.hadoop.fs
-        made, there = hadoop.Path(f"{self.path}/making/{uuid.uuid4().hex}"), hadoop.Path(f"{self.path}/commits/{batch}.json")
-        fs = made.getFileSystem(sc._jsc.hadoopConfiguration())
-        out = fs.create(made, False)
-        out.write(bytearray(line.encode()))
-        out.close()
-        fs.mkdirs(there.getParent())
-        files = hadoop.FileContext.getFileContext(made.toUri() if fs.getUri().getScheme() is None else fs.getUri(), sc._jsc.hadoopConfiguration())
-        none = sc._gateway.new_array(hadoop.Options.Rename, 0)
-        try:
-            files.rename(made, there, none)
-        except Py4JJavaError as e:
-            fs.delete(made, False)
-            if "FileAlreadyExists" in str(e.java_exception):
-                return False
-            raise
-        return True
-
     def resume(self, todo: DataFrame, key: str, make: Callable[[DataFrame], DataFrame], chunks: int = 8, done: Column | None = None) -> int:
         """Do what is left of ``todo``, in ``chunks`` by the hash of ``key``, a commit for each; returns the commits made.
 

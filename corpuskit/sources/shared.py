@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Tables that this process wrote and has not dropped.
@@ -66,6 +67,35 @@ def drop(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def put_once(spark: SparkSession, path: str, line: str) -> bool:
+    """Write a small file by a rename that fails where there is one; returns whether it is this one that is there now."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    there = hadoop.Path(path)
+    made = hadoop.Path(there.getParent(), f".{uuid.uuid4().hex}")
+    fs = made.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(there.getParent())
+    out = fs.create(made, False)
+    out.write(bytearray(line.encode()))
+    out.close()
+    files = hadoop.FileContext.getFileContext(made.toUri() if fs.getUri().getScheme() is None else fs.getUri(), sc._jsc.hadoopConfiguration())
+    try:
+        files.rename(made, there, sc._gateway.new_array(hadoop.Options.Rename, 0))
+    except Py4JJavaError as e:
+        fs.delete(made, False)
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    return True
+
+
+def children(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """What lies in a folder, as (address, length, time of the last change); nothing if it isn't there. One call."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
 @contextmanager
 def dropping(spark: SparkSession) -> Iterator[list[str]]:
     """Afterwards, delete the tables written inside, but for the paths that are put into the list."""
