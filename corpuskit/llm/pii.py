@@ -11,8 +11,10 @@ to general: three or two words before it, both neighbours, two words after it,
 the shape after a word, the shape alone. (A single neighbour says too little: it
 made numbers next to common words identifiers.) A graph links patterns with instances. Scores
 are iterated over the graph, in Spark: a pattern is as trustworthy, for a kind,
-as the part of its instances that is known to be of that kind, smoothed; an
-instance is as trustworthy as the patterns that it has. Patterns of high
+as the part of its instances that is known to be of that kind, smoothed. An instance
+without a label isn't a wrong one: most identifiers that no base pattern finds are among
+these, and parts of one number are several. So it counts for ``DOUBT`` of one that is known to be wrong
+(refused, or a seed of another kind). An instance is as trustworthy as the patterns that it has. Patterns of high
 confidence make their instances known for the next round, in which these support
 further patterns. What the base pattern of a kind matches but its test refuses,
 such as a number with a wrong check digit, is known not to be an identifier: it
@@ -63,6 +65,8 @@ CREDENTIAL = re.compile(r"(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret[
 ASSIGNED = re.compile(r"[:=]\s{0,4}[\"']([^\s\"']{16,200})[\"']")
 WORD = re.compile(r"[^\W_]+|[^\w\s]|_")
 SHAPE = re.compile(r"(?P<mix>(?=[0-9]*[A-Za-z])(?=[A-Za-z]*[0-9])[A-Za-z0-9]{12,})|(?P<digits>[0-9]+)|(?P<upper>[A-Z]+)|(?P<lower>[a-z]+)|(?P<letters>[^\W\d_]+)")
+#: What an instance without a label counts against a pattern, where one that is known to be wrong counts 1.
+DOUBT = 0.25
 #: Tokens and runs up to this many characters can be identifiers.
 LONGEST = 80
 
@@ -215,7 +219,7 @@ def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, i
     return found
 
 
-def score_graph(links: DataFrame, confidence: float = 0.8, least: int = 5, rounds: int = 4, smooth: float = 1.0) -> DataFrame:
+def score_graph(links: DataFrame, confidence: float = 0.8, least: int = 5, rounds: int = 4, smooth: float = 1.0, doubt: float = DOUBT) -> DataFrame:
     """Trusted patterns from ``links`` (pattern, instance, kind, refused), one row for each pattern and instance.
 
     ``kind`` is that of a seed, else "". Returns ``pattern``, ``kind``,
@@ -223,13 +227,15 @@ def score_graph(links: DataFrame, confidence: float = 0.8, least: int = 5, round
     patterns with ``confidence`` and ``least`` known instances at least.
     """
     links = scratch.materialise(links, "graph")
-    totals = links.groupBy("pattern").agg(F.count("*").alias("all"))
-    seeds = links.where("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("known"), F.count("*").cast("double").alias("good"))
+    labelled = F.count(F.when((F.col("kind") != "") | F.col("refused"), 1))
+    totals = links.groupBy("pattern").agg(labelled.alias("labelled"), (F.count("*") - labelled).alias("open"))
+    counts = [F.count("*").alias("known"), F.count("*").cast("double").alias("good"), F.lit(0).cast("bigint").alias("met")]
+    seeds = links.where("kind <> ''").groupBy("pattern", "kind").agg(*counts)
     seeds = scratch.materialise(seeds.join(totals, "pattern"), "seeds")
     unknown = links.where("kind = '' and not refused").select("pattern", "instance")
     support, before = seeds, -1
     for _ in range(rounds):
-        share = F.col("good") / (F.col("all") + smooth)
+        share = F.col("good") / (F.col("labelled") + F.col("met") + doubt * (F.col("open") - F.col("met")) + smooth)
         trusted = support.withColumn("confidence", share).where((F.col("confidence") >= confidence) & (F.col("known") >= least))
         trusted = scratch.materialise(trusted.select("pattern", "kind", "confidence", "known"), "patterns")
         if (size := trusted.agg(F.sum("known")).first()[0] or 0) == before:
@@ -239,9 +245,9 @@ def score_graph(links: DataFrame, confidence: float = 0.8, least: int = 5, round
         wrong = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))
         scored = unknown.join(trusted, "pattern").groupBy("instance", "kind").agg((1 - F.exp(wrong)).alias("score"))
         known = scored.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("best")).select("instance", "best.*")
-        more = unknown.join(known, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("known"), F.sum("score").alias("good"))
-        both = seeds.select("pattern", "kind", "known", "good").union(more)
-        support = both.groupBy("pattern", "kind").agg(F.sum("known").alias("known"), F.sum("good").alias("good")).join(totals, "pattern")
+        more = unknown.join(known, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("known"), F.sum("score").alias("good"), F.count("*").alias("met"))
+        both = seeds.select("pattern", "kind", "known", "good", "met").union(more)
+        support = both.groupBy("pattern", "kind").agg(*(F.sum(c).alias(c) for c in ("known", "good", "met"))).join(totals, "pattern")
     return trusted
 
 
@@ -250,8 +256,9 @@ def find_personal_data(docs: DataFrame, confidence: float = 0.8, least: int = 5,
 
     Returns a row for each row of ``docs``: the id, ``base`` and ``added``
     (arrays of (kind, start, end) in code points, the end exclusive), both by
-    kind, as ``ALL_KINDS`` lists them, then start. Secrets that are seeds, and
-    instances that a trusted pattern (see ``score_graph``) covers, are added.
+    kind, as ``ALL_KINDS`` lists them, then start, and ``seeded``, the added spans that
+    are seeds. Secrets that are seeds, and instances that a trusted pattern (see
+    ``score_graph``) covers, are added.
     Added spans overlap neither base spans nor each other: of those that
     overlap, the one that starts first stays, and of these the longest.
 
@@ -288,8 +295,10 @@ def find_personal_data(docs: DataFrame, confidence: float = 0.8, least: int = 5,
     # A text's added spans come together again: at most as many as its own tokens and runs.
     added = fresh.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), "kind"))).alias("found"))
     first = F.aggregate("found", F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast(spans).alias("kept")), _keep_apart, lambda state: state["kept"])
-    both = scanned.select("id", "base", "row").join(added.select("row", first.alias("added")), "row", "left")
-    return both.select(F.col("id").alias(id_col), "base", in_order(F.coalesce("added", F.array().cast(spans))).alias("added"))
+    secret = F.transform(F.filter("items", lambda i: i["kind"] == "secret"), lambda i: F.struct(i["kind"].alias("kind"), i["start"].alias("start"), i["end"].alias("end")))
+    both = scanned.select("id", "base", "row", secret.alias("secrets")).join(added.select("row", first.alias("added")), "row", "left")
+    both = both.select(F.col("id").alias(id_col), "base", in_order(F.coalesce("added", F.array().cast(spans))).alias("added"), "secrets")
+    return both.withColumn("seeded", F.array_intersect("added", "secrets")).drop("secrets")
 
 
 def _keep_apart(state: Column, found: Column) -> Column:

@@ -31,11 +31,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base spans and spans that the bootstrap adds; the counts by kind are of the base, ``n_added`` of the rest."""
+    """Base spans and spans that the bootstrap adds; the counts by kind are of the base, ``n_added`` of the rest, ``n_found`` of those that are no seeds."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in pii.KINDS]
     every = pii.in_order(F.concat("base", "added"))
-    more = [F.size("added").cast("bigint").alias("n_added"), F.size(every).cast("bigint").alias("n_spans")]
+    more = [F.size("added").cast("bigint").alias("n_added"), (F.size("added") - F.size("seeded")).cast("bigint").alias("n_found"), F.size(every).cast("bigint").alias("n_spans")]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined(every).alias("spans"), *more)
 
 
