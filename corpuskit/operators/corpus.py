@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as T
+from corpuskit.sources.shared import materialise
 
 
 def line_document_frequency(docs: DataFrame, lines_col: str = "lines") -> DataFrame:
@@ -14,11 +20,51 @@ def line_document_frequency(docs: DataFrame, lines_col: str = "lines") -> DataFr
     return docs.select(F.explode(F.array_distinct(lines_col)).alias("line")).groupBy("line").agg(F.count("*").alias("df"))
 
 
-def boilerplate_lines(docs: DataFrame, fraction: float = 0.30, most_words: int = 12, lines_col: str = "lines") -> DataFrame:
-    """Short lines of many documents: at least max(2, int(n * fraction))."""
-    n = docs.agg(F.count("*").alias("n_docs"))
-    cutoff = F.greatest(F.lit(2), F.floor(F.col("n_docs") * F.lit(float(fraction))))
-    return line_document_frequency(docs, lines_col).join(F.broadcast(n)).where((F.col("df") >= cutoff) & (T.n_words(F.col("line")) <= most_words)).select("line", "df")
+def frequent_candidates(docs: DataFrame, lines: Column, share: float, at_once: int = 4096) -> DataFrame:
+    """Hashes ``h`` of all lines that at least this share of the documents has, and some more.
+
+    A line that is in the share of all documents is in the share of one of any parts
+    that make up the whole. So each task counts its documents ``at_once`` at a time,
+    and only what is frequent among those leaves it: at most (lines of a document) /
+    share for each such part.
+    """
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def frequent() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(values[times >= share * n - 1e-6], pa.int64())], names=["h"])
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, at_once):
+                some = batch.column(0).slice(start, at_once)
+                held.append(some.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+                n += len(some)
+                if n >= at_once:
+                    yield frequent()
+                    held, n = [], 0
+        if held:
+            yield frequent()
+
+    return docs.select(F.transform(F.array_distinct(lines), lambda x: F.xxhash64(x)).alias("hs")).mapInArrow(local, "h bigint").distinct()
+
+
+def boilerplate_lines(docs: DataFrame, fraction: float = 0.30, most_words: int = 12, lines_col: str = "lines", at_once: int = 4096, most: int = 1 << 21) -> DataFrame:
+    """Short lines of many documents, (line, df): at least max(2, int(n * fraction)) of the n documents.
+
+    Only candidates are counted (see ``frequent_candidates``), so lines that are rare
+    aren't shuffled; with more than ``most`` candidates, which very few documents in a
+    task can give, all lines are.
+    """
+    n_docs = docs.count()
+    cutoff = max(2, math.floor(n_docs * float(fraction)))
+    short = F.filter(F.coalesce(lines_col, F.array().cast("array<string>")), lambda x: T.n_words(x) <= most_words)
+    lines = docs.select(F.explode(F.array_distinct(short)).alias("line"))
+    candidates = materialise(frequent_candidates(docs, short, cutoff / max(n_docs, 1), at_once), "candidates")
+    if candidates.count() <= most:
+        lines = lines.withColumn("h", F.xxhash64("line")).join(F.broadcast(candidates), "h", "left_semi")
+    return lines.groupBy("line").agg(F.count("*").alias("df")).where(F.col("df") >= cutoff)
 
 
 def strip_boilerplate(docs: DataFrame, boiler: DataFrame, lines_col: str = "lines") -> DataFrame:

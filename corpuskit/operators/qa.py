@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as T
+from corpuskit.sources.shared import materialise
 
 #: Phrases that point to the passage instead of its content (fixed values), between word borders.
 META = r"(?i)(^|[^\p{L}\p{N}_])(the (passage|text|article|paper|document|excerpt)|according to the (passage|text)|as (mentioned|stated) (above|in the))($|[^\p{L}\p{N}_])"
@@ -23,10 +26,31 @@ def quality(question: Column, answer: Column) -> dict[str, Column]:
     return rules | {"ok": rules["filled"] & rules["long_enough"] & rules["no_meta"] & rules["asks"]}
 
 
-def contaminated_ids(rows: DataFrame, gold: DataFrame, id_col: str, text_col: str, gold_col: str = "text", n: int = 8) -> DataFrame:
-    """Ids of rows that share a word n-gram with a gold text."""
-    wanted = gold.select(F.explode(T.grams(F.col(gold_col), n)).alias("gram")).distinct()
-    return rows.select(id_col, F.explode(T.grams(F.col(text_col), n)).alias("gram")).join(wanted, "gram", "left_semi").select(id_col).distinct()
+#: Hashes of grams that are broadcast at most; beyond, they are joined by a shuffle.
+MOST_HASHES = 1 << 21
+
+
+def gram_hits(
+    rows: DataFrame, gold: DataFrame, id_col: str, text_col: str, gold_col: str = "text", n: int = 8, hashed: Callable[[Column], Column] = F.xxhash64, most: int = MOST_HASHES
+) -> tuple[DataFrame, DataFrame]:
+    """Word n-grams of rows, (id, gram, h), whose hash is that of a gram of a gold text, and the gold grams (gram, h).
+
+    The hashes of gold grams are met in the stage that reads the rows, as long as there are at
+    most ``most`` of them: only hits leave it, whose number doesn't depend on how
+    many words the rows have. Different grams of one hash are among the hits.
+    """
+    wanted = materialise(gold.select(F.explode(T.grams(F.col(gold_col), n)).alias("gram")).distinct().withColumn("h", hashed(F.col("gram"))), "gold-grams")
+    hashes = wanted.select("h").distinct()
+    if wanted.count() <= most:
+        hashes = F.broadcast(hashes)
+    every = rows.select(id_col, F.explode(T.grams(F.col(text_col), n)).alias("gram")).withColumn("h", hashed(F.col("gram")))
+    return every.join(hashes, "h", "left_semi").select(id_col, "gram", "h"), wanted
+
+
+def contaminated_ids(rows: DataFrame, gold: DataFrame, id_col: str, text_col: str, gold_col: str = "text", n: int = 8, **options) -> DataFrame:
+    """Ids of rows that share a word n-gram with a gold text; hits of hashes (see ``gram_hits``) are compared as texts."""
+    hits, wanted = gram_hits(rows, gold, id_col, text_col, gold_col, n, **options)
+    return hits.join(wanted.select("gram"), "gram", "left_semi").select(id_col).distinct()
 
 
 def decontaminate(rows: DataFrame, gold: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
