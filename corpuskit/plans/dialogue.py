@@ -86,7 +86,7 @@ def feedback_question_lookup(spark, sf_dir):
 def demo_cache_lookup(spark, sf_dir):
     firsts = turns(spark, sf_dir).where("role = 'user'").groupBy(C.cache_key(F.col("text")).alias("key")).agg(F.min(F.struct("conv_id", "turn")).alias("at"), F.count("*").alias("n")).where("n > 1")
     cache = firsts.select("key", F.concat_ws(":", F.col("at.conv_id").cast("string"), F.col("at.turn").cast("string")).alias("answer"))
-    asked = turns(spark, sf_dir).where("role = 'user'").withColumn("text", F.concat(F.lit("  "), F.upper("text")))
+    asked = turns(spark, sf_dir).where("role = 'user'").withColumn("text", F.concat(F.lit("  "), T.capitals(F.col("text"))))
     return C.cached_answers(asked, cache).select("conv_id", "turn", "answer")
 
 
