@@ -6,12 +6,15 @@ import unicodedata
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from corpuskit.functions.text import strip
 
+#: Texts that are brought to compatibility forms at once.
+NORMALISED = 256
 HIDDEN = frozenset(("script", "style", "template"))
 
 
@@ -46,9 +49,16 @@ def page_text(html: pd.Series) -> pd.Series:
     return html.map(visible_text)
 
 
-@F.pandas_udf(StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@F.arrow_udf(StringType())
+def nfkc(text: pa.Array) -> pa.Array:
+    """A few rows at a time, and none but those that aren't plain ASCII, so that a batch of long texts is never held as Python strings."""
+
+    def normal(t: pa.StringScalar) -> str | None:
+        said = t.as_py()
+        return said if said is None or said.isascii() else unicodedata.normalize("NFKC", said)
+
+    parts = [pa.array([normal(t) for t in text.slice(at, NORMALISED)], pa.string()) for at in range(0, len(text), NORMALISED)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def normalise_block(text: Column) -> Column:
