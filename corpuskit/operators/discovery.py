@@ -97,7 +97,9 @@ def parse_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
     c = F.col
     has = lambda k: F.try_variant_get("v", f"$.{k}", "variant").isNotNull()
     kind = F.when(has("protocolSection"), "clinicaltrials").when(has("claims") | has("cpc_codes"), "uspto_patent").when(has("body") & has("site"), "listing")
-    rows = raw.select(F.try_parse_json(json_col).alias("v")).where("v is not null").withColumn("source", kind).where("source is not null")
+    # Filters on what an explode makes stay above it, so that nothing is computed once for the filter and once more for the result.
+    rows = raw.select(F.explode(F.array(F.try_parse_json(json_col))).alias("v")).where("v is not null")
+    rows = rows.select("v", F.explode(F.array(kind)).alias("source")).where("source is not null")
     taken = lambda source, schema: F.when(c("source") == source, F.try_variant_get("v", "$", schema))
     kinds = [taken("uspto_patent", PATENT).alias("p"), taken("clinicaltrials", TRIAL).alias("t"), taken("listing", LISTING).alias("l")]
     rows = rows.select("source", *kinds, has("url").alias("has_url"))
@@ -127,9 +129,9 @@ def parse_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
     listing_id = F.substring(F.when(c("has_url"), blank_if_null(c("l.url"))).otherwise(blank_if_null(c("l.title"))), 1, 80)
     trial_url = F.when(nct != "", F.concat(F.lit("https://clinicaltrials.gov/study/"), nct)).otherwise("")
     version = blank_if_null(c("t.derivedSection.miscInfoModule.versionHolder"))
-    made = rows.select(
+    made = F.struct(
         pick(patent_id, _first_filled(nct, F.substring(t_title, 1, 40)), listing_id).alias("doc_id"),
-        "source",
+        F.col("source"),
         pick(F.lit("document"), F.lit("query"), F.lit("document")).alias("side"),
         pick(p_title, t_title, l_title).alias("title"),
         pick(patent, trial, listing).alias("embedding_text"),
@@ -144,6 +146,7 @@ def parse_records(raw: DataFrame, json_col: str = "json") -> DataFrame:
         c(s + "designModule.phases").alias("phases"),
         c("l.content_type").alias("content_type"),
     )
+    made = rows.select(F.explode(F.array(made)).alias("made")).select("made.*")
     return made.where(strip(F.col("embedding_text")) != "")
 
 
