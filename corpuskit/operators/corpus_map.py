@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,12 @@ def _vocabulary(tokens: DataFrame, words: int) -> tuple[dict[str, int], list[flo
     return {r["w"]: i for i, r in enumerate(best)}, [float(np.log((1 + n) / (1 + r["df"])) + 1) for r in best]
 
 
+def _flat(batch: pa.RecordBatch, places: str, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All entries of a batch of sparse rows: the row, the place and the value of each."""
+    row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(places).offsets.to_numpy()))
+    return row, batch.column(places).flatten().to_numpy().astype(np.int64), batch.column(values).flatten().to_numpy()
+
+
 def corpus_map(docs: DataFrame, words: int = 1000, rounds: int = 12, id_col: str = "doc_id", text_col: str = "text", seed: int = 42) -> DataFrame:
     """(id, x, y) for each document. The directions' signs are free, so that maps agree up to reflection.
 
@@ -48,24 +55,29 @@ def corpus_map(docs: DataFrame, words: int = 1000, rounds: int = 12, id_col: str
     wide = min(8, size)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))[0]
 
-    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((size, wide))
         for batch in batches:
-            for p, v in zip(batch["places"], batch["values"]):
-                out[p] += np.outer(v, v @ q[p])
-        yield pd.DataFrame({"i": range(size), "y": out.tolist()})
+            row, p, v = _flat(batch, "places", "values")
+            # For each entry of a row, its value times the row's product with each direction.
+            products = v[:, None] * q[p]
+            sums = np.stack([np.bincount(row, products[:, k], batch.num_rows) for k in range(wide)], axis=1)
+            weighted = v[:, None] * sums[row]
+            out += np.stack([np.bincount(p, weighted[:, k], size) for k in range(wide)], axis=1)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(range(size), pa.int32()), "y": pa.array(out.tolist(), pa.list_(pa.float64()))})
 
     for _ in range(rounds if size else 0):
-        parts = rows.select("places", "values").mapInPandas(turn, "i int, y array<double>")
+        parts = rows.select("places", "values").mapInArrow(turn, "i int, y array<double>")
         sums = parts.groupBy("i").agg(*(F.sum(F.get("y", F.lit(k))).alias(f"y{k}") for k in range(wide))).orderBy("i").collect()
         q, r = np.linalg.qr(np.array([tuple(s)[1:] for s in sums]))
     if size:
         q = q @ np.linalg.svd(r)[0]
     q = np.pad(q, ((0, 0), (0, max(0, 2 - wide))))
 
-    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xy = [np.array(v) @ q[np.array(p, int), :2] if len(p) else np.zeros(2) for p, v in zip(batch["places"], batch["values"])]
-            yield pd.DataFrame({"id": batch["id"], "x": [float(a[0]) for a in xy], "y": [float(a[1]) for a in xy]})
+            row, p, v = _flat(batch, "places", "values")
+            xy = [pa.array(np.bincount(row, v * q[p, k], batch.num_rows)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *xy], names=["id", "x", "y"])
 
-    return rows.mapInPandas(project, f"id {kind}, x double, y double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(project, f"id {kind}, x double, y double").withColumnRenamed("id", id_col)
