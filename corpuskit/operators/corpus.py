@@ -170,10 +170,15 @@ def repeated_lines(lines: DataFrame, id_col: str = "doc_id", page_col: str = "pa
 
     Lines count once a page as they stand, and are then put together in lower case.
     """
-    pages = lines.groupBy(id_col).agg(F.count_distinct(page_col).alias("pages")).where("pages > 1")
-    seen = lines.where(T.strip(F.col(line_col)) != "").select(id_col, page_col, line_col).distinct()
-    counts = seen.groupBy(id_col, F.lower(T.strip(F.col(line_col))).alias("key")).agg(F.count("*").alias("df"))
-    return counts.join(pages, id_col).where((F.col("df") >= F.greatest(F.lit(2), F.bround(F.col("pages") * F.lit(0.4)))) & (F.length("key") > 2)).select(id_col, "key", "df")
+    # One shuffle, by document; all that follows stays inside its partition, and lines are made once. Pages of blank lines count as pages.
+    seen = lines.select(id_col, page_col, F.col(line_col).alias("_line")).where(F.col(id_col).isNotNull()).repartition(id_col).distinct()
+    numbered = seen.withColumn("_page", F.dense_rank().over(W.partitionBy(id_col).orderBy(page_col)))
+    # A document whose pages have no number has none.
+    numbered = numbered.withColumn("_page", F.when(F.col(page_col).isNotNull(), F.col("_page")))
+    unnumbered = F.max(F.col(page_col).isNull()).over(W.partitionBy(id_col)).cast("int")
+    numbered = numbered.withColumn("pages", F.max("_page").over(W.partitionBy(id_col)) - unnumbered).where("pages > 1")
+    counts = numbered.where(T.strip(F.col("_line")) != "").groupBy(id_col, F.lower(T.strip(F.col("_line"))).alias("key")).agg(F.count("*").alias("df"), F.first("pages").alias("pages"))
+    return counts.where((F.col("df") >= F.greatest(F.lit(2), F.bround(F.col("pages") * F.lit(0.4)))) & (F.length("key") > 2)).select(id_col, "key", "df")
 
 
 def keep_line(line: Column, navigation=NAVIGATION, footer: str = FOOTER) -> Column:

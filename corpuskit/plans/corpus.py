@@ -129,9 +129,9 @@ def reference_cut(spark, sf_dir):
 
 
 def repeated_page_lines(spark, sf_dir):
-    lines = lined(spark, sf_dir).select("doc_id", F.posexplode("lines").alias("pos", "line")).withColumn("page", (F.col("pos") / 4).cast("int"))
-    head = lines.select("doc_id", "page").distinct().withColumn("line", F.when(F.col("page") % 2 == 0, "Running Head").otherwise("running head"))
-    return C.repeated_lines(lines.select("doc_id", "page", "line").union(head.select("doc_id", "page", "line")))
+    places = F.transform("lines", lambda x, i: F.struct((i / 4).cast("int").alias("page"), x.alias("line")))
+    heads = F.transform(F.filter("lines", lambda x, i: i % 4 == 0), lambda x, i: F.struct(i.alias("page"), F.when(i % 2 == 0, "Running Head").otherwise("running head").alias("line")))
+    return C.repeated_lines(lined(spark, sf_dir).select("doc_id", F.inline(F.concat(places, heads))))
 
 
 def line_filter(spark, sf_dir):
