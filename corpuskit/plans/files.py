@@ -15,7 +15,7 @@ from corpuskit.operators import qa as Q
 from corpuskit.plans.corpus import LINES_CTE, SQL_SPLIT, sql_walk
 from corpuskit.sources import files, npy, sinks
 from corpuskit.sources.ledger import Ledger
-from corpuskit.sources.shared import new_path
+from corpuskit.sources.shared import materialise, new_path
 from corpuskit.sources.tables import table
 from corpuskit.streaming import feedback, sensor
 
@@ -24,13 +24,19 @@ def docs(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+def write_each(rows, path, **options):
+    """A folder with one text file for each ``name``. Tasks move their files into place themselves; else the driver would move one after the other."""
+    tasks = max(8, 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    rows.repartition(tasks, "name").write.partitionBy("name").option("mapreduce.fileoutputcommitter.algorithm.version", "2").options(**options).text(path)
+
+
 def text_files(spark, sf_dir):
     """Pages in the form of text files, one file for each page, and their bodies."""
     path = new_path(spark, "texts")
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("t").alias("title"), F.concat(F.lit("first line\n"), F.col("url")).alias("text"))
     body = sinks.page_file(F.col("url"), F.col("title"), F.col("text"))
     # Every page is a folder with one file, as a folder for each value is what Spark writes.
-    pages.select(F.lpad(F.col("page_id").cast("string"), 6, "0").alias("name"), body.alias("value")).repartition(8, "name").write.partitionBy("name").option("lineSep", "\u0000").text(path)
+    write_each(pages.select(F.lpad(F.col("page_id").cast("string"), 6, "0").alias("name"), body.alias("value")), path, lineSep="\u0000")
     read = files.read_texts(spark, f"{path}/*")
     return read.select(F.regexp_extract("path", r"name=(\d+)", 1).cast("bigint").alias("page_id"), F.array_join(T.strip_header(F.replace("raw", F.lit("\u0000"), F.lit(""))), "|").alias("body"))
 
@@ -203,11 +209,11 @@ def block_files(spark, sf_dir):
     pages = F.when(kind == 4, F.array()).otherwise(F.array(first, second))
     body = F.when(kind == 3, F.lit("%PDF-1.4 cut off")).otherwise(F.to_json(F.struct(pages.alias("pages"))))
     named = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), body.alias("value"))
-    named.repartition(8, "name").write.partitionBy("name").text(path)
+    write_each(named, path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     empty = hadoop.Path(f"{path}/name=none/empty.txt")
     empty.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(empty).close()
-    read = files.read_block_files(spark, path, "*.txt")
+    read = materialise(files.read_block_files(spark, path, "*.txt"), "read")  # files are opened once, for the blocks and for the audit
     audit = files.audit_lines(spark, read, path, ["st1"]).select(F.lit(None).cast("string").alias("doc"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("text"), "audit")
     short = lambda c: F.regexp_replace(c, r"name=(\w+)/[^:]*", "$1")
     return read.where("audit is null").union(audit).select(short("doc").alias("doc"), "page", "block_no", "text", short("audit").alias("audit"))
@@ -249,7 +255,7 @@ def attachments(spark, sf_dir):
     """Files that users attach, of two kinds; others are left alone."""
     path = new_path(spark, "attached")
     rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.col("url").alias("value"))
-    rows.repartition(8, "name").write.partitionBy("name").text(path)
+    write_each(rows, path)
     read = files.read_attachments(spark, f"{path}/*", "*.{txt,md}")
     return read.select(F.trim(F.translate("text", "\n", "")).alias("url"), F.endswith("name", F.lit(".txt")).alias("is_text"))
 
