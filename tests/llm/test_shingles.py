@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -49,3 +50,46 @@ def test_odd_rows(spark):
     assert shingles.find_near_copies(docs.limit(0)).count() == 0 and shingles.drop_near_copies(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         shingles.find_near_copies(docs, 0.5)
+
+
+def test_bands_come_from_the_anchors_of_simhash(spark):
+    """Fingerprints one bit apart are one band, also over others; those two bits apart are not."""
+    rng = random.Random(7)
+    rows = []  # (row, k, fp)
+    for k in range(12):
+        x = rng.getrandbits(63)
+        rows += [(10 * k, k, x), (10 * k + 1, k, x ^ 1 << rng.randrange(63)), (10 * k + 2, k, x ^ 3 << 20), (10 * k + 3, k, x)]
+        y = rng.getrandbits(63)
+        rows += [(1000 + 10 * k + j, k, y ^ (1 << j) - 1) for j in range(5)] + [(5000 + k, k, rng.getrandbits(63))]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (rows[i][2] ^ rows[j][2]).bit_count() <= 1 and label[i] != label[j]:
+                label = [label[j] if x == label[i] else x for x in label]
+    groups = {}
+    for (row, _, _), g in zip(rows, label):
+        groups.setdefault(g, []).append(row)
+    want = {row: min(g) for g in groups.values() for row in g if row != min(g)}
+    keyed = spark.createDataFrame(rows, "row long, k int, fp long").repartition(3)
+    got = shingles.find_bands(keyed).collect()
+    assert len(got) == len(want) == 12 * 6 and {r["row"]: r["first"] for r in got} == want
+    assert len({r["band"] for r in got}) == 24
+
+
+def test_fingerprints_meet_at_the_similarity():
+    """At 0.8 a third of the fingerprints meets, some of them unequal; what is far apart does not meet."""
+    rng = np.random.default_rng(3)
+    for n, shared in ((9, 8), (90, 80), (900, 800)):
+        near = equal = 0
+        for _ in range(100):
+            h = rng.integers(0, 1 << 64, 2 * n - shared, dtype=np.uint64)
+            a, b = (shingles.fingerprints(np.sort(x)) for x in (h[:n], np.concatenate((h[:shared], h[n:]))))
+            bits = np.bitwise_count(a ^ b)
+            near, equal = near + (bits <= shingles.BITS).sum(), equal + (bits == 0).sum()
+            assert (bits <= shingles.BITS).any()
+            same = (shingles.signature(a).view(np.uint8) == shingles.signature(b).view(np.uint8)).sum()
+            assert same >= shingles.AGREE
+        assert 0.31 < near / 3200 < 0.40 and equal < 0.9 * near
+    a, b = (shingles.fingerprints(rng.integers(0, 1 << 64, 200, dtype=np.uint64)) for _ in range(2))
+    assert np.bitwise_count(a ^ b).min() > 8 and len(set(a.tolist())) > 24
+    assert shingles.fingerprints(np.empty(0, np.uint64)).tolist() == [0] * shingles.PRINTS
