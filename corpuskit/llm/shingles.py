@@ -15,6 +15,8 @@ document is compared with the first of its band only, and components of these
 links are found. Where the others of a band are in more than one component, all
 their pairs between components are compared too, inside the join, so that only
 what may be a link becomes a row. Pairs inside a component need no comparison.
+Rows of a family share many bands; a pair is compared in the largest of its own, so
+that few bands have pairs left that no larger one has, and a set moves for these only.
 The others are dealt by band and size, as sets of similar texts are of the same or
 of neighbouring size classes, and where a band and class have many, one side is
 split into parts of ``PART`` rows and the other side meets each of them.
@@ -27,14 +29,14 @@ byte of each block of the fingerprints, of which two sets at 0.8 share fewer tha
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
@@ -128,6 +130,18 @@ def find_bands(keyed: DataFrame) -> DataFrame:
     return keyed.join(shared.select("fp", "band"), "fp").select("band", "row").join(firsts, "band").where("row <> first")
 
 
+def larger_bands(placed: DataFrame) -> DataFrame:
+    """The rows (band, row, part) of bands with several parts, with ``larger``: the row's bands of more rows, or as many and a smaller number.
+
+    Two rows of a band meet in it first of all that they share if their ``larger`` have none in common.
+    """
+    bands = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("members"))
+    held = placed.join(bands.where("low <> high").select("band", "members"), "band")
+    ordered = F.transform(F.array_sort(F.collect_set(F.struct((-F.col("members")).alias("order"), "band"))), lambda x: x["band"])
+    lists = held.groupBy("row").agg(ordered.alias("bands"))
+    return held.join(lists, "row").select("band", "row", "part", F.expr("slice(bands, 1, cast(array_position(bands, band) as int) - 1)").alias("larger"))
+
+
 def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """Group documents whose shingle sets are linked, directly or over others, at ``similarity`` or more.
 
@@ -139,6 +153,21 @@ def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "do
     """
     if not 0.8 <= similarity <= 1:
         raise ValueError("the fingerprints serve similarities from 0.8")
+    named = _written(lambda: _rooted(docs, similarity, id_col, text_col, width), docs.sparkSession, "named")
+    lows = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    return named.join(lows, "root").select(F.col("id").alias(id_col), "component_id")
+
+
+def _written(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """What ``make`` returns, written and read back; the tables that it wrote on its way are deleted."""
+    with scratch.dropping(spark) as kept:
+        made = make()
+        kept.append(path := scratch.write(made, name))
+    return scratch.read_back(made, path)
+
+
+def _rooted(docs: DataFrame, similarity: float, id_col: str, text_col: str, width: int) -> DataFrame:
+    """A row for each row of ``docs``: the id, and ``root``, by which its group is known."""
 
     def listed(parts: list[np.ndarray]) -> pa.ListArray:
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(np.concatenate(parts)))
@@ -164,7 +193,7 @@ def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "do
     kept = [StructField("id", rows.schema["id"].dataType), StructField("digest", BinaryType()), StructField("n", IntegerType()), StructField("prints", longs), StructField("sig", longs)]
     sketched = rows.mapInArrow(sketch, StructType(kept))
     sketched = scratch.materialise(sketched.withColumn("row", F.monotonically_increasing_id()), "shingles")
-    members = scratch.materialise(find_bands(sketched.select("row", F.posexplode("prints").alias("k", "fp"))), "members")
+    members = _written(lambda: find_bands(sketched.select("row", F.posexplode("prints").alias("k", "fp"))), docs.sparkSession, "members")
     pairs = scratch.materialise(members.select(F.col("first").alias("a"), F.col("row").alias("b")).distinct(), "pairs")
     marks = sketched.select("row", "n", "sig")
 
@@ -187,10 +216,7 @@ def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "do
     groups = connected_components(direct, "a", "b")
     # What is left are pairs of two others of a key that are in different components.
     placed = scratch.materialise(members.join(groups, members.row == groups.node, "left").select("band", "row", F.coalesce("component", "row").alias("part")), "placed")
-    open_bands = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("band")
-    held = placed.join(open_bands, "band", "left_semi")
-    lists = held.groupBy("row").agg(F.array_sort(F.collect_set("band")).alias("bands"))
-    rest = scratch.materialise(held.join(lists, "row").join(marks, "row"), "rest")
+    rest = scratch.materialise(larger_bands(placed).join(marks, "row"), "rest")
 
     # Sizes of sets at the similarity differ by less than one step of this scale.
     step = math.log(1 / similarity * (1 + 1e-9))
@@ -198,18 +224,17 @@ def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "do
 
     def met(rows: DataFrame, condition: Column, how: str, *more: str) -> DataFrame:
         """Rows of a key in neighbouring size classes, as sides a and b."""
-        names = ("part", "row", "n", "sig", "bands", *more)
+        names = ("part", "row", "n", "sig", "larger", *more)
         parts = rows.groupBy("band", "size_class").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-        left = rows.select("band", F.col("band").alias("a_band"), F.explode(F.array(*(F.col("size_class") + d for d in (-1, 0, 1)))).alias("size_class"), *(F.col(x).alias(f"a_{x}") for x in names))
+        left = rows.select("band", F.explode(F.array(*(F.col("size_class") + d for d in (-1, 0, 1)))).alias("size_class"), *(F.col(x).alias(f"a_{x}") for x in names))
         left = left.join(parts, ["band", "size_class"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         right = rows.join(parts, ["band", "size_class"]).select("band", "size_class", F.pmod(F.xxhash64("row"), "parts").cast("int").alias("salt"), *(F.col(x).alias(f"b_{x}") for x in names))
         same = (left.band == right.band) & (left.size_class == right.size_class) & (left.salt == right.salt)
         return left.join(right, same & condition, how)
 
     # Rows with any partner that may be similar, each once; only they bring their sets, and pairs stay inside the join.
-    # Two rows can share many bands, and are compared in one of them, by their numbers, so that no band has all such pairs.
-    common = F.array_intersect("a_bands", "b_bands")
-    once = F.element_at(common, (F.pmod(F.xxhash64(F.col("a_row") + F.col("b_row")), F.size(common)) + 1).cast("int")) == F.col("a_band")
+    # Two rows can share many bands, and are compared in the largest of them only.
+    once = ~F.arrays_overlap("a_larger", "b_larger")
     partner = (F.col("a_part") != F.col("b_part")) & once & near
     found = met(rest, partner, "left_semi").select("band", F.col("a_row").alias("row")).distinct()
     close = scratch.materialise(rest.join(found, ["band", "row"], "left_semi"), "close")
@@ -220,10 +245,7 @@ def find_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "do
     roots = groups.select(F.col("node").alias("row"), F.col("component").alias("part")).join(merged, "part", "left").select("row", F.coalesce("root", "part").alias("root"))
     # Rows without a direct link can have one of the second kind.
     alone = merged.join(groups.select(F.col("node").alias("part")), "part", "left_anti").select(F.col("part").alias("row"), "root")
-    named = sketched.select("id", "row").join(roots.union(alone), "row", "left").select("id", F.coalesce("root", "row").alias("root"))
-    named = scratch.materialise(named, "named")
-    lows = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return named.join(lows, "root").select(F.col("id").alias(id_col), "component_id")
+    return sketched.select("id", "row").join(roots.union(alone), "row", "left").select("id", F.coalesce("root", "row").alias("root"))
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

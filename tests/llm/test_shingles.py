@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from corpuskit.llm import shingles
+from corpuskit.sources import shared
 
 DOCS = "doc_id long, text string, source string, kept string, hit string"
 
@@ -93,3 +94,45 @@ def test_fingerprints_meet_at_the_similarity():
     a, b = (shingles.fingerprints(rng.integers(0, 1 << 64, 200, dtype=np.uint64)) for _ in range(2))
     assert np.bitwise_count(a ^ b).min() > 8 and len(set(a.tolist())) > 24
     assert shingles.fingerprints(np.empty(0, np.uint64)).tolist() == [0] * shingles.PRINTS
+
+
+def test_pairs_meet_in_their_largest_band(spark):
+    rng = random.Random(9)
+    placed = [(band, row, row % 7) for band in range(20) for row in rng.sample(range(30), rng.randint(2, 20))] + [(50, 1, 1), (50, 8, 1)]
+    bands = {}
+    for band, row, part in placed:
+        bands.setdefault(band, {})[row] = part
+    bands = {b: rows for b, rows in bands.items() if len(set(rows.values())) > 1}
+    got = {(r["band"], r["row"]): (r["part"], set(r["larger"])) for r in shingles.larger_bands(spark.createDataFrame(placed, "band long, row long, part long")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(b, row): part for b, rows in bands.items() for row, part in rows.items()}
+    for i in range(30):
+        for j in range(i):
+            common = [b for b, rows in bands.items() if i in rows and j in rows]
+            met = [b for b in common if not got[b, i][1] & got[b, j][1]]
+            assert met == ([min(common, key=lambda b: (-len(bands[b]), b))] if common else [])
+
+
+def test_a_family_moves_its_sets_for_few_bands_and_leaves_one_table(spark, monkeypatch):
+    """Texts near each other, but not at 0.8, share half of their bands: most pairs have met in a larger one."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(100):
+        words = [f"w{j}" for j in range(300)]
+        for j in rng.sample(range(300), 8):
+            words[j] = f"v{i}x{j}"
+        rows += [(i, " ".join(words))] + ([(1000 + i, " ".join(words[:-1] + ["end"]))] if i >= 95 else [])
+    counts, materialise = {}, shingles.scratch.materialise
+
+    def counted(df, name):
+        out = materialise(df, name)
+        if name in ("rest", "close"):
+            counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(shingles.scratch, "materialise", counted)
+    before = len(shared._written)
+    got = {r["doc_id"]: r["component_id"] for r in shingles.find_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i: i % 1000 if i >= 1000 else i for i, _ in rows}
+    assert counts["rest"] > 1000 and counts["close"] < 0.65 * counts["rest"]
+    left = [p.split("/")[-1].split("-")[0] for p in shared._written[before:]]
+    assert left == ["named"]
