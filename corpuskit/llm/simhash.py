@@ -209,7 +209,8 @@ def link_fingerprints(distinct: DataFrame, threshold: int = 2, blocks: int | Non
         residents = residents.join(full, "anchor", "left").select("anchor", F.pmod(F.xxhash64("a"), parts).cast("int").alias("part"), "a")
         visitors = visitors.join(full, "anchor", "left").select("anchor", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "b")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    return residents.join(visitors, keys).where((F.col("a") < F.col("b")) & close).select("a", "b")
+    # Spark takes visitors, dozens a fingerprint, for as many rows as there are fingerprints, and would broadcast them.
+    return residents.join(visitors.hint("merge"), keys).where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def find_near_copies(docs: DataFrame, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
