@@ -14,6 +14,7 @@ from corpuskit.operators import models as M
 from corpuskit.operators import qa as Q
 from corpuskit.plans.corpus import LINES_CTE, SQL_SPLIT, sql_walk
 from corpuskit.sources import files, npy, sinks
+from corpuskit.sources.folders import name_of, write_files
 from corpuskit.sources.ledger import Ledger
 from corpuskit.sources.shared import materialise, new_path
 from corpuskit.sources.tables import table
@@ -35,10 +36,11 @@ def text_files(spark, sf_dir):
     path = new_path(spark, "texts")
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("t").alias("title"), F.concat(F.lit("first line\n"), F.col("url")).alias("text"))
     body = sinks.page_file(F.col("url"), F.col("title"), F.col("text"))
-    # Every page is a folder with one file, as a folder for each value is what Spark writes.
-    write_each(pages.select(F.lpad(F.col("page_id").cast("string"), 6, "0").alias("name"), body.alias("value")), path, lineSep="\u0000")
+    # An id of any length; a page without one has a file as well.
+    name = F.when(F.col("page_id").isNull(), "none").otherwise(F.format_string("%06d", "page_id"))
+    write_files(pages.select(name.alias("name"), body.alias("value")), path, end="\u0000")
     read = files.read_texts(spark, f"{path}/*")
-    return read.select(F.regexp_extract("path", r"name=(\d+)", 1).cast("bigint").alias("page_id"), F.array_join(T.strip_header(F.replace("raw", F.lit("\u0000"), F.lit(""))), "|").alias("body"))
+    return read.select(name_of(F.col("path")).try_cast("bigint").alias("page_id"), F.array_join(T.strip_header(F.replace("raw", F.lit("\u0000"), F.lit(""))), "|").alias("body"))
 
 
 def jsonl(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskit.sources.folders import open_files
 from corpuskit.sources.shared import drop, exists
 
 REPORT = "page_number int, url string, http_status_code int, page_title string, html_filename string, txt_filename string, html_size_bytes bigint, word_count int, timestamp timestamp, status string"
@@ -17,9 +18,22 @@ SFT = "messages array<struct<role:string,content:string>>, meta struct<chunk_id:
 BLOCKS = "doc string, page int, block_no int, text string"
 
 
+def _address(path: str) -> Column:
+    """A local path as ``input_file_name`` has it, with what an address can't hold escaped."""
+    escaped = F.replace(path, F.lit("%"), F.lit("%25"))
+    for c in ' "#<>?[\\]^`{|}':
+        escaped = F.replace(escaped, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    return F.regexp_replace(escaped, "^file:/+", "file:///")
+
+
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Text files as (path, stem, raw); order by path where order counts. Bad UTF-8 becomes replacement characters, which are dropped."""
-    raw = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt").select(F.input_file_name().alias("path"), F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit("")).alias("raw"))
+    clean = lambda c: F.replace(F.make_valid_utf8(c), F.lit("�"), F.lit(""))
+    opened = open_files(spark, folder, "*.txt")
+    if opened is None:
+        raw = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt").select(F.input_file_name().alias("path"), clean("value").alias("raw"))
+    else:
+        raw = opened.where("length > 0").select(_address("path").alias("path"), clean(F.col("content").cast("string")).alias("raw"))
     return raw.withColumn("stem", F.regexp_extract("path", r"([^/]*)\.txt$", 1))
 
 
