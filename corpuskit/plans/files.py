@@ -256,8 +256,8 @@ def answer_cache(spark, sf_dir):
 def attachments(spark, sf_dir):
     """Files that users attach, of two kinds; others are left alone."""
     path = new_path(spark, "attached")
-    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.col("url").alias("value"))
-    write_each(rows, path)
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.coalesce(F.col("page_id").cast("string"), F.lit(""))).alias("name"), F.col("url").alias("value"))
+    write_files(rows, path)
     read = files.read_attachments(spark, f"{path}/*", "*.{txt,md}")
     return read.select(F.trim(F.translate("text", "\n", "")).alias("url"), F.endswith("name", F.lit(".txt")).alias("is_text"))
 

@@ -69,7 +69,8 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 def read_attachments(spark: SparkSession, folder: str, kinds: str = "*.{txt,md}") -> DataFrame:
     """Files that a user attached, as (name, text); bytes that are no UTF-8 become replacement characters."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", kinds).load(folder)
+    files = open_files(spark, folder, kinds)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", kinds).load(folder) if files is None else files.where("length > 0")
     return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 

@@ -10,6 +10,19 @@ from corpuskit.plans import files as plans
 from corpuskit.sources import files, folders
 
 
+def jobs_tasks(spark, make):
+    """What ``make`` returns, and the number of tasks it ran."""
+    sc = spark.sparkContext
+    sc.setJobGroup("counted", "counted")
+    try:
+        made = make()
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(j).stageIds]
+        return made, sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i)
+    finally:
+        sc.setJobGroup("", "")
+
+
 def test_text_files_of_long_ids(spark, tmp_path):
     """Ids were cut to six digits, so pages shared a file; repeated ids and a page without one keep a row each."""
     ids = [0, 7, 7, 123456, 1234567, 12345678, -5, None]
@@ -18,6 +31,12 @@ def test_text_files_of_long_ids(spark, tmp_path):
     assert Counter(map(tuple, got)) == Counter((n, f"first line|http://a/{i}") for i, n in enumerate(ids))
 
 
+def test_attached_files_are_not_a_task_each(spark, tmp_path):
+    spark.range(300).select(F.col("id").alias("page_id"), F.concat(F.lit(" http://a/"), "id").alias("url")).write.parquet(f"{tmp_path}/pages.parquet")
+    got, tasks = jobs_tasks(spark, lambda: plans.attachments(spark, str(tmp_path)).collect())
+    assert sorted(map(tuple, got)) == sorted((f"http://a/{i}", True) for i in range(300)) and tasks < 150, tasks
+
+
 @pytest.mark.parametrize("glob", ["*.txt", "*.{txt,md}", "?.[mt]*"])
 def test_files_are_those_that_spark_reads(spark, tmp_path, glob):
     names = ["a.txt", "b.md", "c.bin", ".hidden.txt", "_gone.txt", "ü ä+%.txt", "k=v/d.txt", "deep/e.txt", "deep/_no/f.txt", "x._COPYING_"]
