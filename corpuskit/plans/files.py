@@ -25,12 +25,6 @@ def docs(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
-def write_each(rows, path, **options):
-    """A folder with one text file for each ``name``. Tasks move their files into place themselves; else the driver would move one after the other."""
-    tasks = max(8, 4 * rows.sparkSession.sparkContext.defaultParallelism)
-    rows.repartition(tasks, "name").write.partitionBy("name").option("mapreduce.fileoutputcommitter.algorithm.version", "2").options(**options).text(path)
-
-
 def text_files(spark, sf_dir):
     """Pages in the form of text files, one file for each page, and their bodies."""
     path = new_path(spark, "texts")
@@ -210,14 +204,14 @@ def block_files(spark, sf_dir):
     second = F.struct(F.array(F.struct(F.lit(0).alias("type"), F.lit("  ").alias("text")), F.struct(F.lit(0).alias("type"), F.lit("end\nof page").alias("text"))).alias("blocks"))
     pages = F.when(kind == 4, F.array()).otherwise(F.array(first, second))
     body = F.when(kind == 3, F.lit("%PDF-1.4 cut off")).otherwise(F.to_json(F.struct(pages.alias("pages"))))
-    named = table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), body.alias("value"))
-    write_each(named, path)
+    named = table(spark, sf_dir, "pages").where("page_id is not null").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), body.alias("value"))
+    write_files(named, path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     empty = hadoop.Path(f"{path}/name=none/empty.txt")
     empty.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(empty).close()
     read = materialise(files.read_block_files(spark, path, "*.txt"), "read")  # files are opened once, for the blocks and for the audit
     audit = files.audit_lines(spark, read, path, ["st1"]).select(F.lit(None).cast("string").alias("doc"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("text"), "audit")
-    short = lambda c: F.regexp_replace(c, r"name=(\w+)/[^:]*", "$1")
+    short = lambda c: F.regexp_replace(c, r"name=([^/]+)/[^:]*|[^/ ]+/([^/]+)\.txt", "$1$2")
     return read.where("audit is null").union(audit).select(short("doc").alias("doc"), "page", "block_no", "text", short("audit").alias("audit"))
 
 

@@ -121,16 +121,18 @@ def read_block_files(spark: SparkSession, folder: str, glob: str = "*.json") ->
     A file holds JSON with ``pages``, each with ``blocks`` of ``type`` and ``text``; blocks
     of type 0 with text count, numbered from 0 among the blocks of their page. A file
     without bytes, one that can't be read and one without text are a row with only
-    ``doc`` (folder and name) and ``audit``; they stop nothing. Files are read by Spark, so any
+    ``doc`` (folder and name) and ``audit``; they stop nothing. Files that are not local are read by Spark, so any
     store will do; a file is read by one task.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+    files = open_files(spark, folder, glob, deep=True)
+    if files is None:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
+        # Spark lists files without bytes, but hands them to no task.
+        listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string")
+        plain = F.regexp_replace(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+        empty = listed.select(plain.alias("path")).join(files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), "path", "left_anti")
+        files = files.select("path", "length", "content").union(empty.select("path", F.lit(0).cast("bigint"), F.lit(None).cast("binary")))
     doc = lambda path: F.regexp_extract(path, r"([^/]*/[^/]*)$", 1)
-    # Spark lists files without bytes, but hands them to no task.
-    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string")
-    plain = F.regexp_replace(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-    empty = listed.select(plain.alias("path")).join(files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), "path", "left_anti")
-    files = files.select("path", "length", "content").union(empty.select("path", F.lit(0).cast("bigint"), F.lit(None).cast("binary")))
     parsed = files.select(doc("path").alias("doc"), "length", F.from_json(F.make_valid_utf8(F.col("content").cast("string")), PAGES).alias("d"))
     blocks = F.flatten(
         F.transform(F.coalesce("d.pages", F.array()), lambda p, i: F.transform(F.coalesce(p["blocks"], F.array()), lambda b, j: F.struct(i.alias("page"), j.alias("block_no"), b["type"].alias("type"), b["text"].alias("text"))))

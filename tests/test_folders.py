@@ -37,6 +37,16 @@ def test_attached_files_are_not_a_task_each(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted((f"http://a/{i}", True) for i in range(300)) and tasks < 150, tasks
 
 
+def test_block_files_are_not_a_task_each(spark, tmp_path):
+    rows = [*((i, f"http://a/{i}") for i in range(300)), (7, "again"), (None, "no id")]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got, tasks = jobs_tasks(spark, lambda: plans.block_files(spark, str(tmp_path)).collect())
+    want = [r for i, u in rows if i is not None and i % 10 not in (3, 4) for r in ((f"p{i}", 0, 0, u, None), (f"p{i}", 1, 1, "end\nof page", None))]
+    want += [(None, None, None, None, f"[FAIL] p{i}: unreadable" if i % 10 == 3 else f"[WARN] p{i}: no text extracted") for i in range(300) if i % 10 in (3, 4)]
+    want += [(None, None, None, None, a) for a in ("[FAIL] none: 0 bytes", "[WARN] missing folder: st1")]
+    assert Counter(map(tuple, got)) == Counter(want) and tasks < 200, tasks
+
+
 @pytest.mark.parametrize("glob", ["*.txt", "*.{txt,md}", "?.[mt]*"])
 def test_files_are_those_that_spark_reads(spark, tmp_path, glob):
     names = ["a.txt", "b.md", "c.bin", ".hidden.txt", "_gone.txt", "ü ä+%.txt", "k=v/d.txt", "deep/e.txt", "deep/_no/f.txt", "x._COPYING_"]
